@@ -47,14 +47,27 @@ def stage_news(events: DataFrame, as_of: str, *, days: int = NEWS_LOOKBACK_DAYS,
     )
 
 
+def news_window(as_of: str, days: int = NEWS_LOOKBACK_DAYS) -> tuple[str, str]:
+    """Time span covered by ``stage_news(.., as_of, days)`` (as timestamps)."""
+    import datetime as dt
+    end = dt.date.fromisoformat(as_of)
+    return (str(end - dt.timedelta(days=days)) + " 00:00:00", str(end) + " 23:59:59.999999")
+
+
 def news_pairs(incidents: DataFrame, staged: DataFrame, *, mode: str = "exact",
                radius_km: float = NEWS_RADIUS_KM, hours: int = NEWS_WINDOW_HOURS,
-               bin_deg: float = NEWS_BIN_DEG) -> DataFrame:
-    """(incident, news) pairs within the radius and the +-hours window."""
+               bin_deg: float = NEWS_BIN_DEG, as_of: str | None = None,
+               days: int = NEWS_LOOKBACK_DAYS) -> DataFrame:
+    """(incident, news) pairs within the radius and the +-hours window.
+
+    With ``as_of`` (the staging date), incidents that cannot reach the staged
+    look-back are skipped up front.
+    """
     left = incidents.select("event_id", "lat", "lon", "start_time", "end_time")
     right = staged.select("news_id", "event_time", "lat", "lon", "tone")
+    win = news_window(as_of, days) if as_of else None
     return near_in_time(left, right, radius_km=radius_km, before_hours=hours, after_hours=hours,
-                        bin_deg=bin_deg, mode=mode)
+                        bin_deg=bin_deg, mode=mode, right_window=win)
 
 
 def news_metrics(pairs: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import spread
 from ..functions.geo import EARTH_RADIUS_KM, line_bbox, polygon_bbox
 
 
@@ -103,7 +104,7 @@ def line_length_in(lines: DataFrame, polygons: DataFrame, *, line_key: str = "ro
     pairs have length 0).
     """
     fl = lambda c: F.floor(c / F.lit(tile_deg)).cast("bigint")
-    L = (lines.select(F.col(line_key).alias("line_id"), F.col(line_geom).alias("line"))
+    L = (spread(lines.select(F.col(line_key).alias("line_id"), F.col(line_geom).alias("line")))
          .withColumn("_bb", line_bbox(F.col("line")))
          .select("line_id",
                  F.transform("line", lambda p: p["lon"]).alias("l_lon"),
@@ -122,8 +123,10 @@ def line_length_in(lines: DataFrame, polygons: DataFrame, *, line_key: str = "ro
     pairs = (L.join(P, ["ty", "tx"], "inner")
              .where((F.col("ty") == F.greatest("ly0", "py0")) & (F.col("tx") == F.greatest("lx0", "px0")))
              .select("line_id", "poly_id", "l_lon", "l_lat", "e_part", "e_ax", "e_ay", "e_bx", "e_by"))
+    lt = pairs.schema["line_id"].dataType.simpleString()
+    pt = pairs.schema["poly_id"].dataType.simpleString()
     out = pairs.mapInPandas(_clip_batches,
-                            "line_id long, poly_id long, length_km double, intersects boolean")
+                            f"line_id {lt}, poly_id {pt}, length_km double, intersects boolean")
     return (out.where("intersects")
             .select(F.col("line_id").alias(line_key), F.col("poly_id").alias(poly_key), "length_km"))
 

@@ -18,6 +18,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import spread
 from ..functions.geo import (haversine_km, lat_reach_deg, lon_reach_deg,
                              point_in_polygon, polygon_bbox, bbox_from_point)
 
@@ -32,9 +33,9 @@ def _tile_ranges(y0: Column, y1: Column, x0: Column, x1: Column) -> Column:
 
 # --------------------------------------------------------------------------- J5
 def near_in_time(left: DataFrame, right: DataFrame, *, radius_km: float = 100.0,
-                 before_hours: int = 24, after_hours: int = 24, bin_deg: float = 0.5,
-                 mode: str = "exact", bins_reach: int = 2,
-                 max_window_days: int = 31) -> DataFrame:
+                 before_hours: int = 24, after_hours: int = 24, mode: str = "exact",
+                 tile_deg: float = 1.0, bin_deg: float = 0.5, bins_reach: int = 2,
+                 max_window_days: int = 31, right_window: tuple[str, str] | None = None) -> DataFrame:
     """Spatio-temporal band join.
 
     ``left``: incidents with ``lat, lon, start_time, end_time`` (end NULL -> start).
@@ -44,68 +45,76 @@ def near_in_time(left: DataFrame, right: DataFrame, *, radius_km: float = 100.0,
     point come back as they are; its point comes back as ``r_lat, r_lon``, plus
     ``dist_km``.
 
-    ``mode='exact'``: the bin reach grows with latitude (full longitude circle near
-    the poles) and wraps at +-180, so no pair within the radius is lost.
-    ``mode='bins'``: the reference rule, +-``bins_reach`` bins on unwrapped
-    ``floor(x / bin_deg)``, which misses pairs whose bins are farther apart.
-
-    The left side is exploded over the reachable bins and over the days of its
-    window, so the join key is (lat_bin, lon_bin, day): a hot tile is cut by day
-    and then by AQE's skew split.  Incidents whose window is longer than
-    ``max_window_days`` go through a second join without the day in the key, so
-    no row is ever dropped.
+    ``mode='exact'``: each incident covers exactly the ``tile_deg`` tiles its
+    circle's bounding range touches (the longitude reach grows with latitude, is
+    the whole circle near a pole, and wraps at +-180), so no pair is lost.
+    ``mode='bins'``: the reference rule -- +-``bins_reach`` bins of ``bin_deg`` on
+    unwrapped ``floor(x / bin_deg)`` -- which misses pairs whose bins are farther.
+
+    Plan: the incident side is exploded over its tiles and over the days of its
+    window, so the equi-key is (tile, day) and a hot tile is cut by day; the
+    point side is never exploded.  Both sides are shuffled on the key (sort-merge,
+    with AQE's skew split for hot keys): the exploded side is many times its
+    input, so it must never be the broadcast side.  Incidents whose window is
+    longer than ``max_window_days`` take a second join keyed by tile only, so no
+    row is dropped.  ``right_window=(lo, hi)``: the time span the point side is
+    known to cover (e.g. the staged look-back); incidents whose window misses it
+    are skipped before the explode, and the bound reaches the incident scan.
     """
     if mode not in ("exact", "bins"):
         raise ValueError("mode must be 'exact' or 'bins'")
-    n_lon = int(round(360.0 / bin_deg))
+    size = bin_deg if mode == "bins" else tile_deg
+    n_lon = int(round(360.0 / size))
+    fl = lambda c: F.floor(c / F.lit(size)).cast("bigint")
     t0 = F.col("start_time") - F.make_dt_interval(F.lit(0), F.lit(before_hours))
     t1 = F.coalesce(F.col("end_time"), F.col("start_time")) + F.make_dt_interval(F.lit(0), F.lit(after_hours))
 
-    lcols = [c for c in left.columns]
-    L = (left.where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("start_time").isNotNull())
-         .withColumn("_t0", t0).withColumn("_t1", t1)
-         .withColumn("_lat_bin", F.floor(F.col("lat") / bin_deg).cast("bigint"))
-         .withColumn("_lon_bin", F.floor(F.col("lon") / bin_deg).cast("bigint")))
+    lcols = list(left.columns)
+    keep = F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("start_time").isNotNull()
+    if right_window is not None:
+        lo, hi = (F.lit(x).cast("timestamp_ntz") for x in right_window)
+        keep = keep & (t1 >= lo) & (t0 <= hi)
+    L = spread(left.where(keep)).withColumn("_t0", t0).withColumn("_t1", t1)
     if mode == "bins":
         offs = F.sequence(F.lit(-bins_reach), F.lit(bins_reach)).cast("array<bigint>")
-        lat_bins = F.transform(offs, lambda d: F.col("_lat_bin") + d)
-        lon_bins = F.transform(offs, lambda d: F.col("_lon_bin") + d)
+        lat_tiles = F.transform(offs, lambda d: fl(F.col("lat")) + d)
+        lon_tiles = F.transform(offs, lambda d: fl(F.col("lon")) + d)
     else:
-        ry = int(math.ceil(lat_reach_deg(radius_km) / bin_deg + 1e-9))
-        rx = F.ceil(lon_reach_deg(F.col("lat"), radius_km) / F.lit(bin_deg) + F.lit(1e-9)).cast("bigint")
-        lat_bins = F.transform(F.sequence(F.lit(-ry), F.lit(ry)).cast("array<bigint>"),
-                               lambda d: F.col("_lat_bin") + d)
+        dlat = lat_reach_deg(radius_km) + 1e-9
+        lat_tiles = F.sequence(fl(F.col("lat") - dlat), fl(F.col("lat") + dlat))
+        dlon = lon_reach_deg(F.col("lat"), radius_km) + F.lit(1e-9)
+        x0, x1 = fl(F.col("lon") - dlon), fl(F.col("lon") + dlon)
         all_lon = F.sequence(F.lit(0), F.lit(n_lon - 1)).cast("array<bigint>")
-        lon_bins = F.when(rx.isNull() | (rx * 2 + 1 >= n_lon), all_lon).otherwise(
-            F.transform(F.sequence(-rx, rx), lambda d: F.pmod(F.col("_lon_bin") + d, F.lit(n_lon))))
+        lon_tiles = F.when(dlon.isNull() | (x1 - x0 + 1 >= n_lon), all_lon).otherwise(
+            F.transform(F.sequence(x0, x1), lambda t: F.pmod(t, F.lit(n_lon))))
 
-    L = (L.withColumn("_tile_lat", F.explode(lat_bins))
-          .withColumn("_tile_lon", F.explode(lon_bins)))
     d0, d1 = F.to_date("_t0"), F.to_date("_t1")
     short = F.datediff(d1, d0) < max_window_days
 
+    def explode_tiles(df):
+        return df.withColumn("_tile_lat", F.explode(lat_tiles)).withColumn("_tile_lon", F.explode(lon_tiles))
+
     R = right.where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("event_time").isNotNull())
-    r_lon_bin = F.floor(F.col("lon") / bin_deg).cast("bigint")
-    R = (R.withColumn("_tile_lat", F.floor(F.col("lat") / bin_deg).cast("bigint"))
-          .withColumn("_tile_lon", r_lon_bin if mode == "bins" else F.pmod(r_lon_bin, F.lit(n_lon)))
+    r_lon = fl(F.col("lon"))
+    R = (R.withColumn("_tile_lat", fl(F.col("lat")))
+          .withColumn("_tile_lon", r_lon if mode == "bins" else F.pmod(r_lon, F.lit(n_lon)))
           .withColumn("_day", F.to_date("event_time"))
           .withColumnRenamed("lat", "r_lat").withColumnRenamed("lon", "r_lon"))
+    rcols = [c for c in R.columns if not c.startswith("_")]
+    Rr = R.hint("merge").alias("r")
 
     def residual(l, r):
         return (r["event_time"].between(l["_t0"], l["_t1"])
                 & (haversine_km(l["lat"], l["lon"], r["r_lat"], r["r_lon"]) <= F.lit(float(radius_km))))
 
-    rcols = [c for c in R.columns if not c.startswith("_")]
-
     def finish(j, l, r):
         return j.select(*[l[c] for c in lcols], *[r[c] for c in rcols],
                         haversine_km(l["lat"], l["lon"], r["r_lat"], r["r_lon"]).alias("dist_km"))
 
-    Ls = L.where(short).withColumn("_day", F.explode(F.sequence(d0, d1))).alias("l")
-    Rr = R.alias("r")
+    Ls = explode_tiles(L.where(short)).withColumn("_day", F.explode(F.sequence(d0, d1))).alias("l")
     by_day = Ls.join(Rr, [Ls["_tile_lat"] == Rr["_tile_lat"], Ls["_tile_lon"] == Rr["_tile_lon"],
                           Ls["_day"] == Rr["_day"], residual(Ls, Rr)], "inner")
-    Ll = L.where(~short).alias("l")
+    Ll = explode_tiles(L.where(~short)).alias("l")
     long_win = Ll.join(Rr, [Ll["_tile_lat"] == Rr["_tile_lat"], Ll["_tile_lon"] == Rr["_tile_lon"],
                             residual(Ll, Rr)], "inner")
     return finish(by_day, Ls, Rr).unionByName(finish(long_win, Ll, Rr))
@@ -145,7 +154,7 @@ def _with_matches(points: DataFrame, polygons: DataFrame, tile_deg: float, geom_
     so the point side is neither multiplied nor shuffled by its own key.
     """
     idx = tile_index(polygons, tile_deg, geom_col)
-    pts = (points.withColumn("_ty", F.floor(F.col("lat") / F.lit(tile_deg)).cast("bigint"))
+    pts = (spread(points).withColumn("_ty", F.floor(F.col("lat") / F.lit(tile_deg)).cast("bigint"))
                  .withColumn("_tx", F.floor(F.col("lon") / F.lit(tile_deg)).cast("bigint")))
     p, q = pts.alias("p"), idx.alias("q")
     j = p.join(q, [p["_ty"] == q["ty"], p["_tx"] == q["tx"]], "left")
@@ -223,7 +232,7 @@ def in_box(points: DataFrame, sites: DataFrame, *, radius_km: float = 100.0,
     """
     b = bin_deg
     fl = lambda c: F.floor(c / F.lit(b)).cast("bigint")
-    P = points.where(F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180))
+    P = spread(points.where(F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)))
     P = P.withColumn("_bb", bbox_from_point(F.col("lat"), F.col("lon"), radius_km))
     dlon = F.lit(float(radius_km)) / (F.lit(111.320) * F.greatest(F.cos(F.radians("lat")), F.lit(1e-6)))
     P = P.withColumn("_all_lon", dlon >= 180.0)

@@ -29,7 +29,7 @@ def staged_news(spark, d):
 
 
 def pairs(spark, d, mode="exact"):
-    return news.news_pairs(fx.incidents_fx(spark, d), staged_news(spark, d), mode=mode)
+    return news.news_pairs(fx.incidents_fx(spark, d), staged_news(spark, d), mode=mode, as_of=AS_OF)
 
 
 def metrics(spark, d):

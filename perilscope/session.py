@@ -50,3 +50,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, for staged tables written by a job."""
     base = shared_dir(spark)
     return os.path.join(base, "perilscope", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def spread(df):
+    """Round-robin ``df`` over the cluster's cores when it has fewer partitions.
+
+    Used right before a high-expansion step (tile/day explode, tokenising whole
+    texts, ray casts), so a small input read as one split is not expanded by a
+    single task.  On a large input (more partitions than cores) it does nothing.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def materialize(df):
+    """Cut the lineage of a frame that is read more than once (reliable checkpoint
+    in the shared folder named by ``spark.checkpoint.dir``; survives executor loss)."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
