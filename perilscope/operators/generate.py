@@ -195,8 +195,10 @@ def actions_from_json(replies: DataFrame, json_col: str = "json_actions", *, kee
     arr = F.from_json(F.col(json_col), ACTION_SCHEMA)
     base = replies.select("query_event", arr.alias("_a"))
     if keep_bad:
+        item_type = ACTION_SCHEMA[len("array<"):-1]
+        one_null = F.array(F.lit(None).cast(item_type))
         out = base.select("query_event", F.col("_a").isNull().alias("parse_error"),
-                          F.explode_outer("_a").alias("_it"))
+                          F.explode(F.coalesce(F.col("_a"), one_null)).alias("_it"))
     else:
         out = base.select("query_event", F.explode("_a").alias("_it"))
     cols = ["query_event"] + (["parse_error"] if keep_bad else [])
