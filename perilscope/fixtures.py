@@ -1,6 +1,6 @@
 """Test inputs derived from the driver tables by integer arithmetic (FIXTURES.md).
 
-Spark side of the fixtures; the DuckDB twin lives in ``plans/oracle.py``.  The
+Spark side of the fixtures; the DuckDB twin lives in ``plans/oracle_fixtures.py``.  The
 expressions are SQL expression strings evaluated by ``selectExpr``, so Catalyst
 prunes each source to the columns a fixture reads.
 """
@@ -170,3 +170,16 @@ def action_json_fx(spark, sf_dir) -> DataFrame:
         "|| ',\"action\":\"Open shelter ' || cast(c_custkey as string) || '\",\"owner\":\"Ops\",\"eta_hours\":' "
         "|| cast(c_custkey % 48 as string) || '},{\"priority\":\"high\",\"action\":\"Check roads\",\"owner\":\"Logistics\"}]' end as json_actions",
     )
+
+
+def pipeline_sources(spark, sf_dir):
+    """All pipeline inputs derived from the driver tables (see ``plans.pipeline.Sources``)."""
+    from .plans.pipeline import Sources
+    return Sources(
+        storms=storms_fx(spark, sf_dir), tracks=tracks_fx(spark, sf_dir), quakes=quakes_fx(spark, sf_dir),
+        news_events=news_fx(spark, sf_dir),
+        countries=countries_fx(spark, sf_dir).select("country_id", "iso_code", "country_name", "is_land",
+                                                     "version", "geom"),
+        population=population_fx(spark, sf_dir), roads=roads_fx(spark, sf_dir).select("road_id", "geom"),
+        sites=sensors_fx(spark, sf_dir),
+        measurements=air_fx(spark, sf_dir).select("location_id", "pollutant", "ts", "value"))

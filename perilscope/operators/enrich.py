@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .roads import line_length_in, length_by
-from .spatial import locate_best
+from .spatial import best_match, locate_best
 
 # fixed value: road length used when a country has none (the reference's default)
 ROAD_KM_DEFAULT = 100.0
@@ -64,18 +64,32 @@ def road_km_by_country(roads: DataFrame, countries: DataFrame, *, tile_deg: floa
     return length_by(pairs, polys, poly_key="country_id", group="iso_code")
 
 
-def attach_country(incidents: DataFrame, countries: DataFrame, *, tile_deg: float = 1.0) -> DataFrame:
-    """J6 + W1: incidents with iso_code and country_name of the preferred polygon."""
+def attach_country(incidents: DataFrame, countries: DataFrame, *, tile_deg: float = 1.0,
+                   key: list[str] | None = ("event_id",)) -> DataFrame:
+    """J6 + W1: incidents with iso_code and country_name of the preferred polygon.
+
+    With ``key`` (default ``event_id``, the reference's only key) rows sharing a
+    key -- a cyclone track has one row per observation -- collapse to one, the
+    first by land, latest version, iso code, then start time and position; a
+    WindowGroupLimit keeps one row per key on the map side, so a long track is
+    never shipped whole.  ``key=None`` keeps every input row.
+    """
     polys = countries.select("country_id", "iso_code", "country_name", "is_land", "version", "geom")
     out = locate_best(incidents, polys, COUNTRY_ORDER, tile_deg=tile_deg)
+    if key:
+        order = [F.col("is_land").desc_nulls_last(), F.col("version").desc_nulls_last(),
+                 F.col("iso_code").asc_nulls_last(), F.col("country_id").asc_nulls_last()]
+        order += [F.col(c).asc_nulls_last() for c in ("start_time", "end_time", "lat", "lon")
+                  if c in incidents.columns]
+        out = best_match(out, list(key), order)
     return out.drop("country_id", "is_land", "version", "n_containing")
 
 
 def enrich_incidents(incidents: DataFrame, countries: DataFrame, population: DataFrame,
-                     roads: DataFrame, *, tile_deg: float = 1.0,
-                     road_default: float = ROAD_KM_DEFAULT) -> DataFrame:
+                     roads: DataFrame, *, tile_deg: float = 1.0, road_default: float = ROAD_KM_DEFAULT,
+                     key: list[str] | None = ("event_id",)) -> DataFrame:
     """Step 3: ``incidents.* , iso_code, country_name, population_estimate, road_km_country``."""
-    located = attach_country(incidents, countries, tile_deg=tile_deg)
+    located = attach_country(incidents, countries, tile_deg=tile_deg, key=key)
     pop = population_lookup(population_by_country(countries, population))
     with_pop = lookup_by_year(located, pop)
     needed = countries_needed(countries, located)
