@@ -75,7 +75,7 @@ def attach_country(incidents: DataFrame, countries: DataFrame, *, tile_deg: floa
     never shipped whole.  ``key=None`` keeps every input row.
     """
     polys = countries.select("country_id", "iso_code", "country_name", "is_land", "version", "geom")
-    out = locate_best(incidents, polys, COUNTRY_ORDER, tile_deg=tile_deg)
+    out = locate_best(incidents, polys, COUNTRY_ORDER, tile_deg=tile_deg, poly_key="country_id")
     if key:
         order = [F.col("is_land").desc_nulls_last(), F.col("version").desc_nulls_last(),
                  F.col("iso_code").asc_nulls_last(), F.col("country_id").asc_nulls_last()]

@@ -97,12 +97,19 @@ def _clip_batches(it):
 
 def line_length_in(lines: DataFrame, polygons: DataFrame, *, line_key: str = "road_id",
                    poly_key: str = "country_id", tile_deg: float = 1.0,
-                   line_geom: str = "geom", poly_geom: str = "geom") -> DataFrame:
+                   line_geom: str = "geom", poly_geom: str = "geom",
+                   max_vertices: int | None = None) -> DataFrame:
     """ST_INTERSECTS join + ST_LENGTH(ST_INTERSECTION) per (line, polygon) pair in km.
 
     Returns ``line_key, poly_key, length_km`` for intersecting pairs (touching
-    pairs have length 0).
+    pairs have length 0).  When the polygons' vertices x tiles fit the budget
+    (checked with one aggregate over the polygon table), the edges ride along the
+    polygon tiles, which are broadcast; otherwise the tiles carry ids only and
+    the edges are joined to the candidate pairs by polygon id.
     """
+    from .spatial import MAX_INDEXED_VERTICES, indexed_vertices
+    budget = MAX_INDEXED_VERTICES if max_vertices is None else max_vertices
+    carry = indexed_vertices(polygons, tile_deg, poly_geom) <= budget
     fl = lambda c: F.floor(c / F.lit(tile_deg)).cast("bigint")
     L = (spread(lines.select(F.col(line_key).alias("line_id"), F.col(line_geom).alias("line")))
          .withColumn("_bb", line_bbox(F.col("line")))
@@ -113,16 +120,21 @@ def line_length_in(lines: DataFrame, polygons: DataFrame, *, line_key: str = "ro
                  fl(F.col("_bb.min_lon")).alias("lx0"), fl(F.col("_bb.max_lon")).alias("lx1"))
          .withColumn("ty", F.explode(F.sequence("ly0", "ly1")))
          .withColumn("tx", F.explode(F.sequence("lx0", "lx1"))))
-    P = (polygons.select(F.col(poly_key).alias("poly_id"), F.col(poly_geom).alias("g"))
-         .withColumn("_bb", polygon_bbox(F.col("g")))
-         .select("poly_id", *_flat_polygon_edges("g"),
-                 fl(F.col("_bb.min_lat")).alias("py0"), fl(F.col("_bb.max_lat")).alias("py1"),
-                 fl(F.col("_bb.min_lon")).alias("px0"), fl(F.col("_bb.max_lon")).alias("px1"))
-         .withColumn("ty", F.explode(F.sequence("py0", "py1")))
-         .withColumn("tx", F.explode(F.sequence("px0", "px1"))))
+    edges = ["e_part", "e_ax", "e_ay", "e_bx", "e_by"]
+    polys = (polygons.select(F.col(poly_key).alias("poly_id"), F.col(poly_geom).alias("g"))
+             .withColumn("_bb", polygon_bbox(F.col("g")))
+             .select("poly_id", *_flat_polygon_edges("g"),
+                     fl(F.col("_bb.min_lat")).alias("py0"), fl(F.col("_bb.max_lat")).alias("py1"),
+                     fl(F.col("_bb.min_lon")).alias("px0"), fl(F.col("_bb.max_lon")).alias("px1")))
+    P = polys if carry else polys.drop(*edges)
+    P = (P.withColumn("ty", F.explode(F.sequence("py0", "py1")))
+          .withColumn("tx", F.explode(F.sequence("px0", "px1"))))
     pairs = (L.join(P, ["ty", "tx"], "inner")
-             .where((F.col("ty") == F.greatest("ly0", "py0")) & (F.col("tx") == F.greatest("lx0", "px0")))
-             .select("line_id", "poly_id", "l_lon", "l_lat", "e_part", "e_ax", "e_ay", "e_bx", "e_by"))
+             .where((F.col("ty") == F.greatest("ly0", "py0")) & (F.col("tx") == F.greatest("lx0", "px0"))))
+    if not carry:
+        pairs = pairs.select("line_id", "poly_id", "l_lon", "l_lat").join(
+            polys.select("poly_id", *edges), "poly_id", "inner")
+    pairs = pairs.select("line_id", "poly_id", "l_lon", "l_lat", *edges)
     lt = pairs.schema["line_id"].dataType.simpleString()
     pt = pairs.schema["poly_id"].dataType.simpleString()
     out = pairs.mapInPandas(_clip_batches,

@@ -136,42 +136,81 @@ def polygon_tiles(polygons: DataFrame, tile_deg: float = 1.0, geom_col: str = "g
             .withColumn("ty", F.col("_t.ty")).withColumn("tx", F.col("_t.tx")).drop("_t"))
 
 
-def tile_index(polygons: DataFrame, tile_deg: float = 1.0, geom_col: str = "geom") -> DataFrame:
+# vertex budget for carrying polygon geometry inside the broadcast tile index:
+# above it, the index holds polygon ids only and geometry is joined by id
+MAX_INDEXED_VERTICES = 5_000_000
+
+
+def _tiles_per_polygon(geom: Column, tile_deg: float) -> Column:
+    bb = polygon_bbox(geom)
+    fl = lambda c: F.floor(c / F.lit(tile_deg))
+    return (fl(bb["max_lat"]) - fl(bb["min_lat"]) + 1) * (fl(bb["max_lon"]) - fl(bb["min_lon"]) + 1)
+
+
+def indexed_vertices(polygons: DataFrame, tile_deg: float, geom_col: str = "geom") -> int:
+    """Vertices a geometry-carrying tile index would hold (one aggregate over the polygons)."""
+    n = F.size(F.flatten(F.flatten(F.col(geom_col))))
+    v = polygons.select(F.sum(n * _tiles_per_polygon(F.col(geom_col), tile_deg)).alias("v")).first()["v"]
+    return int(v or 0)
+
+
+def tile_index(polygons: DataFrame, tile_deg: float = 1.0, geom_col: str = "geom",
+               with_geometry: bool = True) -> DataFrame:
     """One row per tile: ``ty, tx, cands`` = array of the polygons whose bbox meets it.
 
     Its size is set by the polygon table and the tile size, never by the points.
     """
-    cols = polygons.columns
+    cols = [c for c in polygons.columns if with_geometry or c != geom_col]
     return (polygon_tiles(polygons, tile_deg, geom_col)
             .groupBy("ty", "tx")
             .agg(F.collect_list(F.struct(*[F.col(c) for c in cols])).alias("cands")))
 
 
-def _with_matches(points: DataFrame, polygons: DataFrame, tile_deg: float, geom_col: str) -> DataFrame:
+def _with_matches(points: DataFrame, polygons: DataFrame, tile_deg: float, geom_col: str,
+                  poly_key: str | None = None, max_vertices: int = MAX_INDEXED_VERTICES) -> DataFrame:
     """Points + ``_hits``: the polygons that contain each point (possibly empty).
 
-    A left join on the point's tile brings at most one candidate row per point,
-    so the point side is neither multiplied nor shuffled by its own key.
+    Small polygon sets (checked: vertices x tiles under ``max_vertices``): the tile
+    index carries the geometry and is broadcast; a left join on the point's tile
+    brings at most one candidate row per point, so points are neither multiplied
+    nor shuffled.  Large polygon sets: the index carries ids only; candidate
+    (point, polygon) rows are joined to the geometry by polygon id (shuffled, a
+    hot polygon split by AQE) and regrouped per point.
     """
-    idx = tile_index(polygons, tile_deg, geom_col)
     pts = (spread(points).withColumn("_ty", F.floor(F.col("lat") / F.lit(tile_deg)).cast("bigint"))
-                 .withColumn("_tx", F.floor(F.col("lon") / F.lit(tile_deg)).cast("bigint")))
+           .withColumn("_tx", F.floor(F.col("lon") / F.lit(tile_deg)).cast("bigint")))
+    carry = poly_key is None or indexed_vertices(polygons, tile_deg, geom_col) <= max_vertices
+    idx = tile_index(polygons, tile_deg, geom_col, with_geometry=carry)
+    if not carry:
+        pts = pts.withColumn("_pid", F.monotonically_increasing_id())
     p, q = pts.alias("p"), idx.alias("q")
     j = p.join(q, [p["_ty"] == q["ty"], p["_tx"] == q["tx"]], "left")
-    hits = F.filter(F.coalesce(q["cands"], F.array()),
-                    lambda c: F.coalesce(point_in_polygon(p["lon"], p["lat"], c[geom_col]), F.lit(False)))
-    return j.select(*[p[c] for c in points.columns], hits.alias("_hits"))
+    if carry:
+        hits = F.filter(F.coalesce(q["cands"], F.array()),
+                        lambda c: F.coalesce(point_in_polygon(p["lon"], p["lat"], c[geom_col]), F.lit(False)))
+        return j.select(*[p[c] for c in points.columns], hits.alias("_hits"))
+    pc = [c for c in polygons.columns if c != geom_col]
+    cand = (j.select(*[p[c] for c in points.columns], p["_pid"], F.explode_outer(q["cands"]).alias("_c"))
+            .withColumn("_ck", F.col("_c")[poly_key]))
+    geo = polygons.select(F.col(poly_key).alias("_gk"), F.col(geom_col).alias("_g"))
+    cj = cand.join(geo, cand["_ck"] == geo["_gk"], "left")
+    inside = F.coalesce(point_in_polygon(F.col("lon"), F.col("lat"), F.col("_g")), F.lit(False))
+    hit = F.when(inside, F.struct(*[F.col("_c")[c].alias(c) for c in pc]))
+    return (cj.groupBy("_pid", *points.columns)
+            .agg(F.filter(F.collect_list(hit), lambda h: h.isNotNull()).alias("_hits"))
+            .drop("_pid"))
 
 
 def locate(points: DataFrame, polygons: DataFrame, *, tile_deg: float = 1.0,
-           how: str = "left", geom_col: str = "geom") -> DataFrame:
+           how: str = "left", geom_col: str = "geom", poly_key: str | None = None,
+           max_vertices: int = MAX_INDEXED_VERTICES) -> DataFrame:
     """Point-in-polygon join (J6): ST_WITHIN(point, polygon).
 
     One row per (point, containing polygon); with ``how='left'`` a point in no
     polygon is kept once with NULL polygon columns.  Every ``polygons`` column but
     the geometry is returned.
     """
-    m = _with_matches(points, polygons, tile_deg, geom_col)
+    m = _with_matches(points, polygons, tile_deg, geom_col, poly_key, max_vertices)
     ex = F.explode_outer("_hits") if how == "left" else F.explode("_hits")
     pcols = [c for c in polygons.columns if c != geom_col and c not in points.columns]
     return (m.select(*points.columns, ex.alias("_m"))
@@ -193,14 +232,15 @@ def _sort_key(c: Column, spec: list[tuple[str, str]]) -> Column:
 
 
 def locate_best(points: DataFrame, polygons: DataFrame, order: list[tuple[str, str]], *,
-                tile_deg: float = 1.0, geom_col: str = "geom") -> DataFrame:
+                tile_deg: float = 1.0, geom_col: str = "geom", poly_key: str | None = None,
+                max_vertices: int = MAX_INDEXED_VERTICES) -> DataFrame:
     """J6 + W1 in one pass: the first containing polygon by ``order`` (NULLs last), or NULLs.
 
     Equivalent to ROW_NUMBER() OVER (PARTITION BY point ORDER BY ...) = 1 on the
     left join, without the shuffle by point key: the containing polygons of a
     point already sit in one row.  ``order`` must end in a unique polygon key.
     """
-    m = _with_matches(points, polygons, tile_deg, geom_col)
+    m = _with_matches(points, polygons, tile_deg, geom_col, poly_key, max_vertices)
     keyed = F.transform("_hits", lambda h: F.struct(_sort_key(h, order).alias("k"), h.alias("h")))
     best = F.array_min(keyed)["h"]
     pcols = [c for c in polygons.columns if c != geom_col and c not in points.columns]

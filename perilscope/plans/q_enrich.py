@@ -212,7 +212,8 @@ select event_id, country_id, iso_code, country_name from located"""))
 def q_country_of_incident(spark, d):
     polys = fx.countries_fx(spark, d).select("country_id", "iso_code", "country_name", "geom")
     inc = fx.incidents_fx(spark, d).select("event_id", "lat", "lon")
-    return spatial.locate(inc, polys).select("event_id", "country_id", "iso_code", "country_name")
+    return spatial.locate(inc, polys, poly_key="country_id").select("event_id", "country_id", "iso_code",
+                                                                     "country_name")
 
 
 @query("best_country", with_ctes("incidents_fx", "countries_fx", O_LOCATED, O_BEST, body="""

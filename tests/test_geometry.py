@@ -156,3 +156,19 @@ def test_road_join_meridian_closed_form(spark):
     got = {(p.road_id, p.country_id): p.length_km for p in pairs}
     assert set(got) == set(want) and len(got) == 287
     assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_large_polygon_path_gives_same_answers(spark):
+    """Above the vertex budget, geometry is joined by polygon id instead of riding the index."""
+    from perilscope import fixtures as fx
+    from perilscope.operators.roads import line_length_in
+    d = "/root/testdata/sf0.001"
+    c = fx.countries_fx(spark, d).select("country_id", "iso_code", "country_name", "geom")
+    inc = fx.incidents_fx(spark, d).select("event_id", "lat", "lon")
+    small = {tuple(r) for r in spatial.locate(inc, c, poly_key="country_id").collect()}
+    large = {tuple(r) for r in spatial.locate(inc, c, poly_key="country_id", max_vertices=0).collect()}
+    assert small == large and len(small) > 0
+    r1 = {(r.road_id, r.country_id, round(r.length_km, 9)) for r in line_length_in(fx.roads_fx(spark, d), c).collect()}
+    r2 = {(r.road_id, r.country_id, round(r.length_km, 9))
+          for r in line_length_in(fx.roads_fx(spark, d), c, max_vertices=0).collect()}
+    assert r1 == r2 and len(r1) == 287
