@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .roads import line_length_in, length_by
-from .spatial import best_match, locate_best
+from .spatial import best_match, locate, locate_best
 
 # fixed value: road length used when a country has none (the reference's default)
 ROAD_KM_DEFAULT = 100.0
@@ -97,3 +97,25 @@ def enrich_incidents(incidents: DataFrame, countries: DataFrame, population: Dat
     return (with_pop.join(rk, "iso_code", "left")
             .withColumn("road_km_country", F.coalesce(F.col("road_km"), F.lit(road_default)))
             .drop("road_km"))
+
+
+def road_km_by_polygon(roads: DataFrame, countries: DataFrame, *, tile_deg: float = 1.0) -> DataFrame:
+    """roads_by_country of step 2B: clipped road km per polygon id, with its name and iso."""
+    pairs = line_length_in(roads, countries, line_key="road_id", poly_key="country_id", tile_deg=tile_deg)
+    return (pairs.groupBy("country_id").agg(F.sum("length_km").alias("road_km"))
+            .join(countries.select("country_id", "country_name", "iso_code"), "country_id", "inner"))
+
+
+def incident_roads(incidents: DataFrame, countries: DataFrame, roads: DataFrame, as_of: str, *,
+                   days: int = 10, tile_deg: float = 1.0) -> DataFrame:
+    """Step 2B (incidents_roads_10d): recent located incidents, every polygon that
+    contains them (no preference -- one row per match, unmatched kept), and the
+    road length of that polygon.  ``start_time >= as_of - days`` at midnight."""
+    lo = F.date_sub(F.lit(as_of).cast("date"), days).cast("timestamp_ntz")
+    inc = incidents.where((F.col("start_time") >= lo) & F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    polys = countries.select("country_id", "country_name", "iso_code", "geom")
+    hit = locate(inc.select("event_id", "hazard_type", "start_time", "end_time", "lat", "lon"), polys,
+                 tile_deg=tile_deg, poly_key="country_id")
+    rbc = road_km_by_polygon(roads, countries, tile_deg=tile_deg).select("country_id", "road_km")
+    return (hit.join(rbc, "country_id", "left")
+            .select("event_id", "hazard_type", "start_time", "end_time", "country_name", "iso_code", "road_km"))

@@ -72,6 +72,9 @@ def steps(src: Sources, opt: Options) -> list[Step]:
                                              "pm10_before double, pm10_after double")
         return air.air_quality_before_after(inc, near, src.measurements)
 
+    def incidents_roads_10d(inc):
+        return enrich.incident_roads(inc, src.countries, src.roads, as_of)
+
     def incidents_enriched(inc):
         return enrich.enrich_incidents(inc, src.countries, src.population, src.roads)
 
@@ -111,6 +114,7 @@ def steps(src: Sources, opt: Options) -> list[Step]:
         ("news_metrics_recent", news_metrics_recent, ["incidents_raw", "gdelt_recent_sig"]),
         ("openaq_locations_near_incidents", openaq_locations_near_incidents, ["incidents_raw"]),
         ("air_quality_metrics", air_quality_metrics, ["incidents_raw", "openaq_locations_near_incidents"]),
+        ("incidents_roads_10d", incidents_roads_10d, ["incidents_raw"]),
         ("incidents_enriched", incidents_enriched, ["incidents_raw"]),
         ("incident_corpus", incident_corpus, ["incidents_enriched", "air_quality_metrics", "news_metrics_recent"]),
         ("incident_embeddings_arr", incident_embeddings_arr, ["incident_corpus"]),

@@ -366,3 +366,18 @@ def q_within_distance(spark, d):
     s = sensors_near(spark, d)
     dist = haversine_km("incident_lat", "incident_lon", "latitude", "longitude")
     return s.select("event_id", "location_id", r6(dist).alias("dist_km"), (dist <= 100.0).alias("within_100km"))
+
+
+@query("incidents_roads_10d", with_ctes("incidents_fx", "countries_fx", "roads_fx",
+                                        (O_ROADPAIRS[0], O_ROADPAIRS[1].format(polys="countries_fx")), body="""
+select i.event_id, i.hazard_type, i.start_time, i.end_time, c.country_name, c.iso_code,
+       round(rbc.road_km, 3) as road_km
+from (select * from incidents_fx where lat is not null and lon is not null
+        and start_time >= timestamp '2024-01-31 00:00:00' - interval 10 day) i
+left join countries_fx c on i.lat > c.min_lat and i.lat < c.max_lat and i.lon > c.min_lon and i.lon < c.max_lon
+left join (select country_id, sum(road_km) as road_km from roadpairs group by country_id) rbc
+  on rbc.country_id = c.country_id"""))
+def q_incidents_roads_10d(spark, d):
+    """Step 2B: last-10-day incidents x containing polygons x road km per polygon."""
+    out = enrich.incident_roads(fx.incidents_fx(spark, d), fx.countries_fx(spark, d), fx.roads_fx(spark, d), AS_OF)
+    return out.withColumn("road_km", F.round("road_km", 3))
