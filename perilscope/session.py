@@ -33,14 +33,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared work folder, as named by ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (tests, a bare local run) do we name one.
+    Only when the session names none (tests, a bare local run) do we pick one,
+    and then only through ``setCheckpointDir`` (the conf itself is read-only at
+    run time).
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="perilscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
