@@ -99,6 +99,9 @@ def test_band_join_poles_antimeridian_and_long_windows(spark):
     ], "news_id long, lat double, lon double, event_time timestamp_ntz")
     got = {(r.event_id, r.news_id) for r in spatial.near_in_time(inc, news).collect()}
     assert got == {(1, 10), (2, 20), (3, 30)}
+    # many long windows: the tile-keyed sort-merge path gives the same pairs
+    got_smj = {(r.event_id, r.news_id) for r in spatial.near_in_time(inc, news, max_broadcast_rows=0).collect()}
+    assert got_smj == got
     # the reference's fixed bins miss the pole and antimeridian pairs
     got_bins = {(r.event_id, r.news_id) for r in spatial.near_in_time(inc, news, mode="bins").collect()}
     assert got_bins == {(3, 30)}
