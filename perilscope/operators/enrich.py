@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import materialize
 from .roads import line_length_in, length_by
 from .spatial import best_match, locate, locate_best
 
@@ -89,7 +90,8 @@ def enrich_incidents(incidents: DataFrame, countries: DataFrame, population: Dat
                      roads: DataFrame, *, tile_deg: float = 1.0, road_default: float = ROAD_KM_DEFAULT,
                      key: list[str] | None = ("event_id",)) -> DataFrame:
     """Step 3: ``incidents.* , iso_code, country_name, population_estimate, road_km_country``."""
-    located = attach_country(incidents, countries, tile_deg=tile_deg, key=key)
+    # read twice (rows, and the semi-join that limits roads to present countries)
+    located = materialize(attach_country(incidents, countries, tile_deg=tile_deg, key=key))
     pop = population_lookup(population_by_country(countries, population))
     with_pop = lookup_by_year(located, pop)
     needed = countries_needed(countries, located)

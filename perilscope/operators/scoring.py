@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.clean import log_population
+from ..session import materialize
 
 # fixed values of the reference's impact formula
 IMPACT_BASE = 20.0
@@ -51,13 +52,19 @@ def impact_features(enriched: DataFrame, news_metrics: DataFrame) -> DataFrame:
 
 
 def impact_score(features: DataFrame, *, group: str = "hazard_type", base: float = IMPACT_BASE,
-                 weights: dict[str, float] | None = None, cap: float = IMPACT_CAP) -> DataFrame:
+                 weights: dict[str, float] | None = None, cap: float = IMPACT_CAP,
+                 materialize_input: bool = True) -> DataFrame:
     """Z-scores within hazard and
 
         LEAST(cap, base + w_sev*z_sev + w_pop*z_pop + w_news*z_news + w_tone*tone/10)
 
-    with a NULL z counted as 0; capped above only.
+    with a NULL z counted as 0; capped above only.  The features are read twice
+    (statistics, then rows); unless they are a stored table already, they are
+    checkpointed first so their lineage runs once (column pruning makes the two
+    reads differ, so Spark would not reuse the shuffle).
     """
+    if materialize_input:
+        features = materialize(features)
     w = dict(IMPACT_WEIGHTS, **(weights or {}))
     z = zscore_by(features, group, {"severity": "severity", "log_pop": "log_pop",
                                     "news_articles_48h": "news"})

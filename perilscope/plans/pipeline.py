@@ -97,7 +97,8 @@ def steps(src: Sources, opt: Options) -> list[Step]:
         return vectors.similar(base, qry)
 
     def incident_features_recent(enr, nm):
-        return scoring.impact_score(scoring.impact_features(enr, nm))
+        # inputs are stored tables; the join of the two is cheap to run twice
+        return scoring.impact_score(scoring.impact_features(enr, nm), materialize_input=False)
 
     def incident_tags(feat):
         return generate.hazard_buckets(feat, opt.text_provider)

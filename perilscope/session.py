@@ -62,8 +62,11 @@ def spread(df):
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
-def materialize(df):
-    """Cut the lineage of a frame that is read more than once (reliable checkpoint
-    in the shared folder named by ``spark.checkpoint.dir``; survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "stage"):
+    """Cut the lineage of a frame that is read more than once: write it as a
+    parquet table in the shared folder named by ``spark.checkpoint.dir`` and read
+    it back.  One computation (an eager ``checkpoint()`` would compute it twice),
+    columnar re-reads, and a lost executor never re-runs the upstream plan."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
