@@ -175,3 +175,29 @@ def test_large_polygon_path_gives_same_answers(spark):
     r2 = {(r.road_id, r.country_id, round(r.length_km, 9))
           for r in line_length_in(fx.roads_fx(spark, d), c, max_vertices=0).collect()}
     assert r1 == r2 and len(r1) == 287
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.floats(-89.99, 89.99), st.floats(-180, 180)), min_size=1, max_size=10),
+       st.lists(st.tuples(st.floats(-90, 90), st.floats(-180, 180)), min_size=1, max_size=30),
+       st.sampled_from([50.0, 100.0, 400.0]))
+def test_box_join_equals_brute_force(spark, pts, sites, radius):
+    """J11 against the box rule itself: wrap at +-180, all longitudes when dlon >= 180."""
+    P = spark.createDataFrame([(i, la, lo) for i, (la, lo) in enumerate(pts)], "event_id long, lat double, lon double")
+    sites = sites + [(la + 0.3, lo) for la, lo in pts if la + 0.3 <= 90]
+    S = spark.createDataFrame([(j, la, lo) for j, (la, lo) in enumerate(sites)], "location_id long, lat double, lon double")
+    got = {(r.event_id, r.location_id) for r in spatial.in_box(P, S, radius_km=radius).collect()}
+    want = set()
+    for i, (la, lo) in enumerate(pts):
+        dlat = radius / 111.0
+        dlon = radius / (111.320 * max(math.cos(math.radians(la)), 1e-6))
+        lo0, hi0 = lo - dlon, lo + dlon
+        lo0 = lo0 + 360 if lo0 < -180 else lo0
+        hi0 = hi0 - 360 if hi0 > 180 else hi0
+        a0, a1 = max(la - dlat, -90.0), min(la + dlat, 90.0)
+        for j, (sla, slo) in enumerate(sites):
+            if not (a0 <= sla <= a1):
+                continue
+            if dlon >= 180 or (lo0 <= hi0 and lo0 <= slo <= hi0) or (lo0 > hi0 and (slo >= lo0 or slo <= hi0)):
+                want.add((i, j))
+    assert got == want
