@@ -95,6 +95,71 @@ def _clip_batches(it):
         yield out
 
 
+def _classify_tiles(it, tile_deg: float):
+    """Per polygon: every tile of its bbox as interior (0), exterior (1) or boundary (2).
+
+    Boundary: the tile meets the bbox of some edge (a superset of the tiles the
+    outline crosses).  Any other tile is crossed by no edge, so it lies wholly
+    inside or wholly outside: its centre decides (ray cast in numpy, chunked).
+    """
+    for pdf in it:
+        out = []
+        for row in pdf.itertuples(index=False):
+            part = np.asarray(row.e_part)
+            ax, ay, bx, by = (np.asarray(v, float) for v in (row.e_ax, row.e_ay, row.e_bx, row.e_by))
+            y0, y1, x0, x1 = int(row.py0), int(row.py1), int(row.px0), int(row.px1)
+            ny, nx = y1 - y0 + 1, x1 - x0 + 1
+            cls = np.full((ny, nx), -1, dtype=np.int8)
+            ey0 = np.floor(np.minimum(ay, by) / tile_deg).astype(np.int64) - y0
+            ey1 = np.floor(np.maximum(ay, by) / tile_deg).astype(np.int64) - y0
+            ex0 = np.floor(np.minimum(ax, bx) / tile_deg).astype(np.int64) - x0
+            ex1 = np.floor(np.maximum(ax, bx) / tile_deg).astype(np.int64) - x0
+            for a, b, c, d in zip(ey0, ey1, ex0, ex1):
+                cls[a:b + 1, c:d + 1] = 2
+            todo = np.argwhere(cls < 0)
+            for k in range(0, len(todo), 4096):
+                blk = todo[k:k + 4096]
+                cy = (blk[:, 0] + y0 + 0.5) * tile_deg
+                cx = (blk[:, 1] + x0 + 0.5) * tile_deg
+                inside = _inside(cx, cy, part, ax, ay, bx, by)
+                cls[blk[:, 0], blk[:, 1]] = np.where(inside, 0, 1)
+            yy, xx = np.nonzero(cls >= 0)
+            out.append(pd.DataFrame({"poly_id": row.poly_id, "ty": yy + y0, "tx": xx + x0,
+                                     "cls": cls[yy, xx].astype(np.int32), "py0": y0, "px0": x0}))
+        yield pd.concat(out, ignore_index=True) if out else pd.DataFrame(
+            {"poly_id": [], "ty": [], "tx": [], "cls": [], "py0": [], "px0": []})
+
+
+def polygon_tile_classes(polygons: DataFrame, *, poly_key: str = "country_id", poly_geom: str = "geom",
+                         tile_deg: float = 1.0) -> DataFrame:
+    """``poly_id, ty, tx, cls, py0, px0`` for every tile of every polygon's bbox
+    (cls: 0 interior, 1 exterior, 2 boundary).  Work and size follow the polygon
+    table only; computed once per polygon set."""
+    fl = lambda c: F.floor(c / F.lit(tile_deg)).cast("bigint")
+    polys = (polygons.select(F.col(poly_key).alias("poly_id"), F.col(poly_geom).alias("g"))
+             .withColumn("_bb", polygon_bbox(F.col("g")))
+             .select("poly_id", *_flat_polygon_edges("g"),
+                     fl(F.col("_bb.min_lat")).alias("py0"), fl(F.col("_bb.max_lat")).alias("py1"),
+                     fl(F.col("_bb.min_lon")).alias("px0"), fl(F.col("_bb.max_lon")).alias("px1")))
+    pt = polys.schema["poly_id"].dataType.simpleString()
+    return polys.mapInPandas(lambda it: _classify_tiles(it, tile_deg),
+                             f"poly_id {pt}, ty long, tx long, cls int, py0 long, px0 long")
+
+
+def _line_length_km(line: str):
+    """Great-circle length of a whole line, in the JVM (for lines wholly inside)."""
+    pts = F.col(line)
+    n = F.size(pts)
+
+    def seg(a, b):
+        p1, p2 = F.radians(a["lat"]), F.radians(b["lat"])
+        h = (F.pow(F.sin((p2 - p1) / 2), 2)
+             + F.cos(p1) * F.cos(p2) * F.pow(F.sin((F.radians(b["lon"]) - F.radians(a["lon"])) / 2), 2))
+        return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    legs = F.zip_with(F.slice(pts, 1, n - 1), F.slice(pts, 2, n - 1), seg)
+    return F.aggregate(legs, F.lit(0.0), lambda acc, x: acc + x)
+
+
 def line_length_in(lines: DataFrame, polygons: DataFrame, *, line_key: str = "road_id",
                    poly_key: str = "country_id", tile_deg: float = 1.0,
                    line_geom: str = "geom", poly_geom: str = "geom",
@@ -102,44 +167,49 @@ def line_length_in(lines: DataFrame, polygons: DataFrame, *, line_key: str = "ro
     """ST_INTERSECTS join + ST_LENGTH(ST_INTERSECTION) per (line, polygon) pair in km.
 
     Returns ``line_key, poly_key, length_km`` for intersecting pairs (touching
-    pairs have length 0).  When the polygons' vertices x tiles fit the budget
-    (checked with one aggregate over the polygon table), the edges ride along the
-    polygon tiles, which are broadcast; otherwise the tiles carry ids only and
-    the edges are joined to the candidate pairs by polygon id.
+    pairs have length 0).  Lines are joined to the polygons' tile classes
+    (interior / exterior / boundary, computed once per polygon set):
+
+    * a line within one interior tile is wholly inside: its length, in the JVM;
+    * a line within one exterior tile cannot meet the polygon: dropped;
+    * every other pair -- a boundary tile, or a line over several tiles, kept in
+      the lowest tile common to both covers so it is evaluated once -- goes to
+      the exact numpy clip with the polygon's edges.  The edge table (one row
+      per polygon) is broadcast when its vertices fit the budget (checked with
+      one aggregate), else joined by polygon id.
     """
-    from .spatial import MAX_INDEXED_VERTICES, indexed_vertices
+    from .spatial import MAX_INDEXED_VERTICES
     budget = MAX_INDEXED_VERTICES if max_vertices is None else max_vertices
-    carry = indexed_vertices(polygons, tile_deg, poly_geom) <= budget
     fl = lambda c: F.floor(c / F.lit(tile_deg)).cast("bigint")
     L = (spread(lines.select(F.col(line_key).alias("line_id"), F.col(line_geom).alias("line")))
          .withColumn("_bb", line_bbox(F.col("line")))
-         .select("line_id",
-                 F.transform("line", lambda p: p["lon"]).alias("l_lon"),
-                 F.transform("line", lambda p: p["lat"]).alias("l_lat"),
+         .select("line_id", "line",
                  fl(F.col("_bb.min_lat")).alias("ly0"), fl(F.col("_bb.max_lat")).alias("ly1"),
                  fl(F.col("_bb.min_lon")).alias("lx0"), fl(F.col("_bb.max_lon")).alias("lx1"))
+         .withColumn("_single", (F.col("ly0") == F.col("ly1")) & (F.col("lx0") == F.col("lx1")))
          .withColumn("ty", F.explode(F.sequence("ly0", "ly1")))
          .withColumn("tx", F.explode(F.sequence("lx0", "lx1"))))
+    tiles = polygon_tile_classes(polygons, poly_key=poly_key, poly_geom=poly_geom, tile_deg=tile_deg)
+    pairs = (L.join(tiles, ["ty", "tx"], "inner")
+             .where((F.col("ty") == F.greatest("ly0", "py0")) & (F.col("tx") == F.greatest("lx0", "px0")))
+             .where(~(F.col("_single") & (F.col("cls") == 1))))
+    inside = F.col("_single") & (F.col("cls") == 0)
+    fast = pairs.where(inside).select("line_id", "poly_id", _line_length_km("line").alias("length_km"))
     edges = ["e_part", "e_ax", "e_ay", "e_bx", "e_by"]
-    polys = (polygons.select(F.col(poly_key).alias("poly_id"), F.col(poly_geom).alias("g"))
-             .withColumn("_bb", polygon_bbox(F.col("g")))
-             .select("poly_id", *_flat_polygon_edges("g"),
-                     fl(F.col("_bb.min_lat")).alias("py0"), fl(F.col("_bb.max_lat")).alias("py1"),
-                     fl(F.col("_bb.min_lon")).alias("px0"), fl(F.col("_bb.max_lon")).alias("px1")))
-    P = polys if carry else polys.drop(*edges)
-    P = (P.withColumn("ty", F.explode(F.sequence("py0", "py1")))
-          .withColumn("tx", F.explode(F.sequence("px0", "px1"))))
-    pairs = (L.join(P, ["ty", "tx"], "inner")
-             .where((F.col("ty") == F.greatest("ly0", "py0")) & (F.col("tx") == F.greatest("lx0", "px0"))))
-    if not carry:
-        pairs = pairs.select("line_id", "poly_id", "l_lon", "l_lat").join(
-            polys.select("poly_id", *edges), "poly_id", "inner")
-    pairs = pairs.select("line_id", "poly_id", "l_lon", "l_lat", *edges)
-    lt = pairs.schema["line_id"].dataType.simpleString()
-    pt = pairs.schema["poly_id"].dataType.simpleString()
-    out = pairs.mapInPandas(_clip_batches,
-                            f"line_id {lt}, poly_id {pt}, length_km double, intersects boolean")
-    return (out.where("intersects")
+    poly_edges = polygons.select(F.col(poly_key).alias("poly_id"), *_flat_polygon_edges(poly_geom))
+    n_vertices = poly_edges.select(F.sum(F.size("e_ax")).alias("n")).first()["n"] or 0
+    if n_vertices <= budget:
+        poly_edges = F.broadcast(poly_edges)
+    slow = (pairs.where(~inside)
+            .select("line_id", "poly_id", F.transform("line", lambda p: p["lon"]).alias("l_lon"),
+                    F.transform("line", lambda p: p["lat"]).alias("l_lat"))
+            .join(poly_edges, "poly_id", "inner")
+            .select("line_id", "poly_id", "l_lon", "l_lat", *edges))
+    lt = slow.schema["line_id"].dataType.simpleString()
+    pt = slow.schema["poly_id"].dataType.simpleString()
+    exact = (slow.mapInPandas(_clip_batches, f"line_id {lt}, poly_id {pt}, length_km double, intersects boolean")
+             .where("intersects").select("line_id", "poly_id", "length_km"))
+    return (fast.unionByName(exact)
             .select(F.col("line_id").alias(line_key), F.col("poly_id").alias(poly_key), "length_km"))
 
 

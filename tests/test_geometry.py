@@ -201,3 +201,34 @@ def test_box_join_equals_brute_force(spark, pts, sites, radius):
             if dlon >= 180 or (lo0 <= hi0 and lo0 <= slo <= hi0) or (lo0 > hi0 and (slo >= lo0 or slo <= hi0)):
                 want.add((i, j))
     assert got == want
+
+
+def test_tile_classes_and_shortcuts_match_kernel(spark):
+    """Short lines inside one tile take the interior/exterior shortcuts; the answers
+    equal the exact clip for every line (a U-shaped polygon with a notch)."""
+    from perilscope.operators.roads import line_length_in, polygon_tile_classes
+    u = [[ring((0, 0), (6, 0), (6, 6), (4, 6), (4, 2), (2, 2), (2, 6), (0, 6))]]
+    polys = spark.createDataFrame([(1, u)], f"country_id long, geom {POLY}")
+    cls = {(r.ty, r.tx): r.cls for r in polygon_tile_classes(polys).collect()}
+    assert cls[(0, 0)] == 2 and cls[(1, 1)] == 0 and cls[(4, 3)] == 1  # boundary, interior, notch
+    rng = np.random.default_rng(3)
+    lines = []
+    for i in range(150):
+        x, y = rng.uniform(-1, 7, 2)
+        dx, dy = rng.uniform(-0.4, 0.4, 2) if i % 3 else rng.uniform(-3, 3, 2)
+        lines.append((i, [{"lon": float(x), "lat": float(y)}, {"lon": float(x + dx), "lat": float(y + dy)}]))
+    L = spark.createDataFrame(lines, "road_id long, geom array<struct<lon:double,lat:double>>")
+    got = {r.road_id: r.length_km for r in line_length_in(L, polys).collect()}
+    edges = []
+    for part_i, part in enumerate(u):
+        for rg in part:
+            for a, b in zip(rg[:-1], rg[1:]):
+                edges.append((part_i, a["lon"], a["lat"], b["lon"], b["lat"]))
+    e = np.array(edges, float)
+    want = {}
+    for rid, g in lines:
+        length, hit = clip_length_km([p["lon"] for p in g], [p["lat"] for p in g], *e.T)
+        if hit:
+            want[rid] = length
+    assert set(got) == set(want)
+    assert all(abs(got[k] - want[k]) < 1e-9 * max(1.0, want[k]) for k in want)
