@@ -58,10 +58,14 @@ def best_polygon_per_iso(countries: DataFrame) -> DataFrame:
     return countries.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def road_km_by_country(roads: DataFrame, countries: DataFrame, *, tile_deg: float = 1.0) -> DataFrame:
-    """A2 over J7: total clipped road length per iso_code, in km."""
+def road_km_by_country(roads: DataFrame, countries: DataFrame, *, tile_deg: float = 1.0,
+                       all_countries: DataFrame | None = None) -> DataFrame:
+    """A2 over J7: total clipped road length per iso_code, in km.
+
+    ``all_countries``: the table ``countries`` was cut from (sizes the edge table)."""
     polys = best_polygon_per_iso(countries)
-    pairs = line_length_in(roads, polys, line_key="road_id", poly_key="country_id", tile_deg=tile_deg)
+    pairs = line_length_in(roads, polys, line_key="road_id", poly_key="country_id", tile_deg=tile_deg,
+                           size_from=all_countries)
     return length_by(pairs, polys, poly_key="country_id", group="iso_code")
 
 
@@ -95,7 +99,7 @@ def enrich_incidents(incidents: DataFrame, countries: DataFrame, population: Dat
     pop = population_lookup(population_by_country(countries, population))
     with_pop = lookup_by_year(located, pop)
     needed = countries_needed(countries, located)
-    rk = road_km_by_country(roads, needed, tile_deg=tile_deg)
+    rk = road_km_by_country(roads, needed, tile_deg=tile_deg, all_countries=countries)
     return (with_pop.join(rk, "iso_code", "left")
             .withColumn("road_km_country", F.coalesce(F.col("road_km"), F.lit(road_default)))
             .drop("road_km"))

@@ -82,16 +82,22 @@ def clip_length_km(lx, ly, part, ax, ay, bx, by):
 
 
 def _clip_batches(it):
+    """Exact clip per (line, polygon) row; rows flagged ``_in`` (a line wholly in an
+    interior tile) keep their precomputed length ``_full``."""
     for pdf in it:
-        lens, hits = [], []
-        for row in pdf.itertuples(index=False):
-            length, hit = clip_length_km(row.l_lon, row.l_lat, row.e_part, row.e_ax,
-                                         row.e_ay, row.e_bx, row.e_by)
-            lens.append(length)
-            hits.append(hit)
+        n = len(pdf)
+        lens = np.zeros(n, dtype="float64")
+        hits = np.zeros(n, dtype=bool)
+        flag = pdf["_in"].to_numpy(dtype=bool) if "_in" in pdf else np.zeros(n, dtype=bool)
+        if flag.any():
+            lens[flag] = pdf["_full"].to_numpy(dtype="float64")[flag]
+            hits[flag] = True
+        cols = [pdf[c].to_numpy() for c in ("l_lon", "l_lat", "e_part", "e_ax", "e_ay", "e_bx", "e_by")]
+        for i in np.flatnonzero(~flag):
+            lens[i], hits[i] = clip_length_km(*(c[i] for c in cols))
         out = pdf[["line_id", "poly_id"]].copy()
-        out["length_km"] = np.asarray(lens, dtype="float64")
-        out["intersects"] = np.asarray(hits, dtype=bool)
+        out["length_km"] = lens
+        out["intersects"] = hits
         yield out
 
 
@@ -163,7 +169,7 @@ def _line_length_km(line: str):
 def line_length_in(lines: DataFrame, polygons: DataFrame, *, line_key: str = "road_id",
                    poly_key: str = "country_id", tile_deg: float = 1.0,
                    line_geom: str = "geom", poly_geom: str = "geom",
-                   max_vertices: int | None = None) -> DataFrame:
+                   max_vertices: int | None = None, size_from: DataFrame | None = None) -> DataFrame:
     """ST_INTERSECTS join + ST_LENGTH(ST_INTERSECTION) per (line, polygon) pair in km.
 
     Returns ``line_key, poly_key, length_km`` for intersecting pairs (touching
@@ -176,7 +182,11 @@ def line_length_in(lines: DataFrame, polygons: DataFrame, *, line_key: str = "ro
       the lowest tile common to both covers so it is evaluated once -- goes to
       the exact numpy clip with the polygon's edges.  The edge table (one row
       per polygon) is broadcast when its vertices fit the budget (checked with
-      one aggregate), else joined by polygon id.
+      one aggregate), else joined by polygon id.  All in one pass: one join,
+      one Python stage, and interior rows ship no edges to Python.
+      ``size_from``: a stored table the polygons are a subset of (e.g. all
+      countries, when ``polygons`` is the countries some incidents fall in);
+      the size check then reads it instead of re-running the subset's plan.
     """
     from .spatial import MAX_INDEXED_VERTICES
     budget = MAX_INDEXED_VERTICES if max_vertices is None else max_vertices
@@ -194,22 +204,23 @@ def line_length_in(lines: DataFrame, polygons: DataFrame, *, line_key: str = "ro
              .where((F.col("ty") == F.greatest("ly0", "py0")) & (F.col("tx") == F.greatest("lx0", "px0")))
              .where(~(F.col("_single") & (F.col("cls") == 1))))
     inside = F.col("_single") & (F.col("cls") == 0)
-    fast = pairs.where(inside).select("line_id", "poly_id", _line_length_km("line").alias("length_km"))
     edges = ["e_part", "e_ax", "e_ay", "e_bx", "e_by"]
     poly_edges = polygons.select(F.col(poly_key).alias("poly_id"), *_flat_polygon_edges(poly_geom))
-    n_vertices = poly_edges.select(F.sum(F.size("e_ax")).alias("n")).first()["n"] or 0
+    sized = poly_edges if size_from is None else size_from.select(*_flat_polygon_edges(poly_geom))
+    n_vertices = sized.select(F.sum(F.size("e_ax")).alias("n")).first()["n"] or 0
     if n_vertices <= budget:
         poly_edges = F.broadcast(poly_edges)
-    slow = (pairs.where(~inside)
-            .select("line_id", "poly_id", F.transform("line", lambda p: p["lon"]).alias("l_lon"),
-                    F.transform("line", lambda p: p["lat"]).alias("l_lat"))
-            .join(poly_edges, "poly_id", "inner")
-            .select("line_id", "poly_id", "l_lon", "l_lat", *edges))
-    lt = slow.schema["line_id"].dataType.simpleString()
-    pt = slow.schema["poly_id"].dataType.simpleString()
-    exact = (slow.mapInPandas(_clip_batches, f"line_id {lt}, poly_id {pt}, length_km double, intersects boolean")
-             .where("intersects").select("line_id", "poly_id", "length_km"))
-    return (fast.unionByName(exact)
+    # one pass: interior rows carry their JVM length and no edges; only the
+    # other rows are clipped in Python
+    j = (pairs.join(poly_edges, "poly_id", "inner")
+         .select("line_id", "poly_id", inside.alias("_in"), _line_length_km("line").alias("_full"),
+                 F.transform("line", lambda p: p["lon"]).alias("l_lon"),
+                 F.transform("line", lambda p: p["lat"]).alias("l_lat"),
+                 *[F.when(~inside, F.col(e)).alias(e) for e in edges]))
+    lt = j.schema["line_id"].dataType.simpleString()
+    pt = j.schema["poly_id"].dataType.simpleString()
+    out = j.mapInPandas(_clip_batches, f"line_id {lt}, poly_id {pt}, length_km double, intersects boolean")
+    return (out.where("intersects")
             .select(F.col("line_id").alias(line_key), F.col("poly_id").alias(poly_key), "length_km"))
 
 

@@ -262,7 +262,7 @@ def q_road_country_pairs(spark, d):
 def q_road_km_by_country(spark, d):
     c = fx.countries_fx(spark, d)
     located = enrich.attach_country(fx.incidents_fx(spark, d), c)
-    rk = enrich.road_km_by_country(fx.roads_fx(spark, d), enrich.countries_needed(c, located))
+    rk = enrich.road_km_by_country(fx.roads_fx(spark, d), enrich.countries_needed(c, located), all_countries=c)
     return rk.select("iso_code", F.round("road_km", 3).alias("road_km"))
 
 
