@@ -65,3 +65,11 @@ def test_csv_quoted_newlines_and_pages(spark, tmp_path):
     got = files.read_json_pages(spark, str(root), ["location_id", "lat"], list_keys=("results", "items"),
                                 stop_at_empty=True)
     assert sorted(int(r.location_id) for r in got.collect()) == [1, 2, 3]
+
+
+def test_with_index_is_contiguous_and_ordered(spark):
+    from perilscope.sources.sinks import with_index
+    df = spark.range(0, 5000).selectExpr("id * 7 % 5000 as k", "id as v").repartition(7)
+    out = with_index(df, ["k"]).collect()
+    assert sorted(r["index"] for r in out) == list(range(5000))
+    assert all(r["index"] == r["k"] for r in out)
