@@ -14,8 +14,6 @@ every operator here does it by hand:
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import spread
