@@ -1,5 +1,7 @@
 """E1 end to end on the smallest tables; a re-run with the same as_of gives the same tables."""
 
+import math
+
 from perilscope import fixtures as fx
 from perilscope.plans import pipeline
 from perilscope.session import scratch_path
@@ -8,9 +10,29 @@ SF = "/root/testdata/sf0.001"
 
 
 def snapshot(spark, path):
+    """Rows keyed by their non-float values; floats kept aside.
+
+    Sums of doubles are merged in the order shuffle blocks arrive, so statistics
+    (and what is computed from them) can differ in the last bits between runs;
+    floats are compared with a relative tolerance, everything else exactly.
+    """
     df = spark.read.parquet(path)
     cols = sorted(c for c in df.columns if c != "emb")
-    return sorted(tuple(repr(r[c]) for c in cols) for r in df.select(*cols).collect())
+    out = {}
+    for r in df.select(*cols).collect():
+        key = tuple(repr(r[c]) for c in cols if not isinstance(r[c], float))
+        out.setdefault(key, []).append(tuple(r[c] for c in cols if isinstance(r[c], float)))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def same(a, b):
+    if a.keys() != b.keys():
+        return False
+    for k in a:
+        for x, y in zip(a[k], b[k], strict=True):
+            if not all(math.isclose(p, q, rel_tol=1e-9, abs_tol=1e-12) for p, q in zip(x, y)):
+                return False
+    return True
 
 
 def test_pipeline_runs_and_repeats(spark):
@@ -21,8 +43,8 @@ def test_pipeline_runs_and_repeats(spark):
     counts = {}
     for name in a:
         sa, sb = snapshot(spark, a[name]), snapshot(spark, b[name])
-        assert sa == sb, name
-        counts[name] = len(sa)
+        assert same(sa, sb), name
+        counts[name] = sum(len(v) for v in sa.values())
     # one enriched row per incident key, even though track rows share their storm id
     raw = spark.read.parquet(a["incidents_raw"])
     assert counts["incidents_enriched"] == raw.select("event_id").distinct().count()
