@@ -123,8 +123,9 @@ def _classify_tiles(it, tile_deg: float):
             for a, b, c, d in zip(ey0, ey1, ex0, ex1):
                 cls[a:b + 1, c:d + 1] = 2
             todo = np.argwhere(cls < 0)
-            for k in range(0, len(todo), 4096):
-                blk = todo[k:k + 4096]
+            step = max(1, int(4_000_000 // max(1, len(ax))))   # centres x edges per chunk <= 4M
+            for k in range(0, len(todo), step):
+                blk = todo[k:k + step]
                 cy = (blk[:, 0] + y0 + 0.5) * tile_deg
                 cx = (blk[:, 1] + x0 + 0.5) * tile_deg
                 inside = _inside(cx, cy, part, ax, ay, bx, by)
