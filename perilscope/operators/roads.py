@@ -39,15 +39,22 @@ def _hav(lon1, lat1, lon2, lat2):
 
 
 def _inside(mx, my, part, ax, ay, bx, by):
-    """Even-odd containment of points (mx, my) in any part; shape (n_points,)."""
-    straddle = (ay[None, :] > my[:, None]) != (by[None, :] > my[:, None])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        xat = ax[None, :] + (bx - ax)[None, :] * (my[:, None] - ay[None, :]) / (by - ay)[None, :]
-    cross = straddle & (mx[:, None] < xat)
+    """Even-odd containment of points (mx, my) in any part; shape (n_points,).
+
+    Points are taken in chunks so that points x edges stays under 4M cells."""
+    mx, my = np.asarray(mx, float), np.asarray(my, float)
     out = np.zeros(len(mx), dtype=bool)
-    for p in np.unique(part):
-        sel = part == p
-        out |= (cross[:, sel].sum(axis=1) % 2) == 1
+    parts = np.unique(part)
+    step = max(1, int(4_000_000 // max(1, len(ax))))
+    for k in range(0, len(mx), step):
+        x, y = mx[k:k + step], my[k:k + step]
+        straddle = (ay[None, :] > y[:, None]) != (by[None, :] > y[:, None])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            xat = ax[None, :] + (bx - ax)[None, :] * (y[:, None] - ay[None, :]) / (by - ay)[None, :]
+        cross = straddle & (x[:, None] < xat)
+        for p in parts:
+            sel = part == p
+            out[k:k + step] |= (cross[:, sel].sum(axis=1) % 2) == 1
     return out
 
 
