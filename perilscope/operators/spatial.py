@@ -180,32 +180,53 @@ def _with_matches(points: DataFrame, polygons: DataFrame, tile_deg: float, geom_
                   poly_key: str | None = None, max_vertices: int = MAX_INDEXED_VERTICES) -> DataFrame:
     """Points + ``_hits``: the polygons that contain each point (possibly empty).
 
-    Small polygon sets (checked: vertices x tiles under ``max_vertices``): the tile
-    index carries the geometry and is broadcast; a left join on the point's tile
-    brings at most one candidate row per point, so points are neither multiplied
-    nor shuffled.  Large polygon sets: the index carries ids only; candidate
-    (point, polygon) rows are joined to the geometry by polygon id (shuffled, a
-    hot polygon split by AQE) and regrouped per point.
+    With ``poly_key``, each (polygon, tile) is first classified as interior,
+    exterior or boundary (once per polygon set): exterior tiles leave the index,
+    a point on an interior tile is inside without a ray cast, and only boundary
+    tiles need the outline.  Small polygon sets (checked: vertices x tiles under
+    ``max_vertices``): boundary entries carry the geometry in the broadcast tile
+    index, and a left join on the point's tile brings at most one index row per
+    point, so points are neither multiplied nor shuffled.  Large sets: the index
+    carries ids only; boundary candidates fetch the outline by polygon id
+    (shuffled, a hot polygon split by AQE) and are regrouped per point.
     """
     pts = (spread(points).withColumn("_ty", F.floor(F.col("lat") / F.lit(tile_deg)).cast("bigint"))
            .withColumn("_tx", F.floor(F.col("lon") / F.lit(tile_deg)).cast("bigint")))
-    carry = poly_key is None or indexed_vertices(polygons, tile_deg, geom_col) <= max_vertices
-    idx = tile_index(polygons, tile_deg, geom_col, with_geometry=carry)
+    if poly_key is None:
+        idx = tile_index(polygons, tile_deg, geom_col, with_geometry=True)
+        p, q = pts.alias("p"), idx.alias("q")
+        j = p.join(q, [p["_ty"] == q["ty"], p["_tx"] == q["tx"]], "left")
+        hits = F.filter(F.coalesce(q["cands"], F.array()),
+                        lambda c: F.coalesce(point_in_polygon(p["lon"], p["lat"], c[geom_col]), F.lit(False)))
+        return j.select(*[p[c] for c in points.columns], hits.alias("_hits"))
+
+    from .roads import polygon_tile_classes
+    pc = [c for c in polygons.columns if c != geom_col]
+    carry = indexed_vertices(polygons, tile_deg, geom_col) <= max_vertices
+    classes = (polygon_tile_classes(polygons, poly_key=poly_key, poly_geom=geom_col, tile_deg=tile_deg)
+               .where(F.col("cls") != 1).select(F.col("poly_id").alias(poly_key), "ty", "tx", "cls"))
+    attrs = polygons.select(*pc, *([geom_col] if carry else []))
+    entry = [F.col(c) for c in pc] + [F.col("cls")]
+    if carry:
+        entry.append(F.when(F.col("cls") == 2, F.col(geom_col)).alias(geom_col))
+    idx = (classes.join(attrs, poly_key, "inner").groupBy("ty", "tx")
+           .agg(F.collect_list(F.struct(*entry)).alias("cands")))
     if not carry:
         pts = pts.withColumn("_pid", F.monotonically_increasing_id())
     p, q = pts.alias("p"), idx.alias("q")
     j = p.join(q, [p["_ty"] == q["ty"], p["_tx"] == q["tx"]], "left")
     if carry:
         hits = F.filter(F.coalesce(q["cands"], F.array()),
-                        lambda c: F.coalesce(point_in_polygon(p["lon"], p["lat"], c[geom_col]), F.lit(False)))
+                        lambda c: (c["cls"] == 0) | ((c["cls"] == 2) & F.coalesce(
+                            point_in_polygon(p["lon"], p["lat"], c[geom_col]), F.lit(False))))
         return j.select(*[p[c] for c in points.columns], hits.alias("_hits"))
-    pc = [c for c in polygons.columns if c != geom_col]
     cand = (j.select(*[p[c] for c in points.columns], p["_pid"], F.explode_outer(q["cands"]).alias("_c"))
-            .withColumn("_ck", F.col("_c")[poly_key]))
+            .withColumn("_ck", F.when(F.col("_c.cls") == 2, F.col("_c")[poly_key])))
     geo = polygons.select(F.col(poly_key).alias("_gk"), F.col(geom_col).alias("_g"))
     cj = cand.join(geo, cand["_ck"] == geo["_gk"], "left")
-    inside = F.coalesce(point_in_polygon(F.col("lon"), F.col("lat"), F.col("_g")), F.lit(False))
-    hit = F.when(inside, F.struct(*[F.col("_c")[c].alias(c) for c in pc]))
+    inside = (F.col("_c.cls") == 0) | F.coalesce(point_in_polygon(F.col("lon"), F.col("lat"), F.col("_g")),
+                                                 F.lit(False))
+    hit = F.when(F.col("_c").isNotNull() & inside, F.struct(*[F.col("_c")[c].alias(c) for c in pc]))
     return (cj.groupBy("_pid", *points.columns)
             .agg(F.filter(F.collect_list(hit), lambda h: h.isNotNull()).alias("_hits"))
             .drop("_pid"))

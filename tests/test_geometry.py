@@ -117,6 +117,10 @@ def test_locate_equals_brute_force(spark, boxes, pts):
         .select("country_id", box_polygon("a", "b", "c", "d").alias("geom"))
     P = spark.createDataFrame([(j, la, lo) for j, (lo, la) in enumerate(pts)], "event_id long, lat double, lon double")
     got = {(r.event_id, r.country_id) for r in spatial.locate(P, polys, tile_deg=2.0).collect()}
+    classed = {(r.event_id, r.country_id) for r in spatial.locate(P, polys, tile_deg=2.0, poly_key="country_id").collect()}
+    by_id = {(r.event_id, r.country_id)
+             for r in spatial.locate(P, polys, tile_deg=2.0, poly_key="country_id", max_vertices=0).collect()}
+    assert got == classed == by_id
     want = set()
     for j, (lo, la) in enumerate(pts):
         hit = [i for i, (x, y, w, h) in enumerate(boxes) if x < lo < x + w and y < la < y + h]
