@@ -139,6 +139,8 @@ LAYOUT = {
 def run(spark: SparkSession, src: Sources, out_dir: str, opt: Options,
         only: list[str] | None = None) -> dict[str, str]:
     """Run the steps in order; returns ``{table: path}``."""
+    from ..session import ship_package
+    ship_package(spark)
     paths: dict[str, str] = {}
     for name, fn, inputs in steps(src, opt):
         path = os.path.join(out_dir, name)

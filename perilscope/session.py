@@ -70,3 +70,28 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``perilscope`` importable on the executors' Python workers.
+
+    The Arrow UDFs (clip kernel, tile classes, top-k blocks, IVF probe) are
+    functions of this package; a zip of it is added once per SparkContext with
+    ``addPyFile`` (Spark distributes it to every executor).
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_perilscope_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="perilscope-pkg-"), "perilscope.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._perilscope_shipped = True
