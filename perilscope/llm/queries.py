@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, imatch, mixing, packing, secret_scan, token_files
-from .common import documents
+from . import exact_dedup, imatch, jaccard, lm, mixing, packing, quality, secret_scan, token_files, toxicity
+from .common import documents, labels
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -96,6 +96,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                     spans.alias("spans"), "n_wide", "n_live")
 
 
+@query("op3_rule_ensemble")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query("op4_log_bilinear")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(documents(spark, sf_dir))
+
+
 @query("op5_imatch_fingerprints")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.edited_fingerprints(documents(spark, sf_dir))
@@ -117,3 +127,13 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
 from documents window w as (partition by coalesce(text, ''))""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(documents(spark, sf_dir))
+
+
+@query("op9_token_group_matrix")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
+@query("op10_weak_supervision")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(documents(spark, sf_dir), labels(spark, sf_dir))
