@@ -37,7 +37,7 @@ def incidents_fx(spark, sf_dir) -> DataFrame:
 
 
 def storms_fx(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").where("event_id % 3 = 0").selectExpr(
+    return table(spark, sf_dir, "events").selectExpr(
         "cast(event_id as string) as event_id",
         "ts as event_begin_time",
         "case when event_id % 11 = 0 then null else ts + make_dt_interval(0, cast(event_id % 48 as int), 0, 0) end as event_end_time",
@@ -55,7 +55,7 @@ def storms_fx(spark, sf_dir) -> DataFrame:
 
 
 def tracks_fx(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").where("event_id % 3 = 1").selectExpr(
+    return table(spark, sf_dir, "events").selectExpr(
         "'T' || cast(user_id as string) as sid",
         "case when event_id % 17 = 0 then ' ' when event_id % 19 = 0 then '2023-02-30 00:00:00' "
         "when event_id % 23 = 0 then '1850-06-01 00:00:00' else '20' || lpad(cast(event_id % 26 as string), 2, '0') "
@@ -67,8 +67,8 @@ def tracks_fx(spark, sf_dir) -> DataFrame:
 
 
 def quakes_fx(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").where("event_id % 3 = 2").selectExpr(
-        "event_id as id",
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id + 10000000 as id",
         "case when event_id % 31 = 0 then '1900?' else ' ' || cast(1890 + event_id % 140 as string) end as year",
         "case when event_id % 10 = 0 then '' else cast(1 + event_id % 12 as string) end as month",
         "cast(1 + event_id % 31 as string) as day",

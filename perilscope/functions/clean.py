@@ -117,6 +117,15 @@ def fmt_num(c: ColumnOrName, k: int) -> Column:
         F.round(_c(c), 0).cast("decimal(38,0)").cast("string")
 
 
+def fmt_whole(c: ColumnOrName) -> Column:
+    """Number -> text with all its digits up to the ninth decimal, without trailing zeros.
+
+    Nine decimals hold every measured value whole and cut only the rounding noise of computed
+    ones, which differs between engines.
+    """
+    return F.regexp_replace(fmt_num(c, 9), r"\.?0+$", "")
+
+
 def fmt_int(c: ColumnOrName) -> Column:
     """CAST(CAST(x AS INT64) AS STRING) with explicit rounding (never truncation)."""
     return F.round(_c(c), 0).cast("bigint").cast("string")

@@ -45,7 +45,7 @@ def lookup_by_year(df: DataFrame, ref: DataFrame, *, key: str = "iso_code",
 
 def countries_needed(countries: DataFrame, located: DataFrame, key: str = "iso_code") -> DataFrame:
     """Countries whose iso occurs among the located incidents (semi-join)."""
-    present = located.where(F.col(key).isNotNull()).select(key)
+    present = located.where(F.col(key).isNotNull()).select(key).distinct()   # one row per task and key
     return countries.join(present, key, "left_semi")
 
 

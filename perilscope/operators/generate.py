@@ -11,6 +11,7 @@ answers, and only the missing ones are sent, in Arrow batches via
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 import pandas as pd
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.clean import fmt_num
 from ..functions.text import ACTION_COUNT, ACTION_MAX_CHARS, ACTION_OWNERS, action_prompt, brief_prompt, \
     classify_prompt
+from ..session import materialize
 
 ACTION_SCHEMA = "array<struct<priority:string,action:string,owner:string,eta_hours:string>>"
 
@@ -27,7 +29,7 @@ ACTION_SCHEMA = "array<struct<priority:string,action:string,owner:string,eta_hou
 class OfflineProvider:
     """Deterministic stand-in for the text model; one method per task."""
 
-    # fixed rules: first keyword found in the description picks the bucket
+    # fixed rules: the first class one of whose words (or its plural) the hazard has
     BUCKET_RULES = [
         (("earthquake", "quake", "seismic"), "seismic"),
         (("hurricane", "cyclone", "typhoon"), "cyclone"),
@@ -38,24 +40,21 @@ class OfflineProvider:
     ]
 
     def classify(self, prompt: Column) -> Column:
-        text = F.lower(F.substring_index(prompt, "Text: ", -1))
+        hazard = F.lower(F.regexp_extract(prompt, r"Hazard: ([^\n]*)", 1))
         out = None
         for words, label in self.BUCKET_RULES:
-            hit = F.lit(False)
-            for w in words:
-                hit = hit | F.contains(text, F.lit(w))
+            hit = hazard.rlike(r"\b(" + "|".join(words) + r")s?\b")
             out = F.when(hit, F.lit(label)) if out is None else out.when(hit, F.lit(label))
         return F.when(prompt.isNotNull(), out.otherwise(F.lit("other")))
 
     def brief(self, prompt: Column) -> Column:
         def grab(rx):
             return F.regexp_extract(prompt, rx, 1)
-        q_type, q_ctry = grab(r"Query: type=([^,]*),"), grab(r"Query: type=[^,]*, country=([^,]*),")
-        n_type, n_ctry = grab(r"Neighbor: type=([^,]*),"), grab(r"Neighbor: type=[^,]*, country=([^,]*),")
+        q_type, q_ctry = grab(r"Now: hazard ([^;]*);"), grab(r"Now: hazard [^;]*; country ([^;]*);")
+        n_type, n_ctry = grab(r"Before: hazard ([^;]*);"), grab(r"Before: hazard [^;]*; country ([^;]*);")
         num = r"(-?\d+(?:\.\d+)?)"
-        sim = grab(r"Cosine similarity=" + num)
-        d_sev = grab(r"Deltas \(query - neighbor\): severity=" + num)
-        d_imp = grab(r"impact_score=" + num + r"\.\nExplain")
+        sim, d_sev = grab("Similarity: " + num), grab("Severity change: " + num)
+        d_imp = grab("Impact change: " + num)
         text = F.concat(
             F.lit("A "), q_type, F.lit(" in "), q_ctry, F.lit(" resembles an earlier "), n_type,
             F.lit(" in "), n_ctry, F.lit(" (cosine similarity "), sim, F.lit("). Severity differs by "),
@@ -65,8 +64,8 @@ class OfflineProvider:
         return F.when(prompt.isNotNull(), text)
 
     def actions(self, prompt: Column) -> Column:
-        qid = F.regexp_extract(prompt, r"Query incident id=([^.]*)\.", 1)
-        top = F.regexp_extract(prompt, r"Top neighbors: ([^ ,(]*)", 1)
+        qid = F.regexp_extract(prompt, r"Incident: ([^\n]*)", 1)
+        top = F.regexp_extract(prompt, r"Similar incidents: ([^ ,(]*)", 1)
         items = [
             (1, "Activate the operations centre for incident ", qid, "Ops", 1),
             (2, "Review the response to similar incident ", top, "Planning", 4),
@@ -83,45 +82,72 @@ class OfflineProvider:
         return F.when(prompt.isNotNull(), js)
 
 
+#: call parameters by task (fixed values); a provider may override them
+TASK_PARAMS = {
+    "classify": {},
+    "brief": {"max_output_tokens": 512, "temperature": 0.2},
+    "actions": {"max_output_tokens": 256, "temperature": 0.2},
+}
+
+
 class BatchProvider:
-    """Any batch text function as a provider (de-duplicated, cached, Arrow-batched)."""
+    """Any batch text function as a provider (de-duplicated, cached, Arrow-batched).
 
-    def __init__(self, fn: Callable[[list[str]], list[str]], cache_path: str | None = None):
-        self.fn = fn
-        self.cache_path = cache_path
+    ``fn(prompts)`` or, with ``pass_params``, ``fn(prompts, **params)``.  Answers are keyed by
+    provider name, task, parameters and prompt, so providers and settings never share them.  Without
+    a cache folder the answers are stored once in the shared folder, so later actions on the result
+    do not call the model again.
+    """
 
-    def run(self, df: DataFrame, prompt_col: str, out_col: str) -> DataFrame:
+    def __init__(self, fn: Callable[..., list[str]], cache_path: str | None = None, *, name: str = "batch",
+                 params: dict | None = None, pass_params: bool = False):
+        self.fn, self.cache_path, self.name = fn, cache_path, name
+        self.params, self.pass_params = dict(params or {}), pass_params
+
+    def _cached(self, spark) -> DataFrame | None:
+        from pyspark.errors import AnalysisException
+        try:
+            return spark.read.parquet(self.cache_path)
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":        # no answer stored yet
+                return None
+            raise
+
+    def run(self, df: DataFrame, prompt_col: str, out_col: str, task: str = "") -> DataFrame:
         spark = df.sparkSession
-        keyed = df.withColumn("_ph", F.sha2(F.col(prompt_col), 256))
-        todo = keyed.where(F.col("_ph").isNotNull()).groupBy("_ph").agg(F.min(prompt_col).alias("_p"))
-        cache = None
-        if self.cache_path:
-            try:
-                cache = spark.read.parquet(self.cache_path)
-                todo = todo.join(cache.select("_ph"), "_ph", "left_anti")
-            except Exception:  # no cache yet
-                cache = None
-        fn = self.fn
+        params = {**TASK_PARAMS.get(task, {}), **self.params}
+        head = json.dumps([self.name, task, params], sort_keys=True)
+        asked = df.where(F.col(prompt_col).isNotNull()).withColumn(
+            "_ph", F.sha2(F.concat(F.lit(head), F.col(prompt_col)), 256))
+        todo = asked.groupBy("_ph").agg(F.min(prompt_col).alias("_p"))
+        cache = self._cached(spark) if self.cache_path else None
+        if cache is not None:
+            todo = todo.join(cache.select("_ph"), "_ph", "left_anti")
+        fn, extra = self.fn, params if self.pass_params else {}
 
         def call(it):
             for pdf in it:
-                outs = fn(pdf["_p"].tolist()) if len(pdf) else []
+                outs = fn(pdf["_p"].tolist(), **extra) if len(pdf) else []
                 yield pd.DataFrame({"_ph": pdf["_ph"], "_out": pd.Series(outs, dtype=object)})
 
         fresh = todo.mapInPandas(call, "_ph string, _out string")
         if self.cache_path:
             fresh.write.mode("append").parquet(self.cache_path)
-            answers = spark.read.parquet(self.cache_path)
+            answers = self._cached(spark)
         else:
-            answers = fresh
-        return keyed.join(answers.select("_ph", F.col("_out").alias(out_col)), "_ph", "left").drop("_ph")
+            answers = materialize(fresh, "answers")
+        # a failed run may have stored an answer twice
+        answers = answers.groupBy("_ph").agg(F.min("_out").alias(out_col))
+        done = asked.join(answers, "_ph", "left").drop("_ph")
+        none = df.where(F.col(prompt_col).isNull()).withColumn(out_col, F.lit(None).cast("string"))
+        return done.unionByName(none)          # rows without a prompt never meet on a null key
 
 
 def _apply(df: DataFrame, prompt_col: str, out_col: str, provider, task: str) -> DataFrame:
     if provider is None or isinstance(provider, OfflineProvider):
         p = provider or OfflineProvider()
         return df.withColumn(out_col, getattr(p, task)(F.col(prompt_col)))
-    return provider.run(df, prompt_col, out_col)
+    return provider.run(df, prompt_col, out_col, task)
 
 
 # ---------------------------------------------------------------- G1
@@ -164,6 +190,18 @@ def pair_briefs(enriched_pairs: DataFrame, provider=None) -> DataFrame:
         "query_event", "neighbor_event", "cosine_similarity", "similarity_brief")
 
 
+def scalar_briefs(pairs: DataFrame, features: DataFrame, provider: OfflineProvider | None = None) -> DataFrame:
+    """The scalar form -- classes and briefs as plain column expressions over the joined rows.
+
+    Same columns as ``pair_briefs``; for providers that are column functions.  Classes are computed
+    per incident, before the pairs meet them.
+    """
+    p = provider or OfflineProvider()
+    tags = features.select("event_id", p.classify(classify_prompt("hazard_type", "country_name", "severity")).alias("hazard_bucket"))
+    return pair_features(pairs, features, tags).select(
+        "query_event", "neighbor_event", "cosine_similarity", p.brief(brief_prompt()).alias("similarity_brief"))
+
+
 # ---------------------------------------------------------------- A5
 def neighbor_list(pairs: DataFrame) -> DataFrame:
     """``query_event, neighbor_list``: 'id (sim=0.97), ...' by similarity desc, then id.

@@ -82,8 +82,15 @@ def coerce_quakes(quakes: DataFrame) -> DataFrame:
     return quakes.select(*cols)
 
 
+def dedupe_quakes(quakes: DataFrame) -> DataFrame:
+    """A7 on load: one row per quake id, as overlapping pages repeat them (the smallest by its other fields)."""
+    order = [F.col(c).asc_nulls_last() for c in quakes.columns if c != "id"]
+    return dedupe_by_key(quakes, "id", order or [F.col("id")])
+
+
 def normalize_quakes(quakes: DataFrame, *, coerce: bool = True) -> DataFrame:
-    """Quake feed: datetime from parts under range guards; located, 1901-2025 rows only."""
+    """Quake feed: one row per id; datetime from parts under range guards; located, 1901-2025 rows only."""
+    quakes = dedupe_quakes(quakes)
     q = coerce_quakes(quakes) if coerce else quakes
     y, m, d = (F.col(c).try_cast("bigint") for c in ("year", "month", "day"))
     hh, mm = F.col("hour").try_cast("bigint"), F.col("minute").try_cast("bigint")

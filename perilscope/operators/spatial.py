@@ -33,8 +33,7 @@ def _tile_ranges(y0: Column, y1: Column, x0: Column, x1: Column) -> Column:
 def near_in_time(left: DataFrame, right: DataFrame, *, radius_km: float = 100.0,
                  before_hours: int = 24, after_hours: int = 24, mode: str = "exact",
                  tile_deg: float = 1.0, bin_deg: float = 0.5, bins_reach: int = 2,
-                 max_window_days: int = 31, right_window: tuple[str, str] | None = None,
-                 max_broadcast_rows: int = 200_000) -> DataFrame:
+                 max_window_days: int = 31, right_window: tuple[str, str] | None = None) -> DataFrame:
     """Spatio-temporal band join.
 
     ``left``: incidents with ``lat, lon, start_time, end_time`` (end NULL -> start).
@@ -55,9 +54,8 @@ def near_in_time(left: DataFrame, right: DataFrame, *, radius_km: float = 100.0,
     point side is never exploded.  Both sides are shuffled on the key (sort-merge,
     with AQE's skew split for hot keys): the exploded side is many times its
     input, so it must never be the broadcast side.  Incidents whose window is
-    longer than ``max_window_days`` take a second join keyed by tile only, so no
-    row is dropped: skipped when there are none, broadcast (exploded rows
-    counted first, at most ``max_broadcast_rows``) when few, sort-merge beyond.
+    longer than ``max_window_days`` are exploded over its months instead and joined
+    by (tile, month) in a second branch, which is always part of the plan.
     ``right_window=(lo, hi)``: the time span the point side is
     known to cover (e.g. the staged look-back); incidents whose window misses it
     are skipped before the explode, and the bound reaches the incident scan.
@@ -116,18 +114,14 @@ def near_in_time(left: DataFrame, right: DataFrame, *, radius_km: float = 100.0,
     by_day = Ls.join(Rr, [Ls["_tile_lat"] == Rr["_tile_lat"], Ls["_tile_lon"] == Rr["_tile_lon"],
                           Ls["_day"] == Rr["_day"], residual(Ls, Rr)], "inner")
     out = finish(by_day, Ls, Rr)
-    # long windows are rare: counted first (reads at most max_broadcast_rows + 1 rows).
-    # none -> no second join; a bounded few -> broadcast them, the point side streams
-    # past unshuffled; more -> a sort-merge join keyed by tile alone.
-    long_rows = explode_tiles(L.where(~short))
-    n_long = long_rows.limit(max_broadcast_rows + 1).count()
-    if n_long:
-        Ll = (F.broadcast(long_rows) if n_long <= max_broadcast_rows else long_rows).alias("l")
-        Rl = (R if n_long <= max_broadcast_rows else R.hint("merge")).alias("r")
-        long_win = Ll.join(Rl, [Ll["_tile_lat"] == Rl["_tile_lat"], Ll["_tile_lon"] == Rl["_tile_lon"],
-                                residual(Ll, Rl)], "inner")
-        out = out.unionByName(finish(long_win, Ll, Rl))
-    return out
+    # windows of more days than that are cut by month instead: one more branch of the same
+    # shape, always planned, so nothing is counted to choose a plan
+    month = lambda c: F.year(c) * 12 + F.month(c)
+    Ll = explode_tiles(L.where(~short)).withColumn("_month", F.explode(F.sequence(month("_t0"), month("_t1")))).alias("l")
+    Rl = R.withColumn("_month", month("event_time")).hint("merge").alias("r")
+    by_month = Ll.join(Rl, [Ll["_tile_lat"] == Rl["_tile_lat"], Ll["_tile_lon"] == Rl["_tile_lon"],
+                            Ll["_month"] == Rl["_month"], residual(Ll, Rl)], "inner")
+    return out.unionByName(finish(by_month, Ll, Rl))
 
 
 def count_and_mean(pairs: DataFrame, key: str, value: str, *, count_name: str,

@@ -36,7 +36,7 @@ select
   case when event_id % 7 = 0 then null else event_id % 3 end as injuries_indirect,
   case when event_id % 2 = 0 then null else (event_id % 7) * 1000 end as damage_property,
   0 as damage_crops
-from events where event_id % 3 = 0""",
+from events""",
     "tracks_fx": """
 select
   'T' || cast(user_id as string) as sid,
@@ -44,10 +44,10 @@ select
   case when event_id % 29 = 0 then 'degrees_north' else cast(cast((200 + (event_id * 7919) % 400) / 10.0e0 as decimal(9,1)) as string) end as lat,
   cast(cast((-300 + (event_id * 104729) % 600) / 10.0e0 as decimal(9,1)) as string) as lon,
   case when event_id % 4 = 0 then ' ' else cast(20 + event_id % 130 as string) end as wmo_wind
-from events where event_id % 3 = 1""",
+from events""",
     "quakes_fx": """
 select
-  event_id as id,
+  event_id + 10000000 as id,
   case when event_id % 31 = 0 then '1900?' else ' ' || cast(1890 + event_id % 140 as string) end as year,
   case when event_id % 10 = 0 then '' else cast(1 + event_id % 12 as string) end as month,
   cast(1 + event_id % 31 as string) as day,
@@ -57,7 +57,7 @@ select
   cast(cast((200 + (event_id * 7919) % 400) / 10.0e0 as decimal(9,1)) as string) as latitude,
   case when event_id % 37 = 0 then '999' else cast(cast((-300 + (event_id * 104729) % 600) / 10.0e0 as decimal(9,1)) as string) end as longitude,
   case when event_id % 41 = 0 then '1,234.5' when event_id % 43 = 0 then 'n/a' else cast(cast(event_id % 90 as decimal(9,1)) as string) end as eqmagnitude
-from events where event_id % 3 = 2""",
+from events""",
     "news_fx": """
 select
   o_orderkey as news_id,

@@ -39,11 +39,12 @@ class Options:
     as_of: str                      # news staging date and search date (YYYY-MM-DD)
     news_days: int = news.NEWS_LOOKBACK_DAYS
     sensor_days: int = air.SENSOR_LOOKBACK_DAYS
-    search: str = "exact"           # or "ivf"
+    search: str = "ivf"             # or "exact" (all pairs of recent incidents)
     ivf_lists: int = vectors.IVF_LISTS
     ivf_share: float = vectors.IVF_SHARE
     text_provider: object = None    # None -> offline provider
     embed_provider: Callable | None = None
+    empty_input: str = "error"      # or "skip"
 
 
 Step = tuple[str, Callable[..., DataFrame], list[str]]
@@ -59,18 +60,20 @@ def steps(src: Sources, opt: Options) -> list[Step]:
         return news.stage_news(src.news_events, as_of, days=opt.news_days)
 
     def news_metrics_recent(inc, staged):
-        return news.news_metrics(news.news_pairs(inc, staged, as_of=as_of, days=opt.news_days))
+        # the look-back holds on read too, whatever the stored table carries
+        recent = staged.where(news.lookback_days("event_time", as_of, opt.news_days))
+        return news.news_metrics(news.news_pairs(inc, recent, as_of=as_of, days=opt.news_days))
 
     def openaq_locations_near_incidents(inc):
         lo = F.date_sub(F.lit(as_of).cast("date"), opt.sensor_days).cast("timestamp_ntz")
         return air.sensors_near_incident(inc.where(F.col("start_time") >= lo), src.sites)
 
-    def air_quality_metrics(inc, near):
+    def air_quality_metrics(inc):
         if src.measurements is None:
             spark = inc.sparkSession
             return spark.createDataFrame([], "event_id string, pm25_before double, pm25_after double, "
                                              "pm10_before double, pm10_after double")
-        return air.air_quality_before_after(inc, near, src.measurements)
+        return air.air_quality_before_after(inc, src.sites, src.measurements)
 
     def incidents_roads_10d(inc):
         return enrich.incident_roads(inc, src.countries, src.roads, as_of)
@@ -114,7 +117,7 @@ def steps(src: Sources, opt: Options) -> list[Step]:
         ("gdelt_recent_sig", gdelt_recent_sig, []),
         ("news_metrics_recent", news_metrics_recent, ["incidents_raw", "gdelt_recent_sig"]),
         ("openaq_locations_near_incidents", openaq_locations_near_incidents, ["incidents_raw"]),
-        ("air_quality_metrics", air_quality_metrics, ["incidents_raw", "openaq_locations_near_incidents"]),
+        ("air_quality_metrics", air_quality_metrics, ["incidents_raw"]),
         ("incidents_roads_10d", incidents_roads_10d, ["incidents_raw"]),
         ("incidents_enriched", incidents_enriched, ["incidents_raw"]),
         ("incident_corpus", incident_corpus, ["incidents_enriched", "air_quality_metrics", "news_metrics_recent"]),
@@ -138,9 +141,16 @@ LAYOUT = {
 
 def run(spark: SparkSession, src: Sources, out_dir: str, opt: Options,
         only: list[str] | None = None) -> dict[str, str]:
-    """Run the steps in order; returns ``{table: path}``."""
+    """Run the steps in order; returns ``{table: path}``.
+
+    ``opt.empty_input``: what to do when no source has an incident (K8): ``error`` stops the run
+    before any table is written, ``skip`` leaves the stored tables as they are.
+    """
     from ..session import ship_package
     ship_package(spark)
+    if not sinks.require_rows(normalize.union_incidents(src.storms, src.tracks, src.quakes), "incidents",
+                              policy=opt.empty_input):
+        return {}
     paths: dict[str, str] = {}
     for name, fn, inputs in steps(src, opt):
         path = os.path.join(out_dir, name)

@@ -8,7 +8,7 @@ from .. import fixtures as fx
 from ..functions import clean
 from ..operators import normalize
 from ..session import scratch_path
-from ..sources import files, sinks
+from ..sources import files, shapes, sinks
 from .oracle_fixtures import with_ctes
 from .q_enrich import O_STAGE, r6, staged_news
 from .registry import query
@@ -162,6 +162,54 @@ def q_dedupe_by_key(spark, d):
     return normalize.dedupe_by_key(t, "sid", order).select("sid", "iso_time", "lat", "lon", "wmo_wind")
 
 
+@query("quakes_deduped", with_ctes("quakes_fx", body=f"""
+select {', '.join(f'cast({c} as varchar) as {c}' for c in ('id', 'year', 'month', 'day', 'hour', 'minute', 'second', 'latitude', 'longitude', 'eqmagnitude'))}
+from quakes_fx"""))
+def q_quakes_deduped(spark, d):
+    """Overlapping pages bring every quake three times, once with a later value; one row per id stays."""
+    q = fx.quakes_fx(spark, d)
+    later = q.withColumn("eqmagnitude", F.concat(F.lit("~"), F.coalesce("eqmagnitude", F.lit(""))))
+    out = normalize.dedupe_quakes(q.unionByName(q).unionByName(later))
+    return out.select(*[F.col(c).cast("string").alias(c) for c in QUAKE_FIELDS])
+
+
+@query("tables_by_readback", with_ctes("incidents_fx", body="""
+select event_id, hazard_type, cast(row_number() over (order by event_id) - 1 as bigint) as "index" from incidents_fx"""))
+def q_tables_by_readback(spark, d):
+    """K1, K3, K4, K8: indexed by id, written clustered, guarded against emptiness, and read back."""
+    t = sinks.with_index(fx.incidents_fx(spark, d).select("event_id", "hazard_type"), ["event_id"])
+    path = sinks.write_table(t, scratch_path(spark, "indexed-incidents"), cluster_by=["hazard_type", "event_id"])
+    back = spark.read.parquet(path)
+    sinks.require_rows(back, "incidents")
+    return back.select("event_id", "hazard_type", F.col("index").cast("bigint").alias("index"))
+
+
+AQ_UNION = """
+select u.event_id, a.row_id, a.pollutant, a.value,
+  max(case when a.ts >= u.start_time - interval 24 hour and a.ts < u.start_time then 1 else 0 end) as before,
+  max(case when a.ts > coalesce(u.end_time, u.start_time) and a.ts <= coalesce(u.end_time, u.start_time) + interval 24 hour then 1 else 0 end) as after
+from (select *, 100 / 111.0 as dlat, 100 / (111.320 * greatest(cos(radians(lat)), 1e-6)) as dlon from u where lat is not null) u
+join sensors_fx s on s.lat between greatest(u.lat - u.dlat, -90.0) and least(u.lat + u.dlat, 90.0)
+ and s.lon between u.lon - u.dlon and u.lon + u.dlon
+join (select *, row_number() over () as row_id from air_fx) a on a.location_id = s.location_id and a.pollutant in ('pm25', 'pm10')
+ and a.ts between u.start_time - interval 24 hour and coalesce(u.end_time, u.start_time) + interval 24 hour
+group by 1, 2, 3, 4"""
+
+
+@query("air_quality_repeated_ids", with_ctes(*UNION_CHAIN, "sensors_fx", "air_fx", ("aqu", AQ_UNION), body="""
+select event_id,
+  round(avg(case when pollutant = 'pm25' and before = 1 then value end), 6) as pm25_before,
+  round(avg(case when pollutant = 'pm25' and after = 1 then value end), 6) as pm25_after,
+  round(avg(case when pollutant = 'pm10' and before = 1 then value end), 6) as pm10_before,
+  round(avg(case when pollutant = 'pm10' and after = 1 then value end), 6) as pm10_after
+from aqu where before = 1 or after = 1 group by event_id"""))
+def q_air_quality_repeated_ids(spark, d):
+    """I1 on the union feed, where a storm has a row per track point: each point pairs its own sensors with its own window."""
+    from ..operators import air
+    a = air.air_quality_before_after(union(spark, d), fx.sensors_fx(spark, d), fx.air_fx(spark, d))
+    return a.select("event_id", *[r6(c).alias(c) for c in ("pm25_before", "pm25_after", "pm10_before", "pm10_after")])
+
+
 @query("load_report", with_ctes("storms_fx", "tracks_fx", "quakes_fx", body="""
 select 'storms' as table_name, count(*)::bigint as n_rows, 13::bigint as n_columns from storms_fx
 union all select 'tracks', count(*)::bigint, 5::bigint from tracks_fx
@@ -232,16 +280,16 @@ def _land_pages(df, path, *, group, page, shape):
 select {', '.join(f'cast({c} as varchar) as {c}' for c in QUAKE_FIELDS)} from quakes_fx"""))
 def q_quake_pages_load(spark, d):
     """Quake feed landed as API pages: ``{"items": [...]}`` or a bare list, plus
-    empty and blank bodies; read back as text fields."""
+    an empty page and an object without items; read back as text fields."""
     q = fx.quakes_fx(spark, d).withColumn("yr", F.pmod(F.col("id"), F.lit(7)))
     path = scratch_path(spark, "landed-quake-pages")
     shape = lambda page, items: F.when(page % 2 == 0, items).otherwise(
         F.concat(F.lit('{"items":'), items, F.lit("}")))
-    bodies = _land_pages(q, path, group=["yr"], page=F.floor(F.col("id") / (7 * 3 * 200)) + 1, shape=shape)
-    # an empty page and a blank body per bucket: both must yield no rows
+    bodies = _land_pages(q, path, group=["yr"], page=F.floor(F.pmod("id", F.lit(10_000_000)) / (7 * 200)) + 1, shape=shape)
+    # an empty page and one without the list per bucket: both must yield no rows
     last = bodies.groupBy("yr").agg(F.max("page").alias("page"))
     tail = (last.select("yr", (F.col("page") + 1).alias("page"), F.lit('{"items": []}').alias("value"))
-            .unionByName(last.select("yr", (F.col("page") + 2).alias("page"), F.lit(" ").alias("value"))))
+            .unionByName(last.select("yr", (F.col("page") + 2).alias("page"), F.lit('{"next": null}').alias("value"))))
     tail.repartition("yr", "page").write.mode("append").partitionBy("yr", "page").text(path)
     return files.read_json_pages(spark, path, QUAKE_FIELDS, list_keys=("items",))
 
@@ -270,6 +318,78 @@ def q_sensor_pages_load(spark, d):
     return out.select(*SENSOR_FIELDS)
 
 
+BOX_POINTS = ["min_lon min_lat", "max_lon min_lat", "max_lon max_lat", "min_lon max_lat", "min_lon min_lat"]
+_AREA_SQL = """
+select c.country_id, c.iso_code, c.country_name, c.is_land, cast(c.version as bigint) as version,
+       round(min_lon, 6) as first_lon, round(max_lat, 6) as third_lat, 1::bigint as n_parts, 5::bigint as n_points
+from countries_fx c"""
+
+
+def _landed_areas(spark, d, geometry):
+    """Division areas as they land: names as a struct, flags as text, regions and shapeless areas among them."""
+    c = fx.countries_fx(spark, d)
+    rows = c.select(F.col("country_id").alias("id"), F.struct(F.col("country_name").alias("primary")).alias("names"),
+                    F.col("iso_code").alias("country"), F.lit("country").alias("subtype"),
+                    F.col("is_land").cast("string").alias("is_land"), F.col("version").cast("string").alias("version"),
+                    geometry.alias("geometry"))
+    other = rows.withColumn("subtype", F.lit("region"))
+    return rows.unionByName(other).unionByName(rows.withColumn("geometry", F.lit(None).cast(rows.schema["geometry"].dataType)))
+
+
+def _areas_out(a):
+    return a.select("country_id", "iso_code", "country_name", "is_land", "version",
+                    r6(F.col("geom")[0][0][0]["lon"]).alias("first_lon"), r6(F.col("geom")[0][0][2]["lat"]).alias("third_lat"),
+                    F.size("geom").cast("bigint").alias("n_parts"), F.size(F.col("geom")[0][0]).cast("bigint").alias("n_points"))
+
+
+@query("division_area_load", with_ctes("countries_fx", body=_AREA_SQL))
+def q_division_area_load(spark, d):
+    """S5/F5 from GeoJSON: country areas only, names.primary, cast flags, decoded rings."""
+    pts = [F.format_string("[%s,%s]", *[F.col(x).cast("string") for x in p.split()]) for p in BOX_POINTS]
+    g = F.concat(F.lit('{"type":"Polygon","coordinates":[['), F.concat_ws(",", *pts), F.lit("]]}"))
+    return _areas_out(shapes.division_areas(_landed_areas(spark, d, g)))
+
+
+@query("segment_load", with_ctes("roads_fx", body="""
+select road_id, round(lon, 6) as lon, round(lat_a, 6) as lat_a, round(lat_b, 6) as lat_b from roads_fx"""))
+def q_segment_load(spark, d):
+    """S5 from GeoJSON lines; rails and shapeless segments are left out."""
+    r = fx.roads_fx(spark, d)
+    s = [F.col(c).cast("string") for c in ("lon", "lat_a", "lon", "lat_b")]
+    g = F.format_string('{"type":"LineString","coordinates":[[%s,%s],[%s,%s]]}', *s)
+    rows = r.select(F.col("road_id").alias("id"), F.lit("road").alias("subtype"), g.alias("geometry"))
+    landed = rows.unionByName(rows.withColumn("subtype", F.lit("rail"))).unionByName(
+        rows.withColumn("geometry", F.lit(None).cast("string")))
+    return shapes.road_segments(landed, subtype="road").select(
+        "road_id", r6(F.col("geom")[0]["lon"]).alias("lon"), r6(F.col("geom")[0]["lat"]).alias("lat_a"),
+        r6(F.col("geom")[1]["lat"]).alias("lat_b"))
+
+
+@query("sensor_items", with_ctes("sensors_fx", body="""
+select location_id, round(lat, 6) as lat, round(lon, 6) as lon, location_name,
+       case when country_raw is null then null
+            when ltrim(country_raw) like '{%' then coalesce(json_extract_string(country_raw, '$.code'),
+                                                             json_extract_string(country_raw, '$.name'))
+            else country_raw end as country from sensors_fx"""))
+def q_sensor_items(spark, d):
+    """Sensor lists in the service's shape: coordinates as an object, names and countries as objects or text."""
+    s = fx.sensors_fx(spark, d)
+    country = F.when(F.col("country_raw").startswith("{"), F.col("country_raw")).when(
+        F.col("country_raw").isNotNull(), F.concat(F.lit('"'), F.col("country_raw"), F.lit('"'))).otherwise(F.lit("null"))
+    body = F.concat(F.lit('{"id":'), F.col("location_id").cast("string"), F.lit(',"name":"'), F.col("location_name"),
+                    F.lit('","coordinates":{"latitude":'), F.col("lat").cast("string"), F.lit(',"longitude":'),
+                    F.col("lon").cast("string"), F.lit('},"country":'), country, F.lit("}"))
+    path = scratch_path(spark, "landed-sensor-items")
+    s.select(F.concat(F.lit('{"results":['), body, F.lit("]}")).alias("value"), F.pmod("location_id", F.lit(50)).alias("k")) \
+        .groupBy("k").agg(F.min("value"), F.collect_list(F.expr("substring(value, 13, length(value) - 14)")).alias("v")) \
+        .select(F.concat(F.lit('{"results":['), F.array_join("v", ","), F.lit("]}")).alias("value"), F.col("k").alias("page")) \
+        .repartition("page").write.mode("overwrite").partitionBy("page").text(path)
+    items = files.read_json_pages(spark, path, ["id", "name", "coordinates", "country"], list_keys=("results",))
+    out = shapes.sensor_items(items)
+    return out.select("location_id", r6("lat").alias("lat"), r6("lon").alias("lon"), "location_name",
+                      clean.pick_label("country_raw", ("code", "name")).alias("country"))
+
+
 @query("staged_news_layout", with_ctes("news_fx", O_STAGE, body="""
 select news_id, cast(event_time as date) as event_date, lat_bin, lon_bin from news_stage
 where cast(event_time as date) >= date '2024-01-15'"""))

@@ -156,9 +156,13 @@ def q_parse_yyyymmdd(spark, d):
     return fx.news_fx(spark, d).select("news_id", "sqldate", parse_yyyymmdd("sqldate").alias("event_time"))
 
 
-@query("lookback_filter", with_ctes("news_fx", O_STAGE, body="select news_id, event_time from news_stage"))
+@query("lookback_filter", with_ctes("news_fx", body="""
+select news_id, cast(strptime(cast(sqldate as varchar), '%Y%m%d') as timestamp) as event_time from news_fx
+where sqldate between 20240113 and 20240120 and lat between -90 and 90 and lon between -180 and 180
+  and tone is not null and num_articles is not null"""))
 def q_lookback(spark, d):
-    return staged_news(spark, d).select("news_id", "event_time")
+    """A week's look-back inside the month of news: days before it and after it are dropped."""
+    return news.stage_news(fx.news_fx(spark, d), "2024-01-20", days=7).select("news_id", "event_time")
 
 
 @query("staged_news", with_ctes("news_fx", O_STAGE, body="""

@@ -33,12 +33,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared work folder, as named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests, a bare local run) do we pick one,
-    and then only through ``setCheckpointDir`` (the conf itself is read-only at
-    run time).
+    Only when a local session names none (tests, a bare local run) do we pick
+    one, and then only through ``setCheckpointDir`` (the conf itself is read-only
+    at run time).  On a cluster a missing setting is an error: executors could
+    not share a folder of the driver's machine.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="perilscope-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
@@ -52,14 +55,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df):
-    """Round-robin ``df`` over the cluster's cores when it has fewer partitions.
+    """Deal ``df`` evenly over the shuffle partitions.
 
-    Used right before a high-expansion step (tile/day explode, tokenising whole
-    texts, ray casts), so a small input read as one split is not expanded by a
-    single task.  On a large input (more partitions than cores) it does nothing.
+    Used right before a high-expansion step (tile/day explode, ray casts) on its
+    narrow side, whatever the input's size: an input read as one split is then not
+    expanded by a single task.  Plans only; no job runs here.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def materialize(df, name: str = "stage"):

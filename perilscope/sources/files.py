@@ -28,26 +28,35 @@ def read_csv_landed(spark: SparkSession, path: str, columns: Sequence[str], *,
     """CSV with a header row and quoted newlines, every column as text.
 
     Header names are matched case-insensitively to ``columns`` by position-free
-    lookup: the file's header must contain them (extra columns are ignored).
+    lookup: the file's header must contain them (extra columns are ignored).  All
+    files must have the same header: one with other columns, or the same in
+    another order, stops the read instead of being read by position.
     """
-    raw = (spark.read.option("header", str(header).lower())
-           .option("multiLine", "true").option("quote", '"').option("escape", '"')
-           .option("mode", "PERMISSIVE").option("inferSchema", "false")
-           .csv(path))
+    def reader():
+        return (spark.read.option("header", str(header).lower())
+                .option("multiLine", "true").option("quote", '"').option("escape", '"')
+                .option("mode", "PERMISSIVE").option("inferSchema", "false"))
+
+    schema = reader().csv(path).schema                    # the header of one file
+    raw = reader().schema(schema).option("enforceSchema", "false").csv(path)   # checked in every file
     lower = {c.lower(): c for c in raw.columns}
     return raw.select(*[F.col(f"`{lower[c.lower()]}`").cast("string").alias(c) for c in columns])
 
 
-def _page_items(value, item_ddl: str, list_keys: Sequence[str]):
+def _page_items(value, item_ddl: str, list_keys: Sequence[str], file):
     """The item array of one JSON page body: an object holding one of
-    ``list_keys``, or a bare array; anything else (empty, malformed) -> empty."""
+    ``list_keys``, or a bare array; an object without any of them has no items.  A
+    body that is not whole JSON stops the read and names its file."""
+    whole = F.try_parse_json(value)
     obj_ddl = "struct<" + ",".join(f"{k}:array<{item_ddl}>" for k in list_keys) + ">"
     head = F.ltrim(value)
     as_obj = F.from_json(value, obj_ddl)
     from_obj = F.coalesce(*[as_obj[k] for k in list_keys])
     as_list = F.from_json(value, f"array<{item_ddl}>")
-    return F.coalesce(F.when(head.startswith("["), as_list).when(head.startswith("{"), from_obj),
-                      F.array().cast(f"array<{item_ddl}>"))
+    items = F.coalesce(F.when(head.startswith("["), as_list).when(head.startswith("{"), from_obj),
+                       F.array().cast(f"array<{item_ddl}>"))
+    return F.when(whole.isNull(), F.raise_error(F.concat(F.lit("page is not whole JSON: "), file))
+                  .cast(f"array<{item_ddl}>")).otherwise(items)
 
 
 def read_json_pages(spark: SparkSession, path: str, fields: Sequence[str], *,
@@ -58,12 +67,13 @@ def read_json_pages(spark: SparkSession, path: str, fields: Sequence[str], *,
     size).  With ``stop_at_empty`` the pages are numbered by the ``page=N``
     folder they sit in (within an optional ``query=Q`` folder, one per paged
     request), and pages after the first empty one of a request are ignored, as
-    the paging client would never have fetched them.
+    the paging client would never have fetched them.  Only a page that was parsed
+    and holds no items is empty; one that cannot be parsed is an error.
     """
     item_ddl = "struct<" + ",".join(f"`{f}`:string" for f in fields) + ">"
     pages = (spark.read.option("wholetext", "true").text(path)
              .select(F.col("value"), F.col("_metadata.file_path").alias("_file")))
-    pages = pages.withColumn("_items", _page_items(F.col("value"), item_ddl, list_keys))
+    pages = pages.withColumn("_items", _page_items(F.col("value"), item_ddl, list_keys, F.col("_file")))
     if stop_at_empty:
         pages = (pages.withColumn("_page", F.regexp_extract("_file", r"page=(\d+)", 1).cast("int"))
                  .withColumn("_query", F.regexp_extract("_file", r"query=([^/]+)", 1)))
