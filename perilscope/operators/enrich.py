@@ -58,14 +58,10 @@ def best_polygon_per_iso(countries: DataFrame) -> DataFrame:
     return countries.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def road_km_by_country(roads: DataFrame, countries: DataFrame, *, tile_deg: float = 1.0,
-                       all_countries: DataFrame | None = None) -> DataFrame:
-    """A2 over J7: total clipped road length per iso_code, in km.
-
-    ``all_countries``: the table ``countries`` was cut from (sizes the edge table)."""
+def road_km_by_country(roads: DataFrame, countries: DataFrame, *, tile_deg: float = 1.0) -> DataFrame:
+    """A2 over J7: total clipped road length per iso_code, in km."""
     polys = best_polygon_per_iso(countries)
-    pairs = line_length_in(roads, polys, line_key="road_id", poly_key="country_id", tile_deg=tile_deg,
-                           size_from=all_countries)
+    pairs = line_length_in(roads, polys, line_key="road_id", poly_key="country_id", tile_deg=tile_deg)
     return length_by(pairs, polys, poly_key="country_id", group="iso_code")
 
 
@@ -80,7 +76,7 @@ def attach_country(incidents: DataFrame, countries: DataFrame, *, tile_deg: floa
     never shipped whole.  ``key=None`` keeps every input row.
     """
     polys = countries.select("country_id", "iso_code", "country_name", "is_land", "version", "geom")
-    out = locate_best(incidents, polys, COUNTRY_ORDER, tile_deg=tile_deg, poly_key="country_id")
+    out = locate_best(incidents, polys, COUNTRY_ORDER, tile_deg=tile_deg)
     if key:
         order = [F.col("is_land").desc_nulls_last(), F.col("version").desc_nulls_last(),
                  F.col("iso_code").asc_nulls_last(), F.col("country_id").asc_nulls_last()]
@@ -99,7 +95,7 @@ def enrich_incidents(incidents: DataFrame, countries: DataFrame, population: Dat
     pop = population_lookup(population_by_country(countries, population))
     with_pop = lookup_by_year(located, pop)
     needed = countries_needed(countries, located)
-    rk = road_km_by_country(roads, needed, tile_deg=tile_deg, all_countries=countries)
+    rk = road_km_by_country(roads, needed, tile_deg=tile_deg)
     return (with_pop.join(rk, "iso_code", "left")
             .withColumn("road_km_country", F.coalesce(F.col("road_km"), F.lit(road_default)))
             .drop("road_km"))
@@ -121,7 +117,10 @@ def incident_roads(incidents: DataFrame, countries: DataFrame, roads: DataFrame,
     inc = incidents.where((F.col("start_time") >= lo) & F.col("lat").isNotNull() & F.col("lon").isNotNull())
     polys = countries.select("country_id", "country_name", "iso_code", "geom")
     hit = locate(inc.select("event_id", "hazard_type", "start_time", "end_time", "lat", "lon"), polys,
-                 tile_deg=tile_deg, poly_key="country_id")
-    rbc = road_km_by_polygon(roads, countries, tile_deg=tile_deg).select("country_id", "road_km")
+                 tile_deg=tile_deg)
+    # both sides of the look-up read it: stored once; only polygons that hold an incident are clipped
+    hit = materialize(hit, "recent-located")
+    held = hit.select("country_id").where("country_id is not null").distinct()
+    rbc = road_km_by_polygon(roads, countries.join(held, "country_id", "left_semi"), tile_deg=tile_deg).select("country_id", "road_km")
     return (hit.join(rbc, "country_id", "left")
             .select("event_id", "hazard_type", "start_time", "end_time", "country_name", "iso_code", "road_km"))

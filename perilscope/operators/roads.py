@@ -1,34 +1,22 @@
 """Line-polygon intersection join and clipped length (J7, G-5, G-6, A2).
 
-Plan: both sides are exploded over the tiles of their bboxes (roads are short,
-so a road covers one or a few tiles; polygons are few), then equi-joined on the
-tile.  A (line, polygon) pair can meet in several tiles; it is kept only in the
-lowest tile common to both bbox covers, which is unique, so no ``distinct``
-shuffle is needed.  The exact clip (split every line segment at the ring
-crossings, keep pieces whose midpoint is inside, sum their great-circle length)
-is a vectorised numpy kernel applied with ``mapInPandas`` on the pairs.
+Lines are cut at tile borders and joined with the polygons' tiles (``outlines``):
+equal tiles meet, interior tiles count whole, and boundary tiles are clipped
+against their own edges only.  ``clip_length_km`` is the plain kernel for one
+line and one outline; the tests hold the join against it.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import spread
-from ..functions.geo import EARTH_RADIUS_KM, line_bbox, polygon_bbox
+from ..functions.geo import EARTH_RADIUS_KM
+from .outlines import clip_pieces, cut_lines, outline_tiles
 
 
-def _flat_polygon_edges(geom_col: str):
-    """Polygon -> struct(part, ax, ay, bx, by) arrays over every ring edge."""
-    g = F.col(geom_col)
-    parts = F.transform(g, lambda part, i: F.transform(
-        part, lambda ring: F.zip_with(
-            F.slice(ring, 1, F.size(ring) - 1), F.slice(ring, 2, F.size(ring) - 1),
-            lambda a, b: F.struct(i.alias("part"), a["lon"].alias("ax"), a["lat"].alias("ay"),
-                                  b["lon"].alias("bx"), b["lat"].alias("by")))))
-    edges = F.flatten(F.flatten(parts))
-    return [F.transform(edges, lambda e: e[k]).alias(f"e_{k}") for k in ("part", "ax", "ay", "bx", "by")]
+PIECE = "struct<seg:int,t0:double,t1:double,x0:double,y0:double,x1:double,y1:double>"
 
 
 def _hav(lon1, lat1, lon2, lat2):
@@ -88,148 +76,92 @@ def clip_length_km(lx, ly, part, ax, ay, bx, by):
     return total, touches or total > 0
 
 
-def _clip_batches(it):
-    """Exact clip per (line, polygon) row; rows flagged ``_in`` (a line wholly in an
-    interior tile) keep their precomputed length ``_full``."""
-    for pdf in it:
-        n = len(pdf)
-        lens = np.zeros(n, dtype="float64")
-        hits = np.zeros(n, dtype=bool)
-        flag = pdf["_in"].to_numpy(dtype=bool) if "_in" in pdf else np.zeros(n, dtype=bool)
-        if flag.any():
-            lens[flag] = pdf["_full"].to_numpy(dtype="float64")[flag]
-            hits[flag] = True
-        cols = [pdf[c].to_numpy() for c in ("l_lon", "l_lat", "e_part", "e_ax", "e_ay", "e_bx", "e_by")]
-        for i in np.flatnonzero(~flag):
-            lens[i], hits[i] = clip_length_km(*(c[i] for c in cols))
-        out = pdf[["line_id", "poly_id"]].copy()
-        out["length_km"] = lens
-        out["intersects"] = hits
-        yield out
-
-
-def _classify_tiles(it, tile_deg: float):
-    """Per polygon: every tile of its bbox as interior (0), exterior (1) or boundary (2).
-
-    Boundary: the tile meets the bbox of some edge (a superset of the tiles the
-    outline crosses).  Any other tile is crossed by no edge, so it lies wholly
-    inside or wholly outside: its centre decides (ray cast in numpy, chunked).
-    """
-    for pdf in it:
-        out = []
-        for row in pdf.itertuples(index=False):
-            part = np.asarray(row.e_part)
-            ax, ay, bx, by = (np.asarray(v, float) for v in (row.e_ax, row.e_ay, row.e_bx, row.e_by))
-            y0, y1, x0, x1 = int(row.py0), int(row.py1), int(row.px0), int(row.px1)
-            ny, nx = y1 - y0 + 1, x1 - x0 + 1
-            cls = np.full((ny, nx), -1, dtype=np.int8)
-            ey0 = np.floor(np.minimum(ay, by) / tile_deg).astype(np.int64) - y0
-            ey1 = np.floor(np.maximum(ay, by) / tile_deg).astype(np.int64) - y0
-            ex0 = np.floor(np.minimum(ax, bx) / tile_deg).astype(np.int64) - x0
-            ex1 = np.floor(np.maximum(ax, bx) / tile_deg).astype(np.int64) - x0
-            for a, b, c, d in zip(ey0, ey1, ex0, ex1):
-                cls[a:b + 1, c:d + 1] = 2
-            todo = np.argwhere(cls < 0)
-            step = max(1, int(4_000_000 // max(1, len(ax))))   # centres x edges per chunk <= 4M
-            for k in range(0, len(todo), step):
-                blk = todo[k:k + step]
-                cy = (blk[:, 0] + y0 + 0.5) * tile_deg
-                cx = (blk[:, 1] + x0 + 0.5) * tile_deg
-                inside = _inside(cx, cy, part, ax, ay, bx, by)
-                cls[blk[:, 0], blk[:, 1]] = np.where(inside, 0, 1)
-            yy, xx = np.nonzero(cls >= 0)
-            out.append(pd.DataFrame({"poly_id": row.poly_id, "ty": yy + y0, "tx": xx + x0,
-                                     "cls": cls[yy, xx].astype(np.int32), "py0": y0, "px0": x0}))
-        yield pd.concat(out, ignore_index=True) if out else pd.DataFrame(
-            {"poly_id": [], "ty": [], "tx": [], "cls": [], "py0": [], "px0": []})
-
-
-def polygon_tile_classes(polygons: DataFrame, *, poly_key: str = "country_id", poly_geom: str = "geom",
-                         tile_deg: float = 1.0) -> DataFrame:
-    """``poly_id, ty, tx, cls, py0, px0`` for every tile of every polygon's bbox
-    (cls: 0 interior, 1 exterior, 2 boundary).  Work and size follow the polygon
-    table only; computed once per polygon set."""
-    fl = lambda c: F.floor(c / F.lit(tile_deg)).cast("bigint")
-    polys = (polygons.select(F.col(poly_key).alias("poly_id"), F.col(poly_geom).alias("g"))
-             .withColumn("_bb", polygon_bbox(F.col("g")))
-             .select("poly_id", *_flat_polygon_edges("g"),
-                     fl(F.col("_bb.min_lat")).alias("py0"), fl(F.col("_bb.max_lat")).alias("py1"),
-                     fl(F.col("_bb.min_lon")).alias("px0"), fl(F.col("_bb.max_lon")).alias("px1")))
-    pt = polys.schema["poly_id"].dataType.simpleString()
-    return polys.mapInPandas(lambda it: _classify_tiles(it, tile_deg),
-                             f"poly_id {pt}, ty long, tx long, cls int, py0 long, px0 long")
-
-
-def _line_length_km(line: str):
-    """Great-circle length of a whole line, in the JVM (for lines wholly inside)."""
-    pts = F.col(line)
-    n = F.size(pts)
-
-    def seg(a, b):
-        p1, p2 = F.radians(a["lat"]), F.radians(b["lat"])
-        h = (F.pow(F.sin((p2 - p1) / 2), 2)
-             + F.cos(p1) * F.cos(p2) * F.pow(F.sin((F.radians(b["lon"]) - F.radians(a["lon"])) / 2), 2))
+def _clip(batches, tile_deg: float):
+    """Rows of (line, polygon, tile) -> the parts of the line inside, one array of intervals per row."""
+    import pyarrow as pa
+
+    def items(col, names):
+        off = col.offsets.to_numpy().astype("i8")
+        flat = col.values.slice(off[0], off[-1] - off[0])
+        return {n: flat.field(k).to_numpy(zero_copy_only=False) for k, n in enumerate(names)}, off - off[0]
+
+    for batch in batches:
+        step = 256                                   # rows at a time: pieces x edges stay small
+        for lo in range(0, batch.num_rows, step):
+            b = batch.slice(lo, step)
+            p, p_off = items(b.column("pieces"), ["seg", "t0", "t1", "x0", "y0", "x1", "y1"])
+            e, e_off = items(b.column("edges"), ["part", "ax", "ay", "bx", "by"])
+            odd_col = b.column("odd")
+            o_off = odd_col.offsets.to_numpy().astype("i8")
+            odd = odd_col.values.slice(o_off[0], o_off[-1] - o_off[0]).to_numpy(zero_copy_only=False)
+            xc = (b.column("tx").to_numpy() + 0.5) * tile_deg
+            yc = (b.column("ty").to_numpy() + 0.5) * tile_deg
+            row, piece, t0, t1, touched = clip_pieces(p, p_off, e, e_off, odd, o_off - o_off[0], xc, yc)
+            counts = np.bincount(row, minlength=b.num_rows)
+            keep = touched | (counts > 0)
+            off = np.concatenate([[0], np.cumsum(counts)])
+            parts = pa.StructArray.from_arrays(
+                [pa.array(p["seg"][piece]), pa.array(t0), pa.array(t1), *[pa.array(p[n][piece]) for n in ("x0", "y0", "x1", "y1")]],
+                names=["seg", "t0", "t1", "x0", "y0", "x1", "y1"])
+            out = pa.RecordBatch.from_arrays(
+                [b.column("line_id"), b.column("poly_id"), b.column("alone"), pa.ListArray.from_arrays(pa.array(off.astype("i4")), parts)],
+                ["line_id", "poly_id", "alone", "parts"])
+            yield out.filter(pa.array(keep))
+
+
+def _length_km(parts):
+    """Great-circle length of intervals, those that meet end to end taken as one (in the JVM)."""
+    def point(x, t):
+        return x["x0"] + t * (x["x1"] - x["x0"]), x["y0"] + t * (x["y1"] - x["y0"])
+
+    def leg(x):
+        (lon1, lat1), (lon2, lat2) = point(x, x["t0"]), point(x, x["t1"])
+        p1, p2 = F.radians(lat1), F.radians(lat2)
+        h = F.pow(F.sin((p2 - p1) / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin((F.radians(lon2) - F.radians(lon1)) / 2), 2)
         return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
-    legs = F.zip_with(F.slice(pts, 1, n - 1), F.slice(pts, 2, n - 1), seg)
-    return F.aggregate(legs, F.lit(0.0), lambda acc, x: acc + x)
+
+    def runs(s):
+        # a run starts where no other interval of its segment ends, and ends where none starts
+        n = F.size(s)
+        nxt = F.concat(F.slice(s, 2, F.greatest(n - 1, F.lit(0))), F.array(F.lit(None).cast(PIECE)))
+        prv = F.concat(F.array(F.lit(None).cast(PIECE)), F.slice(s, 1, F.greatest(n - 1, F.lit(0))))
+
+        def joined(a, b):
+            return F.coalesce((a["seg"] == b["seg"]) & (a["t1"] == b["t0"]), F.lit(False))
+        starts = F.filter(F.zip_with(s, prv, lambda x, q: F.when(~joined(q, x), x)), lambda x: x.isNotNull())
+        ends = F.filter(F.zip_with(s, nxt, lambda x, q: F.when(~joined(x, q), x)), lambda x: x.isNotNull())
+        return F.zip_with(starts, ends, lambda a, b: F.struct(
+            a["t0"].alias("t0"), b["t1"].alias("t1"), *[a[k].alias(k) for k in ("x0", "y0", "x1", "y1")]))
+    return F.aggregate(runs(F.array_sort(parts)), F.lit(0.0), lambda acc, x: acc + leg(x))
 
 
 def line_length_in(lines: DataFrame, polygons: DataFrame, *, line_key: str = "road_id",
                    poly_key: str = "country_id", tile_deg: float = 1.0,
-                   line_geom: str = "geom", poly_geom: str = "geom",
-                   max_vertices: int | None = None, size_from: DataFrame | None = None) -> DataFrame:
+                   line_geom: str = "geom", poly_geom: str = "geom") -> DataFrame:
     """ST_INTERSECTS join + ST_LENGTH(ST_INTERSECTION) per (line, polygon) pair in km.
 
     Returns ``line_key, poly_key, length_km`` for intersecting pairs (touching
-    pairs have length 0).  Lines are joined to the polygons' tile classes
-    (interior / exterior / boundary, computed once per polygon set):
-
-    * a line within one interior tile is wholly inside: its length, in the JVM;
-    * a line within one exterior tile cannot meet the polygon: dropped;
-    * every other pair -- a boundary tile, or a line over several tiles, kept in
-      the lowest tile common to both covers so it is evaluated once -- goes to
-      the exact numpy clip with the polygon's edges.  The edge table (one row
-      per polygon) is broadcast when its vertices fit the budget (checked with
-      one aggregate), else joined by polygon id.  All in one pass: one join,
-      one Python stage, and interior rows ship no edges to Python.
-      ``size_from``: a stored table the polygons are a subset of (e.g. all
-      countries, when ``polygons`` is the countries some incidents fall in);
-      the size check then reads it instead of re-running the subset's plan.
+    pairs have length 0).  Lines are cut at the tile borders and joined by tile
+    with the polygons' tiles (``outlines``):
+
+    * pieces are clipped against their tile's own edges, whole batches at a time
+      in numpy; on a tile inside the polygon there are none, and they stay whole;
+    * a line with one tile is done then; the intervals of the others meet by
+      (line, polygon), where intervals that were cut at a border are joined again.
+
+    No row carries an outline, and which rows go where depends on the row alone.
     """
-    from .spatial import MAX_INDEXED_VERTICES
-    budget = MAX_INDEXED_VERTICES if max_vertices is None else max_vertices
-    fl = lambda c: F.floor(c / F.lit(tile_deg)).cast("bigint")
-    L = (spread(lines.select(F.col(line_key).alias("line_id"), F.col(line_geom).alias("line")))
-         .withColumn("_bb", line_bbox(F.col("line")))
-         .select("line_id", "line",
-                 fl(F.col("_bb.min_lat")).alias("ly0"), fl(F.col("_bb.max_lat")).alias("ly1"),
-                 fl(F.col("_bb.min_lon")).alias("lx0"), fl(F.col("_bb.max_lon")).alias("lx1"))
-         .withColumn("_single", (F.col("ly0") == F.col("ly1")) & (F.col("lx0") == F.col("lx1")))
-         .withColumn("ty", F.explode(F.sequence("ly0", "ly1")))
-         .withColumn("tx", F.explode(F.sequence("lx0", "lx1"))))
-    tiles = polygon_tile_classes(polygons, poly_key=poly_key, poly_geom=poly_geom, tile_deg=tile_deg)
-    pairs = (L.join(tiles, ["ty", "tx"], "inner")
-             .where((F.col("ty") == F.greatest("ly0", "py0")) & (F.col("tx") == F.greatest("lx0", "px0")))
-             .where(~(F.col("_single") & (F.col("cls") == 1))))
-    inside = F.col("_single") & (F.col("cls") == 0)
-    edges = ["e_part", "e_ax", "e_ay", "e_bx", "e_by"]
-    poly_edges = polygons.select(F.col(poly_key).alias("poly_id"), *_flat_polygon_edges(poly_geom))
-    sized = poly_edges if size_from is None else size_from.select(*_flat_polygon_edges(poly_geom))
-    n_vertices = sized.select(F.sum(F.size("e_ax")).alias("n")).first()["n"] or 0
-    if n_vertices <= budget:
-        poly_edges = F.broadcast(poly_edges)
-    # one pass: interior rows carry their JVM length and no edges; only the
-    # other rows are clipped in Python
-    j = (pairs.join(poly_edges, "poly_id", "inner")
-         .select("line_id", "poly_id", inside.alias("_in"), _line_length_km("line").alias("_full"),
-                 F.transform("line", lambda p: p["lon"]).alias("l_lon"),
-                 F.transform("line", lambda p: p["lat"]).alias("l_lat"),
-                 *[F.when(~inside, F.col(e)).alias(e) for e in edges]))
-    lt = j.schema["line_id"].dataType.simpleString()
-    pt = j.schema["poly_id"].dataType.simpleString()
-    out = j.mapInPandas(_clip_batches, f"line_id {lt}, poly_id {pt}, length_km double, intersects boolean")
-    return (out.where("intersects")
-            .select(F.col("line_id").alias(line_key), F.col("poly_id").alias(poly_key), "length_km"))
+    fine = outline_tiles(polygons.select(F.col(poly_key).alias("poly_id"), F.col(poly_geom).alias("geom")), tile_deg=tile_deg)
+    cut = cut_lines(spread(lines.select(F.col(line_key).alias("_k"), F.col(line_geom).alias("geom"))), key="_k", tile_deg=tile_deg)
+    j = cut.join(fine, ["ty", "tx"])
+    lt, pt = (j.schema[c].dataType.simpleString() for c in ("line_id", "poly_id"))
+    both = j.select("line_id", "poly_id", "alone", "ty", "tx", "pieces", "edges", "odd").mapInArrow(
+        lambda it: _clip(it, tile_deg), f"line_id {lt}, poly_id {pt}, alone boolean, parts array<{PIECE}>")
+    one = both.where("alone").select("line_id", "poly_id", "parts")
+    # at most the pieces of one line
+    many = both.where("not alone").groupBy("line_id", "poly_id").agg(F.flatten(F.collect_list("parts")).alias("parts"))
+    return one.unionByName(many).select(F.col("line_id").alias(line_key), F.col("poly_id").alias(poly_key),
+                                        _length_km(F.col("parts")).alias("length_km"))
 
 
 def length_by(pairs: DataFrame, polygons: DataFrame, *, poly_key: str = "country_id",

@@ -17,16 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import spread
-from ..functions.geo import (haversine_km, lat_reach_deg, lon_reach_deg,
-                             point_in_polygon, polygon_bbox, bbox_from_point)
-
-
-def _tile_ranges(y0: Column, y1: Column, x0: Column, x1: Column) -> Column:
-    """array<struct<ty, tx>> over the inclusive tile-index rectangle."""
-    return F.flatten(F.transform(
-        F.sequence(y0, y1),
-        lambda ty: F.transform(F.sequence(x0, x1),
-                               lambda tx: F.struct(ty.alias("ty"), tx.alias("tx")))))
+from ..functions.geo import haversine_km, lat_reach_deg, lon_reach_deg, bbox_from_point
+from .outlines import inside_tile, outline_tiles
 
 
 # --------------------------------------------------------------------------- J5
@@ -131,111 +123,44 @@ def count_and_mean(pairs: DataFrame, key: str, value: str, *, count_name: str,
 
 
 # --------------------------------------------------------------------------- J6
-def polygon_tiles(polygons: DataFrame, tile_deg: float = 1.0, geom_col: str = "geom") -> DataFrame:
-    """One row per (polygon, tile of its bbox); the tile key is (ty, tx)."""
-    bb = polygon_bbox(F.col(geom_col))
-    fl = lambda c: F.floor(c / F.lit(tile_deg)).cast("bigint")
-    tiles = _tile_ranges(fl(bb["min_lat"]), fl(bb["max_lat"]), fl(bb["min_lon"]), fl(bb["max_lon"]))
-    return (polygons.withColumn("_t", F.explode(tiles))
-            .withColumn("ty", F.col("_t.ty")).withColumn("tx", F.col("_t.tx")).drop("_t"))
-
-
-# vertex budget for carrying polygon geometry inside the broadcast tile index:
-# above it, the index holds polygon ids only and geometry is joined by id
-MAX_INDEXED_VERTICES = 5_000_000
-
-
-def _tiles_per_polygon(geom: Column, tile_deg: float) -> Column:
-    bb = polygon_bbox(geom)
-    fl = lambda c: F.floor(c / F.lit(tile_deg))
-    return (fl(bb["max_lat"]) - fl(bb["min_lat"]) + 1) * (fl(bb["max_lon"]) - fl(bb["min_lon"]) + 1)
-
-
-def indexed_vertices(polygons: DataFrame, tile_deg: float, geom_col: str = "geom") -> int:
-    """Vertices a geometry-carrying tile index would hold (one aggregate over the polygons)."""
-    n = F.size(F.flatten(F.flatten(F.col(geom_col))))
-    v = polygons.select(F.sum(n * _tiles_per_polygon(F.col(geom_col), tile_deg)).alias("v")).first()["v"]
-    return int(v or 0)
-
-
-def tile_index(polygons: DataFrame, tile_deg: float = 1.0, geom_col: str = "geom",
-               with_geometry: bool = True) -> DataFrame:
-    """One row per tile: ``ty, tx, cands`` = array of the polygons whose bbox meets it.
+def tile_index(polygons: DataFrame, tile_deg: float = 1.0, geom_col: str = "geom") -> DataFrame:
+    """One row per tile: ``ty, tx, cands`` = array of the polygons that reach into it, each with its
+    class, its own edges in the tile and its anchor (``outlines``).
 
-    Its size is set by the polygon table and the tile size, never by the points.
+    Its size is set by the outlines and the tile size, never by the points.
     """
-    cols = [c for c in polygons.columns if with_geometry or c != geom_col]
-    return (polygon_tiles(polygons, tile_deg, geom_col)
-            .groupBy("ty", "tx")
-            .agg(F.collect_list(F.struct(*[F.col(c) for c in cols])).alias("cands")))
+    tiles = outline_tiles(polygons, geom=geom_col, tile_deg=tile_deg)
+    cols = [c for c in tiles.columns if c not in ("ty", "tx")]
+    return tiles.groupBy("ty", "tx").agg(F.collect_list(F.struct("ty", "tx", *cols)).alias("cands"))
 
 
-def _with_matches(points: DataFrame, polygons: DataFrame, tile_deg: float, geom_col: str,
-                  poly_key: str | None = None, max_vertices: int = MAX_INDEXED_VERTICES) -> DataFrame:
+def _with_matches(points: DataFrame, polygons: DataFrame, tile_deg: float, geom_col: str) -> DataFrame:
     """Points + ``_hits``: the polygons that contain each point (possibly empty).
 
-    With ``poly_key``, each (polygon, tile) is first classified as interior,
-    exterior or boundary (once per polygon set): exterior tiles leave the index,
-    a point on an interior tile is inside without a ray cast, and only boundary
-    tiles need the outline.  Small polygon sets (checked: vertices x tiles under
-    ``max_vertices``): boundary entries carry the geometry in the broadcast tile
-    index, and a left join on the point's tile brings at most one index row per
-    point, so points are neither multiplied nor shuffled.  Large sets: the index
-    carries ids only; boundary candidates fetch the outline by polygon id
-    (shuffled, a hot polygon split by AQE) and are regrouped per point.
+    A left join on the point's tile brings at most one index row per point, so points are not
+    multiplied.  On an interior tile a point is inside at once; on a boundary tile the tile's own
+    edges decide.  Spark broadcasts the index if it is small enough, else both sides are sorted by
+    tile and a hot tile is split.
     """
     pts = (spread(points).withColumn("_ty", F.floor(F.col("lat") / F.lit(tile_deg)).cast("bigint"))
            .withColumn("_tx", F.floor(F.col("lon") / F.lit(tile_deg)).cast("bigint")))
-    if poly_key is None:
-        idx = tile_index(polygons, tile_deg, geom_col, with_geometry=True)
-        p, q = pts.alias("p"), idx.alias("q")
-        j = p.join(q, [p["_ty"] == q["ty"], p["_tx"] == q["tx"]], "left")
-        hits = F.filter(F.coalesce(q["cands"], F.array()),
-                        lambda c: F.coalesce(point_in_polygon(p["lon"], p["lat"], c[geom_col]), F.lit(False)))
-        return j.select(*[p[c] for c in points.columns], hits.alias("_hits"))
-
-    from .roads import polygon_tile_classes
-    pc = [c for c in polygons.columns if c != geom_col]
-    carry = indexed_vertices(polygons, tile_deg, geom_col) <= max_vertices
-    classes = (polygon_tile_classes(polygons, poly_key=poly_key, poly_geom=geom_col, tile_deg=tile_deg)
-               .where(F.col("cls") != 1).select(F.col("poly_id").alias(poly_key), "ty", "tx", "cls"))
-    attrs = polygons.select(*pc, *([geom_col] if carry else []))
-    entry = [F.col(c) for c in pc] + [F.col("cls")]
-    if carry:
-        entry.append(F.when(F.col("cls") == 2, F.col(geom_col)).alias(geom_col))
-    idx = (classes.join(attrs, poly_key, "inner").groupBy("ty", "tx")
-           .agg(F.collect_list(F.struct(*entry)).alias("cands")))
-    if not carry:
-        pts = pts.withColumn("_pid", F.monotonically_increasing_id())
+    idx = tile_index(polygons, tile_deg, geom_col)
     p, q = pts.alias("p"), idx.alias("q")
     j = p.join(q, [p["_ty"] == q["ty"], p["_tx"] == q["tx"]], "left")
-    if carry:
-        hits = F.filter(F.coalesce(q["cands"], F.array()),
-                        lambda c: (c["cls"] == 0) | ((c["cls"] == 2) & F.coalesce(
-                            point_in_polygon(p["lon"], p["lat"], c[geom_col]), F.lit(False))))
-        return j.select(*[p[c] for c in points.columns], hits.alias("_hits"))
-    cand = (j.select(*[p[c] for c in points.columns], p["_pid"], F.explode_outer(q["cands"]).alias("_c"))
-            .withColumn("_ck", F.when(F.col("_c.cls") == 2, F.col("_c")[poly_key])))
-    geo = polygons.select(F.col(poly_key).alias("_gk"), F.col(geom_col).alias("_g"))
-    cj = cand.join(geo, cand["_ck"] == geo["_gk"], "left")
-    inside = (F.col("_c.cls") == 0) | F.coalesce(point_in_polygon(F.col("lon"), F.col("lat"), F.col("_g")),
-                                                 F.lit(False))
-    hit = F.when(F.col("_c").isNotNull() & inside, F.struct(*[F.col("_c")[c].alias(c) for c in pc]))
-    return (cj.groupBy("_pid", *points.columns)
-            .agg(F.filter(F.collect_list(hit), lambda h: h.isNotNull()).alias("_hits"))
-            .drop("_pid"))
+    hits = F.filter(F.coalesce(q["cands"], F.array()),
+                    lambda c: (c["cls"] == 0) | inside_tile(p["lon"], p["lat"], c, tile_deg))
+    return j.select(*[p[c] for c in points.columns], hits.alias("_hits"))
 
 
 def locate(points: DataFrame, polygons: DataFrame, *, tile_deg: float = 1.0,
-           how: str = "left", geom_col: str = "geom", poly_key: str | None = None,
-           max_vertices: int = MAX_INDEXED_VERTICES) -> DataFrame:
+           how: str = "left", geom_col: str = "geom") -> DataFrame:
     """Point-in-polygon join (J6): ST_WITHIN(point, polygon).
 
     One row per (point, containing polygon); with ``how='left'`` a point in no
     polygon is kept once with NULL polygon columns.  Every ``polygons`` column but
     the geometry is returned.
     """
-    m = _with_matches(points, polygons, tile_deg, geom_col, poly_key, max_vertices)
+    m = _with_matches(points, polygons, tile_deg, geom_col)
     ex = F.explode_outer("_hits") if how == "left" else F.explode("_hits")
     pcols = [c for c in polygons.columns if c != geom_col and c not in points.columns]
     return (m.select(*points.columns, ex.alias("_m"))
@@ -257,15 +182,14 @@ def _sort_key(c: Column, spec: list[tuple[str, str]]) -> Column:
 
 
 def locate_best(points: DataFrame, polygons: DataFrame, order: list[tuple[str, str]], *,
-                tile_deg: float = 1.0, geom_col: str = "geom", poly_key: str | None = None,
-                max_vertices: int = MAX_INDEXED_VERTICES) -> DataFrame:
+                tile_deg: float = 1.0, geom_col: str = "geom") -> DataFrame:
     """J6 + W1 in one pass: the first containing polygon by ``order`` (NULLs last), or NULLs.
 
     Equivalent to ROW_NUMBER() OVER (PARTITION BY point ORDER BY ...) = 1 on the
     left join, without the shuffle by point key: the containing polygons of a
     point already sit in one row.  ``order`` must end in a unique polygon key.
     """
-    m = _with_matches(points, polygons, tile_deg, geom_col, poly_key, max_vertices)
+    m = _with_matches(points, polygons, tile_deg, geom_col)
     keyed = F.transform("_hits", lambda h: F.struct(_sort_key(h, order).alias("k"), h.alias("h")))
     best = F.array_min(keyed)["h"]
     pcols = [c for c in polygons.columns if c != geom_col and c not in points.columns]

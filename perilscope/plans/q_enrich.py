@@ -13,6 +13,7 @@ from .. import fixtures as fx
 from ..functions.geo import bbox_from_point, haversine_km
 from ..operators import enrich, news, scoring, spatial
 from ..operators.roads import line_length_in
+from ..session import materialize
 from .oracle_fixtures import with_ctes
 from .registry import query
 
@@ -216,7 +217,7 @@ select event_id, country_id, iso_code, country_name from located"""))
 def q_country_of_incident(spark, d):
     polys = fx.countries_fx(spark, d).select("country_id", "iso_code", "country_name", "geom")
     inc = fx.incidents_fx(spark, d).select("event_id", "lat", "lon")
-    return spatial.locate(inc, polys, poly_key="country_id").select("event_id", "country_id", "iso_code",
+    return spatial.locate(inc, polys).select("event_id", "country_id", "iso_code",
                                                                      "country_name")
 
 
@@ -265,8 +266,8 @@ def q_road_country_pairs(spark, d):
                                        O_RK, body="select iso_code, round(road_km, 3) as road_km from rk"))
 def q_road_km_by_country(spark, d):
     c = fx.countries_fx(spark, d)
-    located = enrich.attach_country(fx.incidents_fx(spark, d), c)
-    rk = enrich.road_km_by_country(fx.roads_fx(spark, d), enrich.countries_needed(c, located), all_countries=c)
+    located = materialize(enrich.attach_country(fx.incidents_fx(spark, d), c), "located")
+    rk = enrich.road_km_by_country(fx.roads_fx(spark, d), enrich.countries_needed(c, located))
     return rk.select("iso_code", F.round("road_km", 3).alias("road_km"))
 
 

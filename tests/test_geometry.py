@@ -99,9 +99,9 @@ def test_band_join_poles_antimeridian_and_long_windows(spark):
     ], "news_id long, lat double, lon double, event_time timestamp_ntz")
     got = {(r.event_id, r.news_id) for r in spatial.near_in_time(inc, news).collect()}
     assert got == {(1, 10), (2, 20), (3, 30)}
-    # many long windows: the tile-keyed sort-merge path gives the same pairs
-    got_smj = {(r.event_id, r.news_id) for r in spatial.near_in_time(inc, news, max_broadcast_rows=0).collect()}
-    assert got_smj == got
+    # every window cut by month gives the same pairs
+    by_month = {(r.event_id, r.news_id) for r in spatial.near_in_time(inc, news, max_window_days=0).collect()}
+    assert by_month == got
     # the reference's fixed bins miss the pole and antimeridian pairs
     got_bins = {(r.event_id, r.news_id) for r in spatial.near_in_time(inc, news, mode="bins").collect()}
     assert got_bins == {(3, 30)}
@@ -117,10 +117,8 @@ def test_locate_equals_brute_force(spark, boxes, pts):
         .select("country_id", box_polygon("a", "b", "c", "d").alias("geom"))
     P = spark.createDataFrame([(j, la, lo) for j, (lo, la) in enumerate(pts)], "event_id long, lat double, lon double")
     got = {(r.event_id, r.country_id) for r in spatial.locate(P, polys, tile_deg=2.0).collect()}
-    classed = {(r.event_id, r.country_id) for r in spatial.locate(P, polys, tile_deg=2.0, poly_key="country_id").collect()}
-    by_id = {(r.event_id, r.country_id)
-             for r in spatial.locate(P, polys, tile_deg=2.0, poly_key="country_id", max_vertices=0).collect()}
-    assert got == classed == by_id
+    fine = {(r.event_id, r.country_id) for r in spatial.locate(P, polys, tile_deg=0.7).collect()}
+    assert got == fine
     want = set()
     for j, (lo, la) in enumerate(pts):
         hit = [i for i, (x, y, w, h) in enumerate(boxes) if x < lo < x + w and y < la < y + h]
@@ -165,20 +163,86 @@ def test_road_join_meridian_closed_form(spark):
     assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
 
 
-def test_large_polygon_path_gives_same_answers(spark):
-    """Above the vertex budget, geometry is joined by polygon id instead of riding the index."""
-    from perilscope import fixtures as fx
-    from perilscope.operators.roads import line_length_in
-    d = "/root/testdata/sf0.001"
-    c = fx.countries_fx(spark, d).select("country_id", "iso_code", "country_name", "geom")
-    inc = fx.incidents_fx(spark, d).select("event_id", "lat", "lon")
-    small = {tuple(r) for r in spatial.locate(inc, c, poly_key="country_id").collect()}
-    large = {tuple(r) for r in spatial.locate(inc, c, poly_key="country_id", max_vertices=0).collect()}
-    assert small == large and len(small) > 0
-    r1 = {(r.road_id, r.country_id, round(r.length_km, 9)) for r in line_length_in(fx.roads_fx(spark, d), c).collect()}
-    r2 = {(r.road_id, r.country_id, round(r.length_km, 9))
-          for r in line_length_in(fx.roads_fx(spark, d), c, max_vertices=0).collect()}
-    assert r1 == r2 and len(r1) == 287
+def plain_contains(polygon, x, y):
+    """Even-odd per part; a point on the outline is outside."""
+    def odd(part):
+        return sum((a["lat"] > y) != (b["lat"] > y) and x < a["lon"] + (b["lon"] - a["lon"]) * (y - a["lat"]) / (b["lat"] - a["lat"])
+                   for rg in part for a, b in zip(rg[:-1], rg[1:])) % 2 == 1
+    return any(odd(part) for part in polygon)
+
+
+def slanted(rng, n=14):
+    """Star-shaped outlines with a hole, a second part, and vertices on tile corners."""
+    out = []
+    for i in range(n):
+        cx, cy = rng.uniform(-20, 20, 2)
+        ang = np.sort(rng.uniform(0, 2 * np.pi, int(rng.integers(3, 12))))
+        rad = rng.uniform(0.3, 6, len(ang))
+        outer = [(float(cx + r * np.cos(a)), float(cy + r * np.sin(a))) for a, r in zip(ang, rad)]
+        if i % 4 == 0:
+            outer = [(round(x), round(y)) for x, y in outer]
+        hole = [(cx + (x - cx) / 3, cy + (y - cy) / 3) for x, y in outer]
+        parts = [[ring(*outer), ring(*hole)]]
+        if i % 3 == 0:
+            parts.append([ring((cx + 7, cy), (cx + 8.3, cy + 0.4), (cx + 7.2, cy + 2.1))])
+        out.append((i, parts))
+    return out
+
+
+def test_points_in_slanted_holed_polygons(spark):
+    rng = np.random.default_rng(5)
+    polys = slanted(rng)
+    pts = [(j, float(y), float(x)) for j, (x, y) in enumerate(rng.uniform(-30, 30, (1500, 2)))]
+    pts += [(2000 + j, float(y), float(x)) for j, (x, y) in enumerate(rng.integers(-20, 20, (200, 2)) + 0.5)]   # tile centres
+    P = spark.createDataFrame(pts, "event_id long, lat double, lon double")
+    G = spark.createDataFrame(polys, f"country_id long, geom {POLY}")
+    want = {(j, i) for j, y, x in pts for i, g in polys if plain_contains(g, x, y)}
+    for size in (1.0, 0.3):
+        got = {(r.event_id, r.country_id) for r in spatial.locate(P, G, tile_deg=size, how="inner").collect()}
+        assert got == want and len(want) > 50
+
+
+def test_lines_in_slanted_holed_polygons(spark):
+    rng = np.random.default_rng(6)
+    polys = slanted(rng, 6)
+    lines = []
+    for i in range(120):
+        p = rng.uniform(-22, 22, 2)
+        steps = rng.uniform(-0.3, 0.3, (int(rng.integers(1, 9)), 2)) * (12 if i % 4 == 0 else 1)
+        walk = np.vstack([p, p + np.cumsum(steps, 0)])
+        if i % 5 == 0:
+            walk = np.round(walk)                                     # along tile borders, through corners
+        lines.append((i, [{"lon": float(x), "lat": float(y)} for x, y in walk]))
+    L = spark.createDataFrame(lines, "road_id long, geom array<struct<lon:double,lat:double>>")
+    G = spark.createDataFrame(polys, f"country_id long, geom {POLY}")
+    got = {(r.road_id, r.country_id): r.length_km for r in line_length_in(L, G).collect()}
+    for i, g in lines:
+        for k, poly in polys:
+            e = np.array([(n, a["lon"], a["lat"], b["lon"], b["lat"]) for n, part in enumerate(poly) for rg in part
+                          for a, b in zip(rg[:-1], rg[1:])], float)
+            want, hit = clip_length_km([p["lon"] for p in g], [p["lat"] for p in g], *e.T)
+            assert abs(got.get((i, k), 0.0) - want) < 1e-6 * max(1.0, want), (i, k)
+            assert hit or (i, k) not in got
+
+
+def test_an_outline_of_100000_vertices(spark):
+    """No row of the index holds more than a sliver of it, and answers equal the closed form."""
+    from perilscope.operators.outlines import outline_tiles
+    a = np.linspace(0, 2 * np.pi, 100_001)[:-1]
+    circle = [[ring(*[(float(x), float(y)) for x, y in zip(30 + 9.5 * np.cos(a), 10 + 9.5 * np.sin(a))])]]
+    G = spark.createDataFrame([(1, circle)], f"country_id long, geom {POLY}")
+    t = outline_tiles(G).selectExpr("cls", "size(edges) as n").collect()
+    assert max(r.n for r in t) < 3_000 and sum(r.n for r in t) < 105_000 and sum(r.cls == 0 for r in t) > 150
+    rng = np.random.default_rng(2)
+    xy = rng.uniform(0, 1, (2000, 2)) * 22 + np.array([19, -1])
+    P = spark.createDataFrame([(i, float(y), float(x)) for i, (x, y) in enumerate(xy)], "event_id long, lat double, lon double")
+    got = {r.event_id for r in spatial.locate(P, G, how="inner").collect()}
+    r = np.hypot(xy[:, 0] - 30, xy[:, 1] - 10)
+    assert got == set(np.flatnonzero(r < 9.5 * np.cos(np.pi / 100_000)).tolist()) and 0 < len(got) < 2000
+    L = spark.createDataFrame([(1, [{"lon": 30.0, "lat": -5.0}, {"lon": 30.0, "lat": 25.0}])],
+                              "road_id long, geom array<struct<lon:double,lat:double>>")
+    km, = [r.length_km for r in line_length_in(L, G).collect()]
+    assert abs(km - 19 * math.pi / 180 * 6371.0088) < 1e-3
 
 
 @settings(max_examples=8, deadline=None, derandomize=True)
@@ -210,11 +274,11 @@ def test_box_join_equals_brute_force(spark, pts, sites, radius):
 def test_tile_classes_and_shortcuts_match_kernel(spark):
     """Short lines inside one tile take the interior/exterior shortcuts; the answers
     equal the exact clip for every line (a U-shaped polygon with a notch)."""
-    from perilscope.operators.roads import line_length_in, polygon_tile_classes
+    from perilscope.operators.outlines import outline_tiles
     u = [[ring((0, 0), (6, 0), (6, 6), (4, 6), (4, 2), (2, 2), (2, 6), (0, 6))]]
     polys = spark.createDataFrame([(1, u)], f"country_id long, geom {POLY}")
-    cls = {(r.ty, r.tx): r.cls for r in polygon_tile_classes(polys).collect()}
-    assert cls[(0, 0)] == 2 and cls[(1, 1)] == 0 and cls[(4, 3)] == 1  # boundary, interior, notch
+    cls = {(r.ty, r.tx): r.cls for r in outline_tiles(polys).collect()}
+    assert cls[(0, 0)] == 2 and cls[(0, 1)] == 2 and cls.get((4, 2)) in (None, 2) and (7, 3) not in cls
     rng = np.random.default_rng(3)
     lines = []
     for i in range(150):
