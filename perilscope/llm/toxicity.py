@@ -65,21 +65,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
 def lexicon(sample: DataFrame, *, voters: int = LEXICON_VOTERS) -> list[str]:
     """The terms that tell toxic sample rows best, without those that repeat a chosen beginning.
 
+    Terms are counted by family of copies, not by row.
+
     Terms of the toxic rows are counted first; the few that a share of them use (their number is
     bounded by the mean terms of a text over that share) are then counted in the clean rows.
     """
-    n = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # copies of one text tell no more than one of them: a family shares the smallest hash of its long words
+    long_words = F.filter(words(F.col("text")), lambda w: F.length(w) > 8)
+    sample = sample.withColumn("family", F.coalesce(F.array_min(F.transform(long_words, lambda w: F.xxhash64(w))), F.col("doc_id")))
+    n = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count_distinct("family").alias("n")).collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic:
         return []
     least = max(3, math.ceil(MIN_SHARE * toxic))
     # of a beginning it counts whether one word has it (``*``) or two different words do (``**``)
-    used = sample.select("doc_id", "label", F.explode(candidates(F.col("text"))).alias("stem"))
+    used = sample.select("doc_id", "family", "label", F.explode(candidates(F.col("text"))).alias("stem"))
 
     def per_text(rows: DataFrame) -> DataFrame:
-        n = rows.groupBy("doc_id", "stem").agg(F.count(F.lit(1)).alias("n"))
-        return n.select(F.explode(F.when(F.col("n") > 1, F.array("stem", F.concat("stem", F.lit("*"))))
-                                  .otherwise(F.array("stem"))).alias("term"))
+        n = rows.groupBy("doc_id", "family", "stem").agg(F.count(F.lit(1)).alias("n"))
+        return n.select("family", F.explode(F.when(F.col("n") > 1, F.array("stem", F.concat("stem", F.lit("*"))))
+                                  .otherwise(F.array("stem"))).alias("term")).distinct()
 
     often = per_text(used.where("label = 1")).groupBy("term").agg(F.count(F.lit(1)).alias("in_toxic")).where(
         F.col("in_toxic") >= least)
@@ -140,16 +145,18 @@ def votes(text: Column, terms: list[str]) -> Column:
 
 @dataclass
 class LabelModel:
-    """Share of toxic texts, each voter's rate of firing in either class, and the share of its
-    weight that it keeps beside the voters it is correlated with."""
+    """Share of toxic texts, each voter's rate of firing in either class, and the voters'
+    correlations within the toxic class (0 for those read as independent, and on the diagonal)."""
     prior: float
     toxic: np.ndarray
     clean: np.ndarray
-    keep: np.ndarray
+    rho: np.ndarray
 
     def posterior(self, x: np.ndarray) -> np.ndarray:
         # an abstention says nothing: a lexicon of one language is silent on texts of another
-        z = math.log(self.prior / (1 - self.prior)) + x @ (np.log(self.toxic / self.clean) * self.keep)
+        # voters that repeat each other share their weight where they fire together; alone each has all of it
+        weight = x * np.log(self.toxic / self.clean) / (1 + x @ self.rho)
+        z = math.log(self.prior / (1 - self.prior)) + weight.sum(1)
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
@@ -189,15 +196,14 @@ def label_model(patterns: DataFrame, start: LabelModel, n: int, *, rounds: int =
             return np.clip((m[0, 1:] + 0.1) / (m[0, 0] + 1.0), 1e-6, 1 - 1e-6)
 
         # correlation of two voters within a class, beyond what their rates explain
-        keep = np.ones(n)
+        rho = np.zeros((n, n))
         if t[0, 0] > 1:
             r = t[0, 1:] / t[0, 0]
             var = np.maximum(r * (1 - r), 1e-9)
             rho = (t[1:, 1:] / t[0, 0] - np.outer(r, r)) / np.sqrt(np.outer(var, var))
-            rho[np.outer(r, r) < 1e-8] = 0
+            rho = np.where((rho > CORRELATED) & (np.outer(r, r) >= 1e-8), rho, 0.0)
             np.fill_diagonal(rho, 0)
-            keep = 1 / np.sqrt(1 + np.where(rho > CORRELATED, rho, 0).sum(1))
-        model = LabelModel(model.prior, rates(t), rates(c), keep)
+        model = LabelModel(model.prior, rates(t), rates(c), rho)
     return model
 
 
@@ -214,7 +220,7 @@ def _start(sample: DataFrame, n: int) -> LabelModel:
 
     (nt, t), (nc, c) = rates(1), rates(0)
     return LabelModel(min(max((nt + 0.5) / (nt + nc + 1), 1e-3), 0.5), np.clip(t, 1e-4, 1 - 1e-4),
-                      np.clip(c, 1e-4, 1 - 1e-4), np.ones(n))
+                      np.clip(c, 1e-4, 1 - 1e-4), np.zeros((n, n)))
 
 
 @dataclass

@@ -334,3 +334,19 @@ def test_jaccard_finds_every_link(spark, monkeypatch):
         monkeypatch.setattr(jaccard, "AGREE", agree)
         got = sorted((str(x["doc_id"]), x["n_shingles"], str(x["component_id"])) for x in jaccard.jaccard_components(d).collect())
         assert got == want
+
+
+def test_one_document_per_component(spark):
+    d = data.clashing(spark)
+    kept = jaccard.one_per_component(d)
+    assert kept.columns == d.columns
+    texts = [r[1] or "" for r in data.awkward_rows()]
+    got = collections.Counter((r["doc_id"], r["text"] or "") for r in kept.collect())
+    base = data.awkward_rows()[2][1]
+    near = data.awkward_rows()[4][1]
+    assert (3, base) in got and (5, near) not in got and not any(t == base and i != 3 for i, t in got)
+    assert got[(7, "one two")] == 2 and sum(not t.split() for _, t in got.elements()) == sum(not t.split() for t in texts)
+    other = " ".join(f"v{i}" for i in range(40))
+    rows = [(1, base), (7, near), (7, other), (8, other + " end")]
+    e = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(tuple(r) for r in jaccard.one_per_component(e).collect()) == [(1, base), (7, other)]

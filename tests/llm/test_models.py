@@ -73,7 +73,7 @@ def test_voters_and_label_model(spark):
     x = rng.random((len(y), 4)) < np.where(y[:, None], t, c)
     bits = collections.Counter((x @ (1 << np.arange(4))).tolist())
     patterns = spark.createDataFrame([(int(b), n) for b, n in bits.items()], "bits bigint, n bigint")
-    m = toxicity.label_model(patterns, toxicity.LabelModel(0.2, np.full(4, 0.5), np.full(4, 0.1), np.ones(4)), 4)
+    m = toxicity.label_model(patterns, toxicity.LabelModel(0.2, np.full(4, 0.5), np.full(4, 0.1), np.zeros((4, 4))), 4)
     assert (m.toxic > 3 * m.clean).all()
     p = m.posterior(x.astype(float))
     assert p[y].mean() > 0.8 and p[~y].mean() < 0.3               # silence leaves the prior, 0.2
