@@ -12,14 +12,11 @@ look-back at read time (``lookback_days``), which prunes partitions.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.clean import grid_bin, parse_yyyymmdd, valid_coords
 from ..operators.news import NEWS_BIN_DEG
-from ..session import shared_dir
 
 NEWS_SCHEMA = "news_id long, sqldate int, lat double, lon double, tone double, num_articles long"
 
@@ -36,17 +33,19 @@ def clean_news(events: DataFrame, bin_deg: float = NEWS_BIN_DEG) -> DataFrame:
 
 
 def stage_news_stream(spark: SparkSession, landing: str, out_path: str, *,
-                      schema: str | StructType = NEWS_SCHEMA, fmt: str = "parquet",
-                      checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> None:
-    """Process every landed file not yet staged, then stop (available-now trigger)."""
-    ckpt = checkpoint or os.path.join(shared_dir(spark), "perilscope", "news-stage-checkpoint",
-                                      os.path.basename(out_path.rstrip("/")))
+                      checkpoint: str, schema: str | StructType = NEWS_SCHEMA, fmt: str = "parquet",
+                      max_files_per_trigger: int | None = None) -> None:
+    """Process every landed file not yet staged, then stop (available-now trigger).
+
+    ``checkpoint``: a lasting shared folder that belongs to ``out_path``; it remembers the files
+    already staged, so it must be the same one in every run.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     staged = clean_news(reader.load(landing))
     q = (staged.writeStream.format("parquet").outputMode("append")
-         .option("path", out_path).option("checkpointLocation", ckpt)
+         .option("path", out_path).option("checkpointLocation", checkpoint)
          .partitionBy("event_date").trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:

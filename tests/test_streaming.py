@@ -12,12 +12,12 @@ SF = "/root/testdata/sf0.001"
 
 def test_available_now_staging_is_incremental(spark):
     src = fx.news_fx(spark, SF)
-    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "staged")
+    landing, out, seen = (scratch_path(spark, n) for n in ("landing", "staged", "seen"))
     src.where(F.col("sqldate") <= 20240115).write.parquet(f"{landing}/batch=1")
-    stage_news_stream(spark, f"{landing}/*", out)
+    stage_news_stream(spark, f"{landing}/*", out, checkpoint=seen)
     first = spark.read.parquet(out).count()
     src.where(F.col("sqldate") > 20240115).write.parquet(f"{landing}/batch=2")
-    stage_news_stream(spark, f"{landing}/*", out)
+    stage_news_stream(spark, f"{landing}/*", out, checkpoint=seen)
     staged = read_staged(spark, out, "2024-01-31", 90)
     want = news.stage_news(src, "2024-01-31")
     assert 0 < first < staged.count()
