@@ -2,7 +2,8 @@
 
 The files' pre-tokenizers never join what stands on both sides of a word boundary, so a text is cut
 there, each distinct chunk is encoded once per worker, and the ids of a text are the joined ids of
-its chunks (checked against encoding whole texts in the tests).
+its chunks (checked against encoding whole texts in the tests).  A chunk of letters with closing
+marks is two pieces to the pre-tokenizer; its letters go to the vocabulary's model directly.
 """
 
 from __future__ import annotations
@@ -18,6 +19,15 @@ _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u30
 #: leaves its last character to the word behind it
 _BYTE_CHUNKS = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 CACHE_ENTRIES = 300_000
+_MARKS = ".,;:!?"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable character that byte-level vocabularies use for each byte: its own if it is
+    printable in Latin-1, else the next of those from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = (b for b in range(256) if b not in own)
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 def vocabulary(name: str) -> str:
@@ -39,6 +49,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True   # their strings in a text are ordinary text
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.lower_words, self.entries = lower_words, entries
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -59,11 +70,36 @@ class Encoder:
                     missing.append(w)
                 else:
                     young[w] = ids
-        for w, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-            young[w] = np.array(e.ids, dtype="<u4").tobytes()
+        self._learn(missing)
         get = young.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 
+    def _learn(self, missing: list[str]) -> None:
+        young, other, tails = self.young, [], {}
+        for w in missing:
+            body = w.rstrip(_MARKS)
+            core = body[1:] if body[:1] == " " else body
+            # letters of one piece; for lower-cased vocabularies only those whose case is plain
+            if core.isalpha() and (not self.lower_words or max(core) <= "\xff"):
+                if len(body) == len(w):
+                    young[w] = self._letters(w)
+                else:
+                    tails.setdefault(w[len(body):], []).append((w, body))
+            else:
+                other.append(w)
+        for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            young[w] = np.array(e.ids, dtype="<u4").tobytes()
+        for tail, words in tails.items():
+            end = np.array(self.tokenizer.encode(tail, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            for w, body in words:
+                young[w] = (young.get(body) or self._letters(body)) + end
+
+    def _letters(self, piece: str) -> bytes:
+        if self.lower_words:
+            piece = piece.lower()
+        mapped = piece.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(mapped)], dtype="<u4").tobytes()
+
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
