@@ -5,10 +5,10 @@
 2. *Groups.* Classes that share min-hashes are paired with a leader and a neighbour of their bucket
    (a bounded number of pairs per class, also in a bucket that holds a third of all rows); pairs are
    verified on whole sets, and what is linked becomes a group.
-3. *Matrix.* Each group stores the union of its members' prefix tokens.  A set can only reach the
-   threshold with another if the two share one of their first ``n - ceil(t n) + 1`` tokens in a
-   common order, so the overlap of a query with anything in a group is bounded by the tokens from
-   its first one in the group's union on.  Only groups whose bound reaches the threshold are opened.
+3. *Matrix.* Each group stores the union of its members' prefix tokens: the first ``n - ceil(t n) + 1``
+   of a set in a common order.  What two sets share lies in both prefixes or behind one of them, so
+   the tokens of a query that a group's union holds bound its overlap with anything in the group.
+   Only groups whose bound reaches the threshold are opened.
 4. *Opened groups.* Their members get the same bound one by one; the pairs left are verified on whole
    sets.  Pairs inside one group are never looked at again: they are linked already.
 
@@ -18,6 +18,8 @@ any order gives the same links.  Shingle hashes have 64 bits, class keys 128.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -27,53 +29,123 @@ from .tokens import slices
 WIDTH = 5
 #: similarity of 3/4: 100 * intersection >= 75 * union
 NUM, DEN = 3, 4
-HASHES, AGREE, SALTS = 12, 7, 64
+HASHES, AGREE, SALTS = 8, 5, 64
+#: min-hashes whose buckets also give neighbours
+NEIGHBOURS = 4
 #: a token is ordered late if at least this share of the documents holds it
-HOT_SHARE, HOT_LEAST = 1 / 2000, 16
+HOT_SHARE, HOT_LEAST = 1 / 20000, 16
 
+_U = np.uint64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xFF51AFD7ED558CCD], "u8")
-_MIX = np.array([(0xA0761D6478BD642F * (2 * k + 1)) & (2 ** 64 - 1) | 1 for k in range(1, HASHES + 1)], "u8")
-WORD_CACHE = 500_000
+_MULTIPLIERS = np.array([(0xA0761D6478BD642F * (2 * k + 1)) & (2 ** 64 - 1) | 1 for k in range(1, HASHES + 1)], "u8")
+_BASE, _SEGMENT = 0x9DDFEA08EB382D69, 1 << 21
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+    return x ^ (x >> _U(31))
 
 
-class Shingler:
-    """Sets of shingle hashes; word hashes are kept in a bounded cache."""
+def _byte_values() -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit value for each byte (A-Z those of a-z), and whether it is ASCII white space."""
+    value = _mix(np.arange(1, 257, dtype="u8") * _U(0x9E3779B97F4A7C15))
+    value[65:91] = value[97:123]
+    space = np.zeros(256, bool)
+    space[[9, 10, 11, 12, 13, 32]] = True
+    return value, space
 
-    def __init__(self):
-        self.words: dict[bytes, int] = {}
 
-    def word_hashes(self, words: list[bytes]) -> np.ndarray:
-        from hashlib import blake2b
-        if len(self.words) > WORD_CACHE:
-            self.words.clear()
-        known = self.words
-        for w in {w for w in words if w not in known}:
-            known[w] = int.from_bytes(blake2b(w, digest_size=8).digest(), "little")
-        return np.fromiter(map(known.__getitem__, words), "u8", len(words))
+_VALUE, _SPACE = _byte_values()
 
-    def set_of(self, text: bytes | None) -> np.ndarray:
-        """Sorted distinct shingle hashes; fewer than five words: one for the whole sequence; none: empty.
 
-        Bytes are lower-cased (A-Z) and split on ASCII white space only, as the words ask for.
+class Shingler:
+    """Sets of shingle hashes of a chunk of texts at a time, in numpy.
+
+    A word's hash is the sum of its bytes' values times powers of an odd base (modulo 2^64), taken
+    from running sums over the chunk; words are split on exactly the ASCII white space.
+    """
+
+    def __init__(self):
+        self.power, self.inverse = np.ones(1, "u8"), np.ones(1, "u8")
+
+    def _powers(self, n: int) -> None:
+        while len(self.power) < n:
+            m = len(self.power)
+            up, down = _U(pow(_BASE, m, 2 ** 64)), _U(pow(pow(_BASE, -1, 2 ** 64), m, 2 ** 64))
+            self.power = np.concatenate([self.power, self.power * up])
+            self.inverse = np.concatenate([self.inverse, self.inverse * down])
+
+    def words(self, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and start of each word of ``b`` (bytes that end with white space)."""
+        space = _SPACE[b]
+        start = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+        end = np.flatnonzero(~space[:-1] & space[1:]) + 1
+        self._powers(len(b))
+        total = np.concatenate([np.zeros(1, "u8"), np.cumsum(_VALUE[b] * self.power[:len(b)], dtype="u8")])
+        h = (total[end] - total[start]) * self.inverse[start]
+        return _mix(h + (end - start).astype("u8") * _ODD[0]), start
+
+    def long_words(self, text: bytes) -> np.ndarray:
+        """Word hashes of one long text, in segments cut at white space."""
+        b = np.frombuffer(text + b" ", "u1")
+        out, lo = [], 0
+        while lo < len(b):
+            hi = min(lo + _SEGMENT, len(b))
+            while hi < len(b) and not _SPACE[b[hi - 1]]:
+                gap = np.flatnonzero(_SPACE[b[hi:hi + _SEGMENT]])
+                hi = hi + int(gap[0]) + 1 if len(gap) else min(hi + _SEGMENT, len(b))
+            out.append(self.words(b[lo:hi])[0])
+            lo = hi
+        return np.concatenate(out)
+
+    def sets(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """Sorted distinct shingle hashes of each text.
+
+        Fewer than five words: one hash for the whole sequence; none: empty.
         """
-        words = text.lower().split() if text else []
-        if not words:
-            return np.empty(0, "u8")
-        h = self.word_hashes(words)
+        out: list[np.ndarray] = [np.empty(0, "u8")] * len(texts)
+        small = []
+        for i, t in enumerate(texts):
+            if t and len(t) > _SEGMENT:
+                out[i] = self._unique(self._shingles(self.long_words(t)))
+            elif t:
+                small.append(i)
+        for lo, hi in slices([texts[i] for i in small], _SEGMENT):
+            some = small[lo:hi]
+            b = np.frombuffer(b" ".join([texts[i] for i in some]) + b" ", "u1")
+            h, start = self.words(b)
+            size = np.array([len(texts[i]) + 1 for i in some])
+            first = np.searchsorted(start, np.concatenate([[0], np.cumsum(size)]))
+            all5 = self._shingles(h) if len(h) >= WIDTH else None
+            for k, i in enumerate(some):
+                a, z = first[k], first[k + 1]
+                if z - a >= WIDTH:
+                    out[i] = self._unique(all5[a:z - WIDTH + 1].copy())
+                elif z > a:
+                    out[i] = self._shingles(h[a:z])
+        return out
+
+    @staticmethod
+    def _shingles(h: np.ndarray) -> np.ndarray:
         n = min(len(h), WIDTH)
+        if not n:
+            return h
         s = np.full(len(h) - n + 1, n, "u8")
         for k in range(n):
             s += h[k:len(h) - n + 1 + k] * _ODD[k]
-        return np.unique(_mix(s))
+        return _mix(s)
+
+    @staticmethod
+    def _unique(s: np.ndarray) -> np.ndarray:
+        s.sort()
+        return s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
+
+
+def min_hashes(s: np.ndarray) -> list[int]:
+    x = s[None, :] * _MULTIPLIERS[:, None]
+    return (x ^ (x >> _U(32))).min(1).view("i8").tolist()
 
 
 def _key(s: np.ndarray) -> tuple[int, int]:
@@ -116,7 +188,7 @@ def hot_tokens(docs: DataFrame, least: int) -> np.ndarray:
         for b in batches:
             texts = b.column(0).to_pylist()
             for lo, hi in slices(texts, 12_000_000):
-                sets = [_SHINGLER.set_of(t) for t in dict.fromkeys(texts[lo:hi])]
+                sets = _SHINGLER.sets(list(dict.fromkeys(texts[lo:hi])))
                 if sets:
                     u, n = np.unique(np.concatenate(sets), return_counts=True)
                     yield pa.RecordBatch.from_arrays(
@@ -128,7 +200,7 @@ def hot_tokens(docs: DataFrame, least: int) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """``doc_id, n, c1, c2, m0.., prefix``: size, key and min-hashes of every document's set.
+    """``doc_id, th, n, c1, c2, m0.., prefix``: text hash, and size, key and min-hashes of every document's set.
 
     ``prefix`` (binary, tokens in order) comes once per class and task.  Empty sets have n = 0.
     """
@@ -136,25 +208,24 @@ def shingle_sets(docs: DataFrame, hot: np.ndarray) -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
-        names = ["doc_id", "n", "c1", "c2", *[f"m{k}" for k in range(HASHES)], "prefix"]
-        types = [pa.int64()] * (4 + HASHES) + [pa.binary()]
+        names = ["doc_id", "th", "n", "c1", "c2", *[f"m{k}" for k in range(HASHES)], "prefix"]
+        types = [pa.int64()] * (5 + HASHES) + [pa.binary()]
         seen = set()
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            ids, texts, hashes = (b.column(i).to_pylist() for i in range(3))
             for lo, hi in slices(texts, 8_000_000):
                 rows = []
-                for doc_id, text in zip(ids[lo:hi], texts[lo:hi]):
-                    s = _SHINGLER.set_of(text)
+                for doc_id, th, s in zip(ids[lo:hi], hashes[lo:hi], _SHINGLER.sets(texts[lo:hi])):
                     key = _key(s)
-                    m = [int((s * x ^ (s * x >> np.uint64(32))).min().view("i8")) for x in _MIX] if len(s) else [0] * HASHES
+                    m = min_hashes(s) if len(s) else [0] * HASHES
                     first = None if key in seen or not len(s) else prefix(s, shared.value).tobytes()
                     seen.add(key)
-                    rows.append((doc_id, len(s), *key, *m, first))
+                    rows.append((doc_id, th, len(s), *key, *m, first))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     ms = ", ".join(f"m{k} bigint" for k in range(HASHES))
-    return docs.select(F.col("doc_id").cast("bigint"), _bytes()).mapInArrow(
-        run, f"doc_id bigint, n bigint, c1 bigint, c2 bigint, {ms}, prefix binary")
+    return docs.select(F.col("doc_id").cast("bigint"), _bytes(), _text_hash()).mapInArrow(
+        run, f"doc_id bigint, th bigint, n bigint, c1 bigint, c2 bigint, {ms}, prefix binary")
 
 
 def bucket_pairs(classes: DataFrame) -> DataFrame:
@@ -169,7 +240,7 @@ def bucket_pairs(classes: DataFrame) -> DataFrame:
     lead = b.groupBy("r", "v").agg(F.min("c1").alias("lead"), F.count(F.lit(1)).alias("size")).where("size > 1")
     stars = b.join(lead, ["r", "v"]).where("c1 <> lead").select(F.col("c1").alias("a"), F.col("lead").alias("b"))
     w = Window.partitionBy("r", "v", F.pmod("c1", F.lit(SALTS))).orderBy("m0", "m1", "c1")
-    near = b.withColumn("b", F.lag("c1").over(w)).where("b is not null and b <> c1").select(F.col("c1").alias("a"), "b")
+    near = b.where(F.col("r") < NEIGHBOURS).withColumn("b", F.lag("c1").over(w)).where("b is not null and b <> c1").select(F.col("c1").alias("a"), "b")
     pairs = stars.union(near).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     one = classes.select("c1", "n", ms.alias("m"))
     x = one.select(F.col("c1").alias("a"), F.col("n").alias("na"), F.col("m").alias("ma"))
@@ -178,6 +249,28 @@ def bucket_pairs(classes: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").where((agree >= AGREE) & _sizes_fit("na", "nb")).select("a", "b")
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def _id_key(name: str) -> Column:
+    """The id, null as the smallest number: a plain key of an equi-join."""
+    return F.coalesce(F.col(name).cast("bigint"), F.lit(-(2 ** 63)))
+
+
+@contextmanager
+def _bloom_filters(spark):
+    """Joins planned meanwhile may drop rows by a Bloom filter before they shuffle, at any input size
+    (by default from 10 GB on); its bits are bounded by Spark's own setting."""
+    name = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "0")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def _sizes_fit(a: str, b: str) -> Column:
     return DEN * F.least(a, b) >= NUM * F.greatest(a, b)
 
@@ -190,22 +283,23 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """
     need = pairs.select(F.explode(F.array("a", "b")).alias("c1")).distinct()
     need = materialize(need.join(classes.select("c1", "c2", "doc"), "c1").select(
-        "c1", "c2", "doc", F.lit(1).alias("wanted")), "wanted-sets").where("wanted = 1")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _bytes())
-    found = texts.join(need, texts["doc_id"].eqNullSafe(need["doc"])).select("c1", "c2", "text")
+        "c1", "c2", _id_key("doc").alias("key"), F.lit(1).alias("wanted")), "wanted-sets").where("wanted = 1")
+    texts = docs.select(_id_key("doc_id").alias("key"), _bytes())
+    found = texts.join(need, "key").select("c1", "c2", "text")
 
     def sets(batches):
         import pyarrow as pa
         for b in batches:
             c1, c2, t = (b.column(i).to_pylist() for i in range(3))
             for lo, hi in slices(t):
-                out = [(k[0], s.tobytes()) for k, s in (((x, y), _SHINGLER.set_of(z)) for x, y, z in zip(
-                    c1[lo:hi], c2[lo:hi], t[lo:hi])) if _key(s) == k]       # another row with the same id
+                out = [(x, s.tobytes()) for x, y, s in zip(c1[lo:hi], c2[lo:hi], _SHINGLER.sets(t[lo:hi]))
+                       if _key(s) == (x, y)]                               # else another row with the same id
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, p) for c, p in zip(
                         zip(*out), (pa.int64(), pa.binary()))], ["c1", "s"])
 
-    held = materialize(found.mapInArrow(sets, "c1 bigint, s binary"), "sets")
+    with _bloom_filters(docs.sparkSession):
+        held = materialize(found.mapInArrow(sets, "c1 bigint, s binary"), "sets")
     both = pairs.join(held.select(F.col("c1").alias("a"), F.col("s").alias("sa")), "a") \
                 .join(held.select(F.col("c1").alias("b"), F.col("s").alias("sb")), "b")
 
@@ -245,7 +339,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _tokens(sets: DataFrame) -> DataFrame:
-    """``token, c1, place, n`` of the prefixes: a token's place in its set's order."""
+    """``token, c1, n`` of the prefixes."""
     def run(batches):
         import pyarrow as pa
         for b in batches:
@@ -257,35 +351,34 @@ def _tokens(sets: DataFrame) -> DataFrame:
                 size = [len(p) for p in some]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate(some)), pa.array(np.repeat(c1[lo:lo + step], size)),
-                    pa.array(np.concatenate([np.arange(k) for k in size]).astype("i4")),
-                    pa.array(np.repeat(n[lo:lo + step], size).astype("i4"))], ["token", "c1", "place", "n"])
+                    pa.array(np.repeat(n[lo:lo + step], size).astype("i4"))], ["token", "c1", "n"])
 
     return sets.where("prefix is not null").select("c1", "n", "prefix").mapInArrow(
-        run, "token bigint, c1 bigint, place int, n int")
+        run, "token bigint, c1 bigint, n int")
+
 
+def _rest(n: Column) -> Column:
+    """Tokens of a set behind its prefix."""
+    return F.ceil(n * NUM / DEN).cast("int") - 1
 
-def _reaches(place_a: str, n_a: str, place_b: str, n_least: str, n_most: str) -> Column:
-    """Whether a query with its first shared token at ``place_a`` can reach the threshold with a set
-    of ``n_least`` to ``n_most`` tokens whose first shared token is at ``place_b`` or later.
 
-    The overlap is at most what is left of either from there on, and has to be at least
-    t / (1 + t) of both sizes; a larger set is bounded by the query's rest, a smaller by its own.
+def _reach(shared: Column, n: Column, m: Column) -> Column:
+    """Whether sets of ``n`` and ``m`` tokens can be linked if at most ``shared`` tokens are in both prefixes.
+
+    Tokens in both sets but not in both prefixes lie behind the end of one of the prefixes, so the
+    overlap is at most ``shared`` and the longer rest; it has to be t / (1 + t) of both sizes.
     """
-    rest = F.col(n_a) - F.col(place_a)
-    # sizes that fit: between t n and n / t; the least size in range asks for the least overlap
-    least = F.greatest(F.col(n_least), F.ceil(F.col(n_a) * NUM / DEN).cast("int"))
-    most = F.least(F.col(n_most), F.floor(F.col(n_a) * DEN / NUM).cast("int"))
-    need_least = NUM * (F.col(n_a) + least)
-    own = (NUM + DEN) * F.least(rest, most - F.col(place_b))
-    return (least <= most) & (own >= need_least)
+    return (NUM + DEN) * (shared + F.greatest(_rest(n), _rest(m))) >= NUM * (n + m)
 
 
 def group_candidates(tokens: DataFrame, groups: DataFrame) -> DataFrame:
     """``a, b`` (a > b): pairs of classes of different groups that may be linked.
 
-    ``tokens``: ``token, c1, place, n``; ``groups``: ``node, label`` (a class not in it is a group of
-    its own).  Only tokens of two groups at least go on.  The group with most rows of a token never
-    queries by that token: the others query it, so a hot group is not paired with itself.
+    ``tokens``: ``token, c1, n``; ``groups``: ``node, label`` (a class not in it is a group of its
+    own).  Only tokens of two groups at least go on.  The group with most rows of a token never
+    queries by that token: the others query it, so a hot group is not paired with itself.  Each
+    shared token of a pair is thus seen from one side at least, so one of the two sides sees half of
+    them or more: bounds take twice what a side has seen.
     """
     w = Window.partitionBy("token")
     shared = tokens.withColumn("lo", F.min("c1").over(w)).withColumn("hi", F.max("c1").over(w)) \
@@ -293,29 +386,32 @@ def group_candidates(tokens: DataFrame, groups: DataFrame) -> DataFrame:
     g = groups.select(F.col("node").alias("c1"), "label")
     rows = materialize(shared.join(g, "c1", "left").withColumn("label", F.coalesce("label", "c1")), "shared-tokens")
     matrix = rows.groupBy("token", "label").agg(
-        F.min("place").alias("g_place"), F.min("n").alias("g_least"), F.max("n").alias("g_most"), F.count(F.lit(1)).alias("members"))
+        F.min("n").alias("g_least"), F.max("n").alias("g_most"), F.count(F.lit(1)).alias("members"))
     major = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("n_groups"), F.max(
         F.struct("members", "label")).alias("m")).where("n_groups > 1").select("token", F.col("m.label").alias("major"))
     matrix = materialize(matrix.join(major, "token"), "token-group-matrix")
     query = rows.join(major, "token").where("label <> major").select(
-        "token", F.col("c1").alias("q"), F.col("label").alias("q_label"), F.col("place").alias("q_place"), F.col("n").alias("q_n"))
-    opened = query.join(matrix.select("token", F.col("label").alias("g"), "g_place", "g_least", "g_most"), "token").where(
-        (F.col("q_label") != F.col("g")) & _reaches("q_place", "q_n", "g_place", "g_least", "g_most")).select("q", "g").distinct()
-    opened = materialize(opened, "opened-groups")
+        "token", F.col("c1").alias("q"), F.col("label").alias("q_label"), F.col("n").alias("q_n"))
+    # the overlap of a query with a group's union, at the two sizes of a member that ask for least
+    met = query.join(matrix.select("token", F.col("label").alias("g"), "g_least", "g_most"), "token").where(
+        F.col("q_label") != F.col("g")).groupBy("q", "g").agg(
+        F.first("q_n").alias("q_n"), F.count(F.lit(1)).alias("seen"), F.min("g_least").alias("lo"), F.max("g_most").alias("hi"))
+    lo = F.greatest("lo", F.ceil(F.col("q_n") * NUM / DEN).cast("int"))
+    hi = F.least("hi", F.floor(F.col("q_n") * DEN / NUM).cast("int"))
+    many = 2 * F.col("seen") + 1        # one more: sizes in between may round in its favour
+    opened = met.where((lo <= hi) & (_reach(many, F.col("q_n"), lo) | _reach(many, F.col("q_n"), hi)))
+    opened = materialize(opened.select("q", "g"), "opened-groups")
     # members of opened groups, by the query's tokens
-    asked = query.join(opened, "q").select("token", "q", "q_place", "q_n", F.col("g").alias("label"))
-    member = rows.select("token", "label", F.col("c1").alias("s"), F.col("place").alias("s_place"), F.col("n").alias("s_n"))
-    pairs = asked.join(member, ["token", "label"]).where(_reaches("q_place", "q_n", "s_place", "s_n", "s_n"))
+    asked = query.join(opened, "q").select("token", "q", "q_n", F.col("g").alias("label"))
+    member = rows.select("token", "label", F.col("c1").alias("s"), F.col("n").alias("s_n"))
+    pairs = asked.join(member, ["token", "label"]).where(_sizes_fit("q_n", "s_n")).groupBy("q", "s").agg(
+        F.first("q_n").alias("q_n"), F.first("s_n").alias("s_n"), F.count(F.lit(1)).alias("seen"))
+    pairs = pairs.where(_reach(2 * F.col("seen"), F.col("q_n"), F.col("s_n")))
     return pairs.select(F.greatest("q", "s").alias("a"), F.least("q", "s").alias("b")).distinct()
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document; the component's smallest id.
-
-    Null and empty texts have no shingles and are linked with nothing: their component is their own
-    id.  Null ids take part and never give a component its id unless all of its ids are null.  Rows
-    that repeat an id are rows of their own; equal texts are always linked.
-    """
+def _components(docs: DataFrame) -> DataFrame:
+    """``doc_id, th, n, label, component_id`` of every row; label: one number per component, null for empty sets."""
     n_docs = docs.count()
     hot = hot_tokens(docs, max(HOT_LEAST, round(n_docs * HOT_SHARE)))
     sets = materialize(shingle_sets(docs, hot), "shingle-sets")
@@ -329,19 +425,35 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     of_class = classes.join(labels, classes["c1"] == labels["node"], "left").select(
         "c1", "c2", "doc", F.coalesce("label", "c1").alias("label"))
     smallest = of_class.groupBy("label").agg(F.min("doc").alias("component_id"))
-    named = materialize(of_class.join(smallest, "label").select("c1", "c2", "component_id"), "class-components")
-    s = sets.select("doc_id", "n", "c1", "c2")
+    named = materialize(of_class.join(smallest, "label").select("c1", "c2", "label", "component_id"), "class-components")
+    s = sets.select("doc_id", "th", "n", "c1", "c2")
+    # equal sets may be a third of all rows: sorted by key, where Spark splits the hot one
     return s.join(named.hint("merge"), ["c1", "c2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
+        "doc_id", "th", "n", F.when(F.col("n") > 0, F.col("label")).alias("label"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document; the component's smallest id.
+
+    Null and empty texts have no shingles and are linked with nothing: their component is their own
+    id.  Null ids take part and never give a component its id unless all of its ids are null.  Rows
+    that repeat an id are rows of their own; equal texts are always linked.
+    """
+    return _components(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 def one_per_component(docs: DataFrame) -> DataFrame:
-    """The row of each component with the smallest id, with the columns of ``docs``.
+    """One document of each component, the one with the smallest id, with the columns of ``docs``.
 
-    Empty texts are components of their own and all stay.  Of rows that repeat the smallest id, the
-    one with the smallest text stays.
+    Texts without words are components of their own and all stay.  If different texts of a component
+    share its smallest id, one of them stays.  Rows equal in id and text stay or go together (exact
+    dedup comes first).
     """
-    c = jaccard_components(docs).select(F.col("doc_id").alias("_id"), "component_id", "n_shingles").distinct()
-    keep = c.where("n_shingles = 0 or _id <=> component_id").select("_id").distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_id"]), "left_semi")
+    c = materialize(_components(docs), "row-components")
+    kept = c.where("n > 0 and doc_id <=> component_id").groupBy("label", "doc_id").agg(F.min("th").alias("th"))
+    keys = kept.select("doc_id", "th").union(c.where("n = 0").select("doc_id", "th").distinct())
+    keys = keys.select(_id_key("doc_id").alias("_key"), "th").distinct()
+    cols = [F.col(f"`{x}`") for x in docs.columns]
+    d = docs.select(F.struct(*cols).alias("_row"), _id_key("doc_id").alias("_key"), _text_hash().alias("th"))
+    return d.join(keys, ["_key", "th"], "left_semi").select("_row.*")
