@@ -393,8 +393,9 @@ def group_candidates(tokens: DataFrame, groups: DataFrame) -> DataFrame:
     query = rows.join(major, "token").where("label <> major").select(
         "token", F.col("c1").alias("q"), F.col("label").alias("q_label"), F.col("n").alias("q_n"))
     # the overlap of a query with a group's union, at the two sizes of a member that ask for least
-    met = query.join(matrix.select("token", F.col("label").alias("g"), "g_least", "g_most"), "token").where(
-        F.col("q_label") != F.col("g")).groupBy("q", "g").agg(
+    matched = query.join(matrix.select("token", F.col("label").alias("g"), "g_least", "g_most"), "token").where(
+        F.col("q_label") != F.col("g"))
+    met = matched.groupBy("q", "g").agg(
         F.first("q_n").alias("q_n"), F.count(F.lit(1)).alias("seen"), F.min("g_least").alias("lo"), F.max("g_most").alias("hi"))
     lo = F.greatest("lo", F.ceil(F.col("q_n") * NUM / DEN).cast("int"))
     hi = F.least("hi", F.floor(F.col("q_n") * DEN / NUM).cast("int"))
@@ -402,7 +403,7 @@ def group_candidates(tokens: DataFrame, groups: DataFrame) -> DataFrame:
     opened = met.where((lo <= hi) & (_reach(many, F.col("q_n"), lo) | _reach(many, F.col("q_n"), hi)))
     opened = materialize(opened.select("q", "g"), "opened-groups")
     # members of opened groups, by the query's tokens
-    asked = query.join(opened, "q").select("token", "q", "q_n", F.col("g").alias("label"))
+    asked = matched.join(opened, ["q", "g"], "left_semi").select("token", "q", "q_n", F.col("g").alias("label"))
     member = rows.select("token", "label", F.col("c1").alias("s"), F.col("n").alias("s_n"))
     pairs = asked.join(member, ["token", "label"]).where(_sizes_fit("q_n", "s_n")).groupBy("q", "s").agg(
         F.first("q_n").alias("q_n"), F.first("s_n").alias("s_n"), F.count(F.lit(1)).alias("seen"))
