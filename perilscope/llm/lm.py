@@ -7,8 +7,9 @@ which it has its smoothed share.  So each token has a normalised probability, al
     P(token | context) = P(class | context) * (c + 0.1) / (C + 0.1 (V + 1))     (c, C, V of the class)
 
 Counts (of tokens and of class triples) cover all training texts and are added up by Spark.  The fit
-draws a fixed number of triples in proportion to the corpus-wide counts and runs in numpy; scoring
-is by matrix products of whole blocks of contexts.  Tokens are bytes; the end of a text is ``b""``.
+weighs every counted triple by its count: the contexts are dealt to parts, tasks improve the
+parameters on their part in numpy, and each round takes the mean.  Scoring is by matrix products of
+whole blocks of contexts.  Tokens are bytes; the end of a text is ``b""``.
 """
 
 from __future__ import annotations
@@ -22,14 +23,18 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
-from .common import hash_unit, id_remainder
+from .common import id_remainder
 
 OWN_CLASSES = 480
 #: tokens of at least this share of all tokens are looked up in the task: at most 1 / share of them
 FREQUENT_SHARE = 1e-6
 SMOOTH = 0.1
-DRAWS = 1_500_000
-DIM, NOISE, BATCH, EPOCHS, RATE, SEED = 24, 256, 2048, 3, 0.15, 11
+DIM, NOISE, BATCH, RATE, SEED = 24, 256, 256, 0.1, 11
+ROUNDS, STEPS = 16, 300
+#: contexts of a part: at most (classes + 1) ** 2 / PART_CONTEXTS parts, whatever the corpus
+PART_CONTEXTS = 20_000
+#: into so many pieces of equal weight, or more, a part's contexts are cut, so that none rules a step
+PIECES = 20_000
 END = b""
 COUNTER_ENTRIES = 400_000
 CHUNK_BYTES = 4_000_000
@@ -163,70 +168,143 @@ def triple_counts(docs: DataFrame, own: dict[bytes, int]) -> DataFrame:
     return texts.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def draw_triples(triples: DataFrame, total: int, draws: int = DRAWS) -> np.ndarray:
-    """``draws`` triples or so, in proportion to the counts: whole shares, and a seeded draw for the rest."""
-    if not total:
-        return np.empty((0, 2), "i8")
-    rate = F.col("n") * (draws / total)
-    t = triples.select("key", (F.floor(rate) + (hash_unit(F.lit(f"draw-{SEED}"), F.col("key")) < rate - F.floor(rate)).cast("int"))
-                       .cast("bigint").alias("times")).where("times > 0")
-    rows = t.toPandas().sort_values("key")
-    return rows.to_numpy("i8")
+def nce_start(frequency: np.ndarray, *, dim: int = DIM, seed: int = SEED) -> dict[str, np.ndarray]:
+    """Parameters before the fit, from the classes' counts: biases at the log frequencies, vectors near 0
+    (the untrained model is the class unigram)."""
+    rng = np.random.default_rng(seed)
+    size = len(frequency)
+    q = (frequency + 0.5) / (frequency + 0.5).sum()
+    p = {"r": rng.normal(0, 0.1, (size + 1, dim)), "w": rng.normal(0, 0.1, (size, dim)), "b": np.log(q),
+         "c1": np.eye(dim) + rng.normal(0, 0.01, (dim, dim)), "c2": np.eye(dim) * 0.5 + rng.normal(0, 0.01, (dim, dim))}
+    return {k: v.astype("f4") for k, v in p.items()}
 
 
-def fit_nce(sample: np.ndarray, size: int, *, dim: int = DIM, noise: int = NOISE, batch: int = BATCH,
-            epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> tuple[np.ndarray, ...]:
-    """Log-bilinear parameters from ``sample`` (key, times): scores by the class before the last, by
-    the last class, and biases.
+def _add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    order = np.argsort(at, kind="stable")
+    first = np.flatnonzero(np.diff(at[order], prepend=-1))
+    out[at[order][first]] += np.add.reduceat(rows[order], first, axis=0)
+
+
+def nce_pass(p: dict, seen: dict, key: np.ndarray, n: np.ndarray, frequency: np.ndarray, rng: np.random.Generator, *,
+             noise: int = NOISE, batch: int = BATCH, rate: float = RATE, pieces: int = PIECES, passes: int | None = None) -> None:
+    """Improve the parameters ``p`` (and Adagrad's sums ``seen``) in place on all triples ``key, n``.
 
     A context is the sum of its two classes' vectors, each by its position's matrix; a class scores
-    by its product with its own vector and its bias.  Each step tells a batch of classes from
-    ``noise`` classes drawn from their frequencies, shared by the batch (Adagrad).  The biases start
-    at the log frequencies, the vectors near 0: the untrained model is the class unigram.
+    by its product with its own vector and its bias.  Each step tells the counted classes of a batch
+    of contexts from ``noise`` classes a token drawn from their frequencies; the expectation over the
+    draws is taken whole, class by class.  A context's counts, cut into equal pieces where they are
+    large, weigh as much as they are.  Without ``passes``: whole passes until there are STEPS steps.
     """
-    rng = np.random.default_rng(seed)
-    m = size + 1                                              # with the start
-    key, times = (sample[:, 0], sample[:, 1]) if len(sample) else (np.empty(0, "i8"), np.empty(0, "i8"))
-    frequency = np.bincount(key % m, weights=times, minlength=m)[:size] + 0.5
-    q = frequency / frequency.sum()
-    p = {"r": rng.normal(0, 0.1, (m, dim)), "w": rng.normal(0, 0.1, (size, dim)), "b": np.log(q),
-         "c1": np.eye(dim) + rng.normal(0, 0.01, (dim, dim)), "c2": np.eye(dim) * 0.5 + rng.normal(0, 0.01, (dim, dim))}
-    p = {k: v.astype("f4") for k, v in p.items()}
-    seen = {k: np.full_like(v, 0.1) for k, v in p.items()}
-    log_kq = np.log(noise * q).astype("f4")
-    keys = np.repeat(key, times)
-    for epoch in range(epochs):
-        rng.shuffle(keys)
-        for lo in range(0, len(keys), batch):
-            k = keys[lo:lo + batch]
-            target, last, before = k % m, k // m % m, k // (m * m)
-            other = rng.choice(size, noise, p=q)
+    if not len(key):
+        return
+    size = len(frequency)
+    m = size + 1
+    q = (frequency + 0.5) / (frequency + 0.5).sum()
+    kq = (noise * q).astype("f4")
+    log_kq = np.log(kq)
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    context, start = np.unique(key // m, return_index=True)
+    held = np.diff(start, append=len(key))
+    total, target = np.add.reduceat(n, start), key % m
+    times = np.minimum(total, np.ceil(total * (pieces / total.sum()))).astype("i8")
+    unit = times.sum() / (times * total.sum())               # weights: 1 for the mean piece
+    rows = np.repeat(np.arange(len(context)), times)
+    for _ in range(passes or math.ceil(STEPS / math.ceil(len(rows) / batch))):
+        shuffled = rng.permutation(rows)
+        for lo in range(0, len(rows), batch):
+            i = shuffled[lo:lo + batch]
+            before, last, many = context[i] // m, context[i] % m, held[i]
+            at = np.repeat(np.arange(len(i)), many)
+            of = np.arange(len(at)) + np.repeat(start[i] - np.cumsum(many) + many, many)
+            counted = np.zeros((len(i), size), "f4")
+            counted[at, target[of]] = n[of] * unit[i][at]
             rl, rb = p["r"][last], p["r"][before]
             h = rl @ p["c1"] + rb @ p["c2"]
-            wt, wn = p["w"][target], p["w"][other]
-            st = (h * wt).sum(1) + p["b"][target] - log_kq[target]
-            sn = h @ wn.T + p["b"][other] - log_kq[other]
-            gt = 1 / (1 + np.exp(np.clip(st, -30, 30)))          # 1 - P(data)
-            gn = -1 / (1 + np.exp(-np.clip(sn, -30, 30)))        # - P(data)
-            gh = gt[:, None] * wt + gn @ wn
-            g = {k_: np.zeros_like(v) for k_, v in p.items()}
-            np.add.at(g["w"], target, gt[:, None] * h)
-            np.add.at(g["w"], other, gn.T @ h)
-            np.add.at(g["b"], target, gt)
-            np.add.at(g["b"], other, gn.sum(0))
-            g["c1"], g["c2"] = rl.T @ gh, rb.T @ gh
-            np.add.at(g["r"], last, gh @ p["c1"].T)
-            np.add.at(g["r"], before, gh @ p["c2"].T)
+            data = 1 / (1 + np.exp(-np.clip(h @ p["w"].T + (p["b"] - log_kq), -30, 30)))       # P(data)
+            slope = counted * (1 - data) - (total[i] * unit[i]).astype("f4")[:, None] * kq * data
+            gh = slope @ p["w"]
+            g = {"r": np.zeros_like(p["r"]), "w": slope.T @ h, "b": slope.sum(0), "c1": rl.T @ gh, "c2": rb.T @ gh}
+            _add_rows(g["r"], last, gh @ p["c1"].T)
+            _add_rows(g["r"], before, gh @ p["c2"].T)
             for name in p:
-                step = g[name] / np.float32(len(k)) * np.float32(noise)
+                step = g[name] * np.float32(noise / len(i))
                 seen[name] += step * step
                 p[name] += np.float32(rate) * step / np.sqrt(seen[name])
-    last_score = p["r"] @ p["c1"] @ p["w"].T
-    before_score = p["r"] @ p["c2"] @ p["w"].T
-    return before_score.astype("f4"), last_score.astype("f4"), p["b"]
 
 
-def fit(docs: DataFrame, counts: DataFrame, total: int, *, draws: int = DRAWS) -> Model:
+def nce_scores(p: dict) -> tuple[np.ndarray, ...]:
+    """Scores by the class before the last, by the last class, and biases."""
+    return p["r"] @ p["c2"] @ p["w"].T, p["r"] @ p["c1"] @ p["w"].T, p["b"]
+
+
+def _sums(p: dict) -> dict[str, np.ndarray]:
+    return {k: np.full_like(v, 0.1) for k, v in p.items()}
+
+
+def fit_nce(sample: np.ndarray, size: int, *, dim: int = DIM, noise: int = NOISE, batch: int = BATCH,
+            epochs: int = 3, rate: float = RATE, seed: int = SEED) -> tuple[np.ndarray, ...]:
+    """The fit to ``sample`` (key, n) in this process: ``epochs`` passes, scores as of ``nce_scores``."""
+    frequency = np.bincount(sample[:, 0] % (size + 1), weights=sample[:, 1], minlength=size)
+    p = nce_start(frequency, dim=dim, seed=seed)
+    nce_pass(p, _sums(p), sample[:, 0], sample[:, 1], frequency, np.random.default_rng(seed),
+             noise=noise, batch=batch, rate=rate, passes=epochs)
+    return nce_scores(p)
+
+
+def deal_triples(triples: DataFrame, size: int) -> DataFrame:
+    """``part, key, n`` (stored): all triples, one row a part with its whole contexts (int64 bytes).
+
+    The classes bound the contexts, so also the parts and a part's length; counts only grow.
+    """
+    triples = materialize(triples, "class-triples")
+    context = F.expr(f"key div {size + 1}")
+    parts = max(1, math.ceil(triples.select(context.alias("c")).distinct().count() / PART_CONTEXTS))
+
+    def pack(table):
+        import pyarrow as pa
+        key, n = (table.column(c).to_numpy() for c in ("key", "n"))
+        order = np.argsort(key)
+        return pa.table({"part": table.column("part").slice(0, 1), "key": pa.array([key[order].tobytes()], pa.binary()),
+                         "n": pa.array([n[order].tobytes()], pa.binary())})
+
+    dealt = triples.select(F.pmod(F.xxhash64(context), F.lit(parts)).alias("part"), "key", "n").repartition(parts, "part")
+    return materialize(dealt.groupBy("part").applyInArrow(pack, "part bigint, key binary, n binary"), "dealt-triples")
+
+
+def train(dealt: DataFrame, frequency: np.ndarray, *, rounds: int = ROUNDS, pieces: int = PIECES) -> dict[str, np.ndarray]:
+    """The parameters fitted to all triples: every round each part improves them on its own triples, and
+    the mean by the parts' tokens is kept (of Adagrad's sums too)."""
+    p = nce_start(frequency)
+    seen = _sums(p)
+    spark = dealt.sparkSession
+    for turn in range(rounds):
+        shared = spark.sparkContext.broadcast((p, seen, frequency))
+
+        def run(batches, shared=shared, turn=turn):
+            import pyarrow as pa
+            for b in batches:
+                for part, key, n in zip(*(b.column(i).to_pylist() for i in range(3))):
+                    own, sums = ({k: v.copy() for k, v in d.items()} for d in shared.value[:2])
+                    n = np.frombuffer(n, "i8")
+                    nce_pass(own, sums, np.frombuffer(key, "i8"), n, shared.value[2],
+                             np.random.default_rng([SEED, turn, part]), pieces=pieces)
+                    flat = np.concatenate([v.ravel() for d in (own, sums) for v in d.values()])
+                    yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([int(n.sum())]), pa.array([flat.tobytes()], pa.binary())],
+                                                     ["part", "tokens", "flat"])
+
+        found = sorted(dealt.select("part", "key", "n").mapInArrow(run, "part bigint, tokens bigint, flat binary").collect())
+        shared.destroy()
+        if not found:
+            break
+        mean = sum(np.frombuffer(r["flat"], "f4").astype("f8") * r["tokens"] for r in found) / sum(r["tokens"] for r in found)
+        cut = np.cumsum([v.size for d in (p, seen) for v in d.values()])[:-1]
+        flat = iter(np.split(mean.astype("f4"), cut))
+        p, seen = ({k: next(flat).reshape(v.shape) for k, v in d.items()} for d in (p, seen))
+    return p
+
+
+def fit(docs: DataFrame, counts: DataFrame, *, pieces: int = PIECES) -> Model:
     """The model of the training texts ``docs``, whose token counts are ``counts``."""
     top = counts.where(F.length("token") >= 0).orderBy(F.col("n").desc(), "token").limit(OWN_CLASSES).collect()
     own = {bytes(r["token"]): i for i, r in enumerate(top)}
@@ -241,11 +319,13 @@ def fit(docs: DataFrame, counts: DataFrame, total: int, *, draws: int = DRAWS) -
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(SHAPES)), pa.array(s[:, 0]), pa.array(s[:, 1])], ["shape", "c", "v"])
 
     denominators = np.full(SHAPES, SMOOTH)
+    frequency = np.array([r["n"] for r in top] + [0] * SHAPES, "f8")
     for r in counts.mapInArrow(by_shape, "shape bigint, c bigint, v bigint").groupBy("shape").agg(
             F.sum("c").alias("c"), F.sum("v").alias("v")).collect():
         denominators[r["shape"]] = r["c"] + SMOOTH * (r["v"] + 1)
-    triples = draw_triples(triple_counts(docs, own), total, draws)
-    return Model(own, denominators, *fit_nce(triples, len(own) + SHAPES))
+        frequency[len(own) + r["shape"]] = r["c"]
+    dealt = deal_triples(triple_counts(docs, own), len(own) + SHAPES)
+    return Model(own, denominators, *nce_scores(train(dealt, frequency, pieces=pieces)))
 
 
 class Scorer:
@@ -281,7 +361,7 @@ class Scorer:
         return length, np.add.reduceat(known.astype("i8"), at), base, score, rare
 
 
-def score_documents(docs: DataFrame, *, draws: int = DRAWS, frequent_share: float = FREQUENT_SHARE) -> DataFrame:
+def score_documents(docs: DataFrame, *, draws: int = PIECES, frequent_share: float = FREQUENT_SHARE) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document.
 
     base_score: the smoothed unigram log10 probability; score: the model's.  Null and empty texts are
@@ -291,11 +371,12 @@ def score_documents(docs: DataFrame, *, draws: int = DRAWS, frequent_share: floa
 
     Frequent tokens are looked up in the task (their number is bounded by 1 / ``frequent_share``);
     the occurrences of all others are joined with the stored counts and added up by row.
+    ``draws``: the pieces of the fit (PIECES); all triples are in it, whatever their number.
     """
-    train = _training(docs.select("doc_id", "text"))
-    counts = token_counts(train)
+    texts = _training(docs.select("doc_id", "text"))
+    counts = token_counts(texts)
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    model = fit(train, counts, n, draws=draws)
+    model = fit(texts, counts, pieces=draws)
     often = counts.where(F.col("n") >= max(1.0, frequent_share * n)).toPandas()
     frequent = dict(zip(map(bytes, often["token"]), often["n"].tolist()))
     frequent.update({t: 0 for t in model.own if t not in frequent})

@@ -109,3 +109,11 @@ def test_language_model_is_normalised_and_edges(spark):
     one = data.awkward(spark).where("doc_id in (1, 3)")
     twice = sorted(r["score"] for r in lm.score_documents(one.union(one), draws=2000).collect())
     assert twice[0] == twice[1] and twice[2] == twice[3]             # equal rows, equal scores
+
+
+def test_language_model_learns_from_every_triple(spark):
+    # a cycle of 24 words, 200 texts: seen thousands of times, but few draws of it are taken
+    words = [f"w{chr(97 + i)}" for i in range(24)]
+    docs = spark.createDataFrame([(i, " ".join(words[(i + k) % 24] for k in range(30))) for i in range(200)], "doc_id long, text string")
+    got = lm.score_documents(docs, draws=20).collect()
+    assert sum(r["score"] for r in got) > 0.5 * sum(r["base_score"] for r in got)
