@@ -39,7 +39,7 @@ class Options:
     as_of: str                      # news staging date and search date (YYYY-MM-DD)
     news_days: int = news.NEWS_LOOKBACK_DAYS
     sensor_days: int = air.SENSOR_LOOKBACK_DAYS
-    search: str = "ivf"             # or "exact" (all pairs of recent incidents)
+    search: str = "exact"           # or "ivf": a share of the lists, which can miss neighbours
     ivf_lists: int = vectors.IVF_LISTS
     ivf_share: float = vectors.IVF_SHARE
     text_provider: object = None    # None -> offline provider
