@@ -30,7 +30,7 @@ OWN_CLASSES = 480
 FREQUENT_SHARE = 1e-6
 SMOOTH = 0.1
 DIM, NOISE, BATCH, RATE, SEED = 24, 256, 256, 0.1, 11
-ROUNDS, STEPS = 16, 300
+ROUNDS, STEPS = 12, 250
 #: contexts of a part: at most (classes + 1) ** 2 / PART_CONTEXTS parts, whatever the corpus
 PART_CONTEXTS = 20_000
 #: into so many pieces of equal weight, or more, a part's contexts are cut, so that none rules a step
@@ -221,8 +221,14 @@ def nce_pass(p: dict, seen: dict, key: np.ndarray, n: np.ndarray, frequency: np.
             counted[at, target[of]] = n[of] * unit[i][at]
             rl, rb = p["r"][last], p["r"][before]
             h = rl @ p["c1"] + rb @ p["c2"]
-            data = 1 / (1 + np.exp(-np.clip(h @ p["w"].T + (p["b"] - log_kq), -30, 30)))       # P(data)
-            slope = counted * (1 - data) - (total[i] * unit[i]).astype("f4")[:, None] * kq * data
+            z = h @ -p["w"].T
+            z += log_kq - p["b"]
+            np.exp(np.clip(z, -30, 30, out=z), out=z)
+            z += 1                                           # 1 / P(data)
+            slope = (total[i] * unit[i]).astype("f4")[:, None] * kq
+            slope += counted
+            slope /= z
+            np.subtract(counted, slope, out=slope)           # counted * (1 - P(data)) - noise * P(data)
             gh = slope @ p["w"]
             g = {"r": np.zeros_like(p["r"]), "w": slope.T @ h, "b": slope.sum(0), "c1": rl.T @ gh, "c2": rb.T @ gh}
             _add_rows(g["r"], last, gh @ p["c1"].T)
