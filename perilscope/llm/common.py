@@ -16,6 +16,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
 def text_col(name: str = "text") -> Column:
     """The text, null read as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, imatch, jaccard, lm, mixing, packing, quality, secret_scan, token_files, toxicity
-from .common import documents, labels
+from . import (exact_dedup, imatch, jaccard, licenses, lm, merkle, mixing, packing, quality, repair, secret_scan, token_files,
+               toxicity)
+from .common import conversations, documents, labels
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -137,3 +138,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_weak_supervision")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query("op11_merkle_manifest")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(conversations(spark, sf_dir))
+
+
+@query("op13_license_scan")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(documents(spark, sf_dir))
