@@ -130,6 +130,18 @@ def roads_fx(spark, sf_dir) -> DataFrame:
         F.struct(F.col("lon").alias("lon"), F.col("lat_b").alias("lat"))))
 
 
+def multi_roads_fx(spark, sf_dir) -> DataFrame:
+    """Landed roads of one to three meridian lines each, as GeoJSON: ``id, subtype, geometry``."""
+    lon = "(-300 + (p_partkey * 613 + k * 37) % 600) / 10.0e0"
+    lat_a = "(200 + (p_partkey * 271 + k * 53) % 380) / 10.0e0"
+    lat_b = f"{lat_a} + 0.1e0 * (1 + (p_partkey + 7 * k) % 90)"
+    line = f"'[[' || ({lon}) || ',' || ({lat_a}) || '],[' || ({lon}) || ',' || ({lat_b}) || ']]'"
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey as id", "'road' as subtype",
+        "'{\"type\":\"MultiLineString\",\"coordinates\":[' || array_join(transform(sequence(0, cast(p_partkey % 3 as int)), "
+        f"k -> {line}), ',') || ']}}' as geometry")
+
+
 def sensors_fx(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "customer").selectExpr(
         "c_custkey as location_id",

@@ -6,15 +6,42 @@ wholly inside (``cls`` 0) keeps nothing else; tiles outside have no row.  Whethe
 is inside follows from the anchor and the tile's own edges: the path from the point up or down to
 the centre's height, and on to the centre, changes sides at every edge that it crosses.  So no row
 of the index, and none of the joins, carries a whole outline.
+
+Where many edges share a tile (archipelagos, detailed coasts) it is split into quarters, again and
+again, until a cell has ``EDGE_LIMIT`` edges at most (``fine_tiles``); every cell has its own anchor.
+A cell of level ``lv`` is ``tile_deg / 2 ** lv`` wide.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialize
+
 EDGE = "struct<part:int,ax:double,ay:double,bx:double,by:double>"
 _KEYS = ("part", "ax", "ay", "bx", "by")
+#: edges of all polygons in one cell, beyond which it is split
+EDGE_LIMIT = 256
+#: a cell is split so often at most: edges that meet in one point cannot be told apart
+MAX_SPLITS = 12
+
+
+def _left(ax, ay, bx, by, x, y):
+    """Whether a point is left of an edge; one on its line is taken a hair right and then up, so that
+    every point has a side and all uses agree on it."""
+    cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+    return (cross > 0) | (cross == 0) & ((by < ay) | (by == ay) & (bx > ax))
+
+
+def _changes(ax, ay, bx, by, x, y, xc, yc):
+    """How often the way from (x, y) up or down to yc and on to (xc, yc) crosses each edge."""
+    corner = _left(ax, ay, bx, by, x, yc)
+    upright = ((ax > x) != (bx > x)) & (_left(ax, ay, bx, by, x, y) != corner)
+    level = ((ay > yc) != (by > yc)) & (corner != _left(ax, ay, bx, by, xc, yc))
+    return upright.astype("i8") + level
 
 
 def _edge_columns(geom: str) -> list[Column]:
@@ -63,9 +90,9 @@ def cut_outline(part, ax, ay, bx, by, size: float):
         if not len(s):
             continue
         s = s[np.argsort(part[s], kind="stable")]
-        xs = ax[s] + (bx[s] - ax[s]) * ((y - ay[s]) / (by[s] - ay[s]))
         first = np.flatnonzero(np.concatenate([[True], part[s][1:] != part[s][:-1]]))
-        is_odd = np.add.reduceat(xs[None, :] > centres[:, None], first, axis=1, dtype="i8") % 2 == 1
+        beyond = _left(ax[s], ay[s], bx[s], by[s], centres[:, None], y) == (by[s] > ay[s])
+        is_odd = np.add.reduceat(beyond, first, axis=1, dtype="i8") % 2 == 1
         c, p = np.nonzero(is_odd)
         odd_tile.append(r * nx + c)
         odd_part.append(part[s][first][p])
@@ -115,47 +142,194 @@ def outline_tiles(polygons: DataFrame, *, geom: str = "geom", tile_deg: float =
     return flat.mapInArrow(run, (ddl + ", " if ddl else "") + f"ty bigint, tx bigint, cls int, edges array<{EDGE}>, odd array<int>")
 
 
+def split_cell(part, ax, ay, bx, by, odd, lv: int, cy: int, cx: int, tile_deg: float):
+    """The quarters of a cell that its polygon reaches: (cy, cx, edge numbers, odd parts) each."""
+    size, half = tile_deg / 2 ** lv, tile_deg / 2 ** (lv + 1)
+    xc, yc = (cx + 0.5) * size, (cy + 0.5) * size
+    eps = 1e-9 * half
+    slack = eps * (np.abs(bx - ax) + np.abs(by - ay))
+    parts = np.union1d(part, odd)
+    of = np.searchsorted(parts, part)
+    anchor = np.isin(parts, odd)
+    for y, x in ((2 * cy + i, 2 * cx + j) for i in (0, 1) for j in (0, 1)):
+        x0, x1, y0, y1 = x * half - eps, (x + 1) * half + eps, y * half - eps, (y + 1) * half + eps
+        near = (np.minimum(ax, bx) <= x1) & (np.maximum(ax, bx) >= x0) & (np.minimum(ay, by) <= y1) & (np.maximum(ay, by) >= y0)
+        cross = np.stack([(bx - ax) * (v - ay) - (by - ay) * (u - ax) for u in (x0, x1) for v in (y0, y1)])
+        near &= (cross.max(0) >= -slack) & (cross.min(0) <= slack)           # not all corners on one side
+        n = np.bincount(of, _changes(ax, ay, bx, by, (x + 0.5) * half, (y + 0.5) * half, xc, yc), len(parts)).astype("i8")
+        inside = parts[anchor ^ (n % 2 == 1)]
+        if near.any() or len(inside):
+            yield y, x, np.flatnonzero(near), inside
+
+
+def _split(cells: DataFrame, attrs: list[str], tile_deg: float) -> DataFrame:
+    """Every row of a cell -> the rows of its quarters."""
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            for i in range(b.num_rows):
+                lv, cy, cx = (b.column(k)[i].as_py() for k in ("lv", "ty", "tx"))
+                e = b.column("edges")[i].values
+                part, ax, ay, bx, by = (e.field(k).to_numpy(zero_copy_only=False) for k in range(5))
+                odd = np.asarray(b.column("odd")[i].values, "i4")
+                kids = list(split_cell(part, ax, ay, bx, by, odd, lv, cy, cx, tile_deg))
+                if not kids:
+                    continue
+                same = b.slice(i, 1).take(pa.array(np.zeros(len(kids), "i8")))
+                no = pa.array(np.concatenate([k[2] for k in kids]).astype("i8"))
+
+                def offsets(j):
+                    return pa.array(np.concatenate([[0], np.cumsum([len(k[j]) for k in kids])]).astype("i4"))
+                yield pa.RecordBatch.from_arrays(
+                    [*[same.column(k) for k in attrs], pa.array([k[0] for k in kids], pa.int64()), pa.array([k[1] for k in kids], pa.int64()),
+                     pa.array([2 if len(k[2]) else 0 for k in kids], pa.int32()), pa.ListArray.from_arrays(offsets(2), e.take(no)),
+                     pa.ListArray.from_arrays(offsets(3), pa.array(np.concatenate([k[3] for k in kids]).astype("i4"))),
+                     pa.array([lv + 1] * len(kids), pa.int32()), pa.array([False] * len(kids))],
+                    [*attrs, "ty", "tx", "cls", "edges", "odd", "lv", "blank"])
+    cells = cells.select(*attrs, "ty", "tx", "cls", "edges", "odd", "lv", "blank")
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.schema)
+    return cells.mapInArrow(run, types)
+
+
+@dataclass
+class FineTiles:
+    """``cells``: the rows of ``outline_tiles`` with ``lv`` and ``blank`` (a cell that no polygon reaches,
+    kept where its tile was split); ``levels``: ``ty, tx, lvs`` of the tiles that were, or None."""
+    cells: DataFrame
+    levels: DataFrame | None
+
+    def by_tile(self) -> dict[tuple[int, int], list[int]]:
+        """Levels of each split tile; a grid of whole tiles has 360 * 180 of them at one degree."""
+        return {} if self.levels is None else {(r["ty"], r["tx"]): sorted(r["lvs"]) for r in self.levels.collect()}
+
+
+def fine_tiles(polygons: DataFrame, *, geom: str = "geom", tile_deg: float = 1.0, limit: int = EDGE_LIMIT,
+               splits: int = MAX_SPLITS) -> FineTiles:
+    """``outline_tiles`` with dense tiles split into quarters until a cell has ``limit`` edges at most.
+
+    Edges are counted per cell over all polygons, in Spark; a row is split on its own, from its own
+    edges and anchor.  Outlines with fewer edges than ``limit`` in all are not split and not stored.
+    """
+    attrs = [c for c in polygons.columns if c != geom]
+    tiles = outline_tiles(polygons, geom=geom, tile_deg=tile_deg).withColumn("lv", F.lit(0)).withColumn("blank", F.lit(False))
+    rings = F.flatten(F.transform(geom, lambda p: F.transform(p, lambda r: F.size(r).cast("bigint"))))
+    if (polygons.agg(F.sum(F.aggregate(rings, F.lit(0).cast("bigint"), lambda a, n: a + n))).first()[0] or 0) <= limit:
+        return FineTiles(tiles, None)
+    here, leaves = materialize(tiles, "outline-tiles"), []
+    for lv in range(splits):
+        dense = materialize(here.groupBy("ty", "tx").agg(F.sum(F.size("edges")).alias("n")).where(F.col("n") > limit)
+                            .select("ty", "tx"), "dense-tiles")
+        if dense.isEmpty():
+            break
+        leaves.append(here.join(dense, ["ty", "tx"], "left_anti"))
+        quarter = F.explode(F.array(*[F.struct((F.col("ty") * 2 + i).alias("y"), (F.col("tx") * 2 + j).alias("x"))
+                                      for i in (0, 1) for j in (0, 1)])).alias("q")
+        blank = dense.select(quarter).select(F.col("q.y").alias("ty"), F.col("q.x").alias("tx"), F.lit(0).alias("cls"),
+                                             F.array().cast(f"array<{EDGE}>").alias("edges"), F.array().cast("array<int>").alias("odd"),
+                                             F.lit(lv + 1).alias("lv"), F.lit(True).alias("blank"))
+        kids = _split(here.join(dense, ["ty", "tx"], "left_semi").where("not blank"), attrs, tile_deg)
+        here = materialize(kids.select(here.columns).unionByName(blank, allowMissingColumns=True), "outline-tiles")
+    cells = here
+    for part in leaves:
+        cells = cells.unionByName(part)
+    if not leaves:
+        return FineTiles(cells, None)
+    levels = cells.where("lv > 0").groupBy(F.expr("shiftright(ty, lv)").alias("ty"), F.expr("shiftright(tx, lv)").alias("tx")).agg(
+        F.collect_set("lv").alias("lvs"))
+    return FineTiles(cells, materialize(levels, "split-tiles"))
+
+
+def by_part(edges: Column, odd: Column) -> Column:
+    """A cell's edges, part by part, so that a look-up visits each edge once: part, odd, edges."""
+    parts = F.array_distinct(F.concat(F.transform(edges, lambda e: e["part"]), odd))
+    return F.transform(parts, lambda p: F.struct(
+        F.array_contains(odd, p).alias("odd"), F.filter(edges, lambda e: e["part"] == p).alias("edges")))
+
+
 def inside_tile(x: Column, y: Column, tile: Column, size: float) -> Column:
-    """Whether a point of a boundary tile is inside the polygon; on its outline it is not.
+    """Whether a point of a boundary cell is inside the polygon; on its outline it is not.
 
-    ``tile``: struct with ``ty, tx, edges, odd``.  Higher-order functions over the tile's edges only.
+    ``tile``: struct with ``ty, tx, lv, parts`` (``by_part``); ``size``: width of a tile.  Higher-order
+    functions over the cell's edges only, each visited once for its side and once for touching.
     """
-    xc, yc = (tile["tx"] + 0.5) * F.lit(size), (tile["ty"] + 0.5) * F.lit(size)
+    width = F.lit(size) / F.pow(F.lit(2.0), tile["lv"])
+    xc, yc = (tile["tx"] + 0.5) * width, (tile["ty"] + 0.5) * width
+
+    def cross(e: Column, px: Column, py: Column) -> Column:
+        return (e["bx"] - e["ax"]) * (py - e["ay"]) - (e["by"] - e["ay"]) * (px - e["ax"])
+
+    def left(e: Column, px: Column, py: Column) -> Column:
+        c = cross(e, px, py)
+        return (c > 0) | ((c == 0) & ((e["by"] < e["ay"]) | ((e["by"] == e["ay"]) & (e["bx"] > e["ax"]))))
 
     def crossings(e: Column) -> Column:
-        y_at = e["ay"] + (e["by"] - e["ay"]) * F.try_divide(x - e["ax"], e["bx"] - e["ax"])
-        x_at = e["ax"] + (e["bx"] - e["ax"]) * F.try_divide(yc - e["ay"], e["by"] - e["ay"])
-        upright = ((e["ax"] > x) != (e["bx"] > x)) & ((y_at > y) != (y_at > yc))
-        level = ((e["ay"] > yc) != (e["by"] > yc)) & ((x_at > x) != (x_at > xc))
-        return F.coalesce(upright.cast("int"), F.lit(0)) + F.coalesce(level.cast("int"), F.lit(0))
+        upright = ((e["ax"] > x) != (e["bx"] > x)) & (left(e, x, y) != left(e, x, yc))
+        level = ((e["ay"] > yc) != (e["by"] > yc)) & (left(e, x, yc) != left(e, xc, yc))
+        return upright.cast("int") + level.cast("int")
 
     def touches(e: Column) -> Column:
-        cross = (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
-        return (cross == 0) & x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"])) \
+        return (cross(e, x, y) == 0) & x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"])) \
             & y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
 
     def holds(p: Column) -> Column:
-        n = F.aggregate(F.filter(tile["edges"], lambda e: e["part"] == p),
-                        F.array_contains(tile["odd"], p).cast("int"), lambda a, e: a + crossings(e))
-        return n % 2 == 1
+        return F.aggregate(p["edges"], p["odd"].cast("int"), lambda a, e: a + crossings(e)) % 2 == 1
 
-    parts = F.array_distinct(F.concat(F.transform(tile["edges"], lambda e: e["part"]), tile["odd"]))
-    return F.exists(parts, holds) & ~F.exists(tile["edges"], touches)
+    return F.exists(tile["parts"], holds) & ~F.exists(tile["parts"], lambda p: F.exists(p["edges"], touches))
 
 
 # ------------------------------------------------------------------ lines
-def cut_lines(lines: DataFrame, *, key: str, geom: str = "geom", tile_deg: float = 1.0) -> DataFrame:
-    """``line_id, ty, tx, alone, pieces``: each line's pieces, cut at the tile borders.
-
-    A piece is (segment number, from, to, the segment's ends); from and to are shares of the segment,
-    so pieces of neighbouring tiles meet in the same number.  alone: the line has this tile only.
+def one_line_each(lines: DataFrame, key: str, geom: str) -> DataFrame:
+    """``line_id, line, g``: a row per line.  A road may be a list of lines, and several rows may share its
+    key; ``line`` tells them apart (a hash of the points and of the place in the list)."""
+    several = lines.schema[geom].dataType.elementType.typeName() == "array"
+    k = F.col(key).alias("line_id")
+    rows = lines.select(k, F.posexplode(geom).alias("n", "g")) if several else lines.select(k, F.lit(0).alias("n"), F.col(geom).alias("g"))
+    return rows.where(F.size("g") > 1).select("line_id", F.xxhash64("n", "g").alias("line"), "g")
+
+
+def _grid_cuts(a, b, x0, y0, x1, y1, size: float):
+    """Segments, from share a to share b, cut where they cross the grid: (segment, from, to, ty, tx)."""
+    n = np.arange(len(a))
+    cuts, shares = [n, n], [a, b]
+    for p, q in ((x0, x1), (y0, y1)):
+        u, v = p + a * (q - p), p + b * (q - p)
+        at, grid = _spans(np.floor(np.minimum(u, v) / size).astype("i8") + 1, np.ceil(np.maximum(u, v) / size).astype("i8") - 1)
+        cuts.append(at)
+        shares.append(np.clip((grid * size - p[at]) / (q - p)[at], a[at], b[at]))
+    c, t = np.concatenate(cuts), np.concatenate(shares)
+    o = np.lexsort((t, c))
+    c, t = c[o], t[o]
+    k = np.flatnonzero(c[:-1] == c[1:])
+    k = k[(t[k + 1] > t[k]) | (a[c[k]] == b[c[k]]) | (t[k] == 0.0) & (t[k + 1] == 1.0)]
+    c, t0, t1 = c[k], t[k], t[k + 1]
+    mid = (t0 + t1) / 2
+    ty = np.floor((y0[c] + mid * (y1 - y0)[c]) / size).astype("i8")
+    tx = np.floor((x0[c] + mid * (x1 - x0)[c]) / size).astype("i8")
+    return c, t0, t1, ty, tx
+
+
+def cut_lines(lines: DataFrame, *, tile_deg: float = 1.0, split: dict[tuple[int, int], list[int]] | None = None) -> DataFrame:
+    """``line_id, line, lv, ty, tx, alone, pieces``: each line's pieces, cut at the borders of the cells.
+
+    ``lines``: ``line_id, line, g`` (``one_line_each``).  A piece is (segment number, from, to, the
+    segment's ends); from and to are shares of the segment, so pieces of neighbouring cells meet in the
+    same number.  In a tile that was split (``split``: its levels) a piece is cut for each level; it
+    meets a cell on one of them.  alone: the line has this cell only.
     """
+    dense = sorted(split or {})
+    levels = sorted({lv for k in dense for lv in split[k]})
+
+    def tiles_with(ty, tx, lv):
+        if not hasattr(tiles_with, "known"):
+            tiles_with.known = {v: {k for k in dense if v in split[k]} for v in levels} | {None: set(dense)}
+        known = tiles_with.known[lv]
+        return np.fromiter(((y, x) in known for y, x in zip(ty.tolist(), tx.tolist())), bool, len(ty))
+
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            points = b.column(1)
-            n = np.array([0 if p is None else len(p) for p in points.to_pylist()] if points.null_count else
-                         np.diff(points.offsets.to_numpy()), "i8")
+            points = b.column(2)
+            n = np.diff(points.offsets.to_numpy())
             flat = points.flatten()
             lon, lat = (np.asarray(flat.field(k).to_numpy(zero_copy_only=False), "f8") for k in (0, 1))
             if not len(lon):
@@ -163,38 +337,39 @@ def cut_lines(lines: DataFrame, *, key: str, geom: str = "geom", tile_deg: float
             line = np.repeat(np.arange(len(n)), n)
             seg_no = np.arange(len(lon)) - np.repeat(np.cumsum(n) - n, n)
             s = np.flatnonzero((line[:-1] == line[1:]))
-            x0, y0, x1, y1 = lon[s], lat[s], lon[s + 1], lat[s + 1]
-            cuts, shares = [np.arange(len(s)), np.arange(len(s))], [np.zeros(len(s)), np.ones(len(s))]
-            for p, q in ((x0, x1), (y0, y1)):
-                lo, hi = np.minimum(p, q), np.maximum(p, q)
-                a, grid = _spans(np.floor(lo / tile_deg).astype("i8") + 1, np.ceil(hi / tile_deg).astype("i8") - 1)
-                cuts.append(a)
-                shares.append((grid * tile_deg - p[a]) / (q - p)[a])
-            c, t = np.concatenate(cuts), np.clip(np.concatenate(shares), 0.0, 1.0)
-            o = np.lexsort((t, c))
-            c, t = c[o], t[o]
-            k = np.flatnonzero((c[:-1] == c[1:]) & ((t[1:] > t[:-1]) | (t[1:] == 1.0) & (t[:-1] == 0.0)))
-            c, t0, t1 = c[k], t[k], t[k + 1]
-            mid = (t0 + t1) / 2
-            ty = np.floor((y0[c] + mid * (y1 - y0)[c]) / tile_deg).astype("i8")
-            tx = np.floor((x0[c] + mid * (x1 - x0)[c]) / tile_deg).astype("i8")
+            ends = lon[s], lat[s], lon[s + 1], lat[s + 1]
+            c, t0, t1, ty, tx = _grid_cuts(np.zeros(len(s)), np.ones(len(s)), *ends, tile_deg)
+            lv = np.zeros(len(c), "i8")
+            if dense:
+                fine = [(c, t0, t1, ty, tx, lv)]
+                whole = ~tiles_with(ty, tx, None)
+                fine = [tuple(v[whole] for v in fine[0])]
+                for l in levels:
+                    m = np.flatnonzero(~whole)
+                    m = m[tiles_with(ty[m], tx[m], l)]
+                    k, f0, f1, fy, fx = _grid_cuts(t0[m], t1[m], *[e[c[m]] for e in ends], tile_deg / 2 ** l)
+                    fine.append((c[m][k], f0, f1, fy, fx, np.full(len(k), l)))
+                c, t0, t1, ty, tx, lv = (np.concatenate(v) for v in zip(*fine))
             ln = line[s][c]
-            o = np.lexsort((t0, c, tx, ty, ln))
-            c, t0, t1, ty, tx, ln = c[o], t0[o], t1[o], ty[o], tx[o], ln[o]
-            new = np.concatenate([[True], (ln[1:] != ln[:-1]) | (ty[1:] != ty[:-1]) | (tx[1:] != tx[:-1])]) if len(ln) else np.empty(0, bool)
+            o = np.lexsort((t0, c, tx, ty, lv, ln))
+            c, t0, t1, ty, tx, lv, ln = c[o], t0[o], t1[o], ty[o], tx[o], lv[o], ln[o]
+            if not len(ln):
+                continue
+            new = np.concatenate([[True], (ln[1:] != ln[:-1]) | (lv[1:] != lv[:-1]) | (ty[1:] != ty[:-1]) | (tx[1:] != tx[:-1])])
             first = np.flatnonzero(new)
-            tiles_of = np.bincount(ln[first], minlength=len(n))
+            cells_of = np.bincount(ln[first], minlength=len(n))
             pieces = pa.StructArray.from_arrays(
-                [pa.array(seg_no[s][c].astype("i4")), *[pa.array(v) for v in (t0, t1, x0[c], y0[c], x1[c], y1[c])]],
+                [pa.array(seg_no[s][c].astype("i4")), *[pa.array(v) for v in (t0, t1, *[e[c] for e in ends])]],
                 names=["seg", "t0", "t1", "x0", "y0", "x1", "y1"])
+            at = pa.array(ln[first])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(ln[first])), pa.array(ty[first]), pa.array(tx[first]), pa.array(tiles_of[ln[first]] == 1),
-                 pa.ListArray.from_arrays(pa.array(np.concatenate([first, [len(ln)]]).astype("i4")), pieces)],
-                ["line_id", "ty", "tx", "alone", "pieces"])
+                [b.column(0).take(at), b.column(1).take(at), pa.array(lv[first].astype("i4")), pa.array(ty[first]), pa.array(tx[first]),
+                 pa.array(cells_of[ln[first]] == 1), pa.ListArray.from_arrays(pa.array(np.concatenate([first, [len(ln)]]).astype("i4")), pieces)],
+                ["line_id", "line", "lv", "ty", "tx", "alone", "pieces"])
 
-    kind = lines.schema[key].dataType.simpleString()
-    return lines.where(F.size(geom) > 1).select(F.col(key).alias("line_id"), F.col(geom).alias("g")).mapInArrow(run, (
-        f"line_id {kind}, ty bigint, tx bigint, alone boolean, "
+    kind = lines.schema["line_id"].dataType.simpleString()
+    return lines.mapInArrow(run, (
+        f"line_id {kind}, line bigint, lv int, ty bigint, tx bigint, alone boolean, "
         "pieces array<struct<seg:int,t0:double,t1:double,x0:double,y0:double,x1:double,y1:double>>"))
 
 
@@ -233,12 +408,7 @@ def clip_pieces(p: dict, p_off: np.ndarray, e: dict, e_off: np.ndarray, odd: np.
     m = (t0 + t1) / 2
     mx, my, r = x0[piece] + m * dx[piece], y0[piece] + m * dy[piece], row[piece]
     a, b = _pairs(None, e_off, r) if len(r) else (np.empty(0, "i8"), np.empty(0, "i8"))
-    ax, ay, bx, by = (e[n][b] for n in _KEYS[1:])
-    x, y, cx, cy = mx[a], my[a], xc[r][a], yc[r][a]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        y_at = ay + (by - ay) * ((x - ax) / (bx - ax))
-        x_at = ax + (bx - ax) * ((cy - ay) / (by - ay))
-    n = (((ax > x) != (bx > x)) & ((y_at > y) != (y_at > cy))).astype("i8") + (((ay > cy) != (by > cy)) & ((x_at > x) != (x_at > cx)))
+    n = _changes(*(e[k][b] for k in _KEYS[1:]), mx[a], my[a], xc[r][a], yc[r][a])
     oa, ob = _pairs(None, o_off, r) if len(r) else (np.empty(0, "i8"), np.empty(0, "i8"))
     who = np.concatenate([a, oa])
     part = np.concatenate([e["part"][b], odd[ob]]).astype("i8")

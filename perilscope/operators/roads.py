@@ -2,7 +2,8 @@
 
 Lines are cut at tile borders and joined with the polygons' tiles (``outlines``):
 equal tiles meet, interior tiles count whole, and boundary tiles are clipped
-against their own edges only.  ``clip_length_km`` is the plain kernel for one
+against their own edges only.  A road of several lines is cut, clipped and measured line by line, and
+its lines are added up per polygon.  ``clip_length_km`` is the plain kernel for one
 line and one outline; the tests hold the join against it.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import spread
 from ..functions.geo import EARTH_RADIUS_KM
-from .outlines import clip_pieces, cut_lines, outline_tiles
+from .outlines import clip_pieces, cut_lines, fine_tiles, one_line_each
 
 
 PIECE = "struct<seg:int,t0:double,t1:double,x0:double,y0:double,x1:double,y1:double>"
@@ -94,8 +95,9 @@ def _clip(batches, tile_deg: float):
             odd_col = b.column("odd")
             o_off = odd_col.offsets.to_numpy().astype("i8")
             odd = odd_col.values.slice(o_off[0], o_off[-1] - o_off[0]).to_numpy(zero_copy_only=False)
-            xc = (b.column("tx").to_numpy() + 0.5) * tile_deg
-            yc = (b.column("ty").to_numpy() + 0.5) * tile_deg
+            width = tile_deg / 2.0 ** b.column("lv").to_numpy()
+            xc = (b.column("tx").to_numpy() + 0.5) * width
+            yc = (b.column("ty").to_numpy() + 0.5) * width
             row, piece, t0, t1, touched = clip_pieces(p, p_off, e, e_off, odd, o_off - o_off[0], xc, yc)
             counts = np.bincount(row, minlength=b.num_rows)
             keep = touched | (counts > 0)
@@ -104,8 +106,8 @@ def _clip(batches, tile_deg: float):
                 [pa.array(p["seg"][piece]), pa.array(t0), pa.array(t1), *[pa.array(p[n][piece]) for n in ("x0", "y0", "x1", "y1")]],
                 names=["seg", "t0", "t1", "x0", "y0", "x1", "y1"])
             out = pa.RecordBatch.from_arrays(
-                [b.column("line_id"), b.column("poly_id"), b.column("alone"), pa.ListArray.from_arrays(pa.array(off.astype("i4")), parts)],
-                ["line_id", "poly_id", "alone", "parts"])
+                [*[b.column(c) for c in ("line_id", "line", "poly_id", "alone")], pa.ListArray.from_arrays(pa.array(off.astype("i4")), parts)],
+                ["line_id", "line", "poly_id", "alone", "parts"])
             yield out.filter(pa.array(keep))
 
 
@@ -140,28 +142,36 @@ def line_length_in(lines: DataFrame, polygons: DataFrame, *, line_key: str = "ro
                    line_geom: str = "geom", poly_geom: str = "geom") -> DataFrame:
     """ST_INTERSECTS join + ST_LENGTH(ST_INTERSECTION) per (line, polygon) pair in km.
 
-    Returns ``line_key, poly_key, length_km`` for intersecting pairs (touching
-    pairs have length 0).  Lines are cut at the tile borders and joined by tile
-    with the polygons' tiles (``outlines``):
+    Returns ``line_key, poly_key, length_km``, one row per intersecting pair (touching
+    pairs have length 0).  A road is one line (a list of points) or several (a list of lines, or rows
+    that share its key): they count together, a line that is listed twice once.  Roads without a key are
+    each their own.  Lines are cut at the cell borders and joined by cell with the polygons' cells
+    (``outlines``):
 
-    * pieces are clipped against their tile's own edges, whole batches at a time
-      in numpy; on a tile inside the polygon there are none, and they stay whole;
-    * a line with one tile is done then; the intervals of the others meet by
-      (line, polygon), where intervals that were cut at a border are joined again.
+    * pieces are clipped against their cell's own edges, whole batches at a time
+      in numpy; in a cell inside the polygon there are none, and they stay whole;
+    * a line in one cell is done then; the intervals of the others meet by
+      (line, polygon), where intervals that were cut at a border are joined again;
+    * the lengths of a road's lines, one number each, meet by (road, polygon).
 
     No row carries an outline, and which rows go where depends on the row alone.
     """
-    fine = outline_tiles(polygons.select(F.col(poly_key).alias("poly_id"), F.col(poly_geom).alias("geom")), tile_deg=tile_deg)
-    cut = cut_lines(spread(lines.select(F.col(line_key).alias("_k"), F.col(line_geom).alias("geom"))), key="_k", tile_deg=tile_deg)
-    j = cut.join(fine, ["ty", "tx"])
+    tiles = fine_tiles(polygons.select(F.col(poly_key).alias("poly_id"), F.col(poly_geom).alias("geom")), tile_deg=tile_deg)
+    cut = cut_lines(spread(one_line_each(lines, line_key, line_geom)), tile_deg=tile_deg, split=tiles.by_tile())
+    j = cut.join(tiles.cells.where("not blank").drop("blank"), ["lv", "ty", "tx"])
     lt, pt = (j.schema[c].dataType.simpleString() for c in ("line_id", "poly_id"))
-    both = j.select("line_id", "poly_id", "alone", "ty", "tx", "pieces", "edges", "odd").mapInArrow(
-        lambda it: _clip(it, tile_deg), f"line_id {lt}, poly_id {pt}, alone boolean, parts array<{PIECE}>")
-    one = both.where("alone").select("line_id", "poly_id", "parts")
+    both = j.select("line_id", "line", "poly_id", "alone", "lv", "ty", "tx", "pieces", "edges", "odd").mapInArrow(
+        lambda it: _clip(it, tile_deg), f"line_id {lt}, line bigint, poly_id {pt}, alone boolean, parts array<{PIECE}>")
+    one = both.where("alone").select("line_id", "line", "poly_id", "parts")
     # at most the pieces of one line
-    many = both.where("not alone").groupBy("line_id", "poly_id").agg(F.flatten(F.collect_list("parts")).alias("parts"))
-    return one.unionByName(many).select(F.col("line_id").alias(line_key), F.col("poly_id").alias(poly_key),
-                                        _length_km(F.col("parts")).alias("length_km"))
+    many = both.where("not alone").groupBy("line_id", "line", "poly_id").agg(
+        F.array_distinct(F.flatten(F.collect_list("parts"))).alias("parts"))
+    km = one.unionByName(many).select("line_id", "line", "poly_id", _length_km(F.col("parts")).alias("km"))
+    lone = F.when(F.col("line_id").isNull(), F.col("line"))
+    # at most one number per line of a road; summed in one order, so that runs agree
+    road = km.groupBy("line_id", "poly_id", lone.alias("lone")).agg(F.array_sort(F.collect_set(F.struct("line", "km"))).alias("m"))
+    return road.select(F.col("line_id").alias(line_key), F.col("poly_id").alias(poly_key),
+                       F.aggregate("m", F.lit(0.0), lambda a, x: a + x["km"]).alias("length_km"))
 
 
 def length_by(pairs: DataFrame, polygons: DataFrame, *, poly_key: str = "country_id",

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import spread
 from ..functions.geo import haversine_km, lat_reach_deg, lon_reach_deg, bbox_from_point
-from .outlines import inside_tile, outline_tiles
+from .outlines import FineTiles, by_part, fine_tiles, inside_tile
 
 
 # --------------------------------------------------------------------------- J5
@@ -123,30 +123,46 @@ def count_and_mean(pairs: DataFrame, key: str, value: str, *, count_name: str,
 
 
 # --------------------------------------------------------------------------- J6
-def tile_index(polygons: DataFrame, tile_deg: float = 1.0, geom_col: str = "geom") -> DataFrame:
-    """One row per tile: ``ty, tx, cands`` = array of the polygons that reach into it, each with its
-    class, its own edges in the tile and its anchor (``outlines``).
+def tile_index(tiles: FineTiles) -> DataFrame:
+    """One row per cell: ``lv, ty, tx, cands`` = array of the polygons that reach into it, each with its
+    class, its own edges in the cell, part by part, and its anchor (``outlines``).
 
-    Its size is set by the outlines and the tile size, never by the points.
+    Its size is set by the outlines and the cells, never by the points.
     """
-    tiles = outline_tiles(polygons, geom=geom_col, tile_deg=tile_deg)
-    cols = [c for c in tiles.columns if c not in ("ty", "tx")]
-    return tiles.groupBy("ty", "tx").agg(F.collect_list(F.struct("ty", "tx", *cols)).alias("cands"))
+    cols = [c for c in tiles.cells.columns if c not in ("lv", "ty", "tx", "edges", "odd", "blank")]
+    cand = F.struct("lv", "ty", "tx", *cols, by_part(F.col("edges"), F.col("odd")).alias("parts"))
+    return tiles.cells.groupBy("lv", "ty", "tx").agg(F.collect_list(F.when(~F.col("blank"), cand)).alias("cands"))
 
 
 def _with_matches(points: DataFrame, polygons: DataFrame, tile_deg: float, geom_col: str) -> DataFrame:
     """Points + ``_hits``: the polygons that contain each point (possibly empty).
 
-    A left join on the point's tile brings at most one index row per point, so points are not
-    multiplied.  On an interior tile a point is inside at once; on a boundary tile the tile's own
-    edges decide.  Spark broadcasts the index if it is small enough, else both sides are sorted by
-    tile and a hot tile is split.
+    A left join on the point's cell brings at most one index row per point.  In an interior cell a
+    point is inside at once; in a boundary cell the cell's own edges decide.  Spark broadcasts the index
+    if it is small enough, else both sides are sorted by cell and a hot cell is split.  A point in a
+    tile that was split asks at each of the tile's levels; it is in one cell of them, since the cells of
+    a split tile are all in the index, empty ones too.
     """
-    pts = (spread(points).withColumn("_ty", F.floor(F.col("lat") / F.lit(tile_deg)).cast("bigint"))
-           .withColumn("_tx", F.floor(F.col("lon") / F.lit(tile_deg)).cast("bigint")))
-    idx = tile_index(polygons, tile_deg, geom_col)
-    p, q = pts.alias("p"), idx.alias("q")
-    j = p.join(q, [p["_ty"] == q["ty"], p["_tx"] == q["tx"]], "left")
+    tiles = fine_tiles(polygons, geom=geom_col, tile_deg=tile_deg)
+
+    def place(lv: Column):
+        width = F.lit(tile_deg) / F.pow(F.lit(2.0), lv)
+        return [F.floor(F.col(c) / width).cast("bigint") for c in ("lat", "lon")]
+    ty, tx = place(F.lit(0))
+    pts = spread(points).withColumn("_ty", ty).withColumn("_tx", tx)
+    if tiles.levels is None:
+        pts = pts.withColumn("_lv", F.lit(0))
+    else:
+        # a row per split tile: 360 * 180 / tile_deg ** 2 at most, whatever the data
+        lv = tiles.levels.select(F.col("ty").alias("_y"), F.col("tx").alias("_x"), "lvs")
+        pts = pts.join(F.broadcast(lv), (F.col("_ty") == F.col("_y")) & (F.col("_tx") == F.col("_x")), "left")
+        pts = pts.withColumn("_lv", F.explode(F.coalesce("lvs", F.array(F.lit(0)))))
+        ty, tx = place(F.col("_lv"))
+        pts = pts.withColumn("_ty", ty).withColumn("_tx", tx)
+    p, q = pts.alias("p"), tile_index(tiles).alias("q")
+    j = p.join(q, [p["_lv"] == q["lv"], p["_ty"] == q["ty"], p["_tx"] == q["tx"]], "left")
+    if tiles.levels is not None:
+        j = j.where((p["_lv"] == 0) | q["lv"].isNotNull())
     hits = F.filter(F.coalesce(q["cands"], F.array()),
                     lambda c: (c["cls"] == 0) | inside_tile(p["lon"], p["lat"], c, tile_deg))
     return j.select(*[p[c] for c in points.columns], hits.alias("_hits"))

@@ -92,6 +92,13 @@ select
   (200 + (p_partkey * 271) % 380) / 10.0e0 as lat_a,
   (200 + (p_partkey * 271) % 380) / 10.0e0 + 0.1e0 * (1 + p_partkey % 90) as lat_b
 from part""",
+    "multi_roads_fx": """
+select
+  p_partkey as road_id,
+  (-300 + (p_partkey * 613 + k * 37) % 600) / 10.0e0 as lon,
+  (200 + (p_partkey * 271 + k * 53) % 380) / 10.0e0 as lat_a,
+  (200 + (p_partkey * 271 + k * 53) % 380) / 10.0e0 + 0.1e0 * (1 + (p_partkey + 7 * k) % 90) as lat_b
+from (select p_partkey, unnest(range(0, p_partkey % 3 + 1)) as k from part)""",
     "sensors_fx": """
 select
   c_custkey as location_id,

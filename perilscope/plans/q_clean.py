@@ -361,8 +361,8 @@ def q_segment_load(spark, d):
     landed = rows.unionByName(rows.withColumn("subtype", F.lit("rail"))).unionByName(
         rows.withColumn("geometry", F.lit(None).cast("string")))
     return shapes.road_segments(landed, subtype="road").select(
-        "road_id", r6(F.col("geom")[0]["lon"]).alias("lon"), r6(F.col("geom")[0]["lat"]).alias("lat_a"),
-        r6(F.col("geom")[1]["lat"]).alias("lat_b"))
+        "road_id", r6(F.col("geom")[0][0]["lon"]).alias("lon"), r6(F.col("geom")[0][0]["lat"]).alias("lat_a"),
+        r6(F.col("geom")[0][1]["lat"]).alias("lat_b"))
 
 
 @query("sensor_items", with_ctes("sensors_fx", body="""

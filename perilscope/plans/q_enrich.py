@@ -13,6 +13,7 @@ from .. import fixtures as fx
 from ..functions.geo import bbox_from_point, haversine_km
 from ..operators import enrich, news, scoring, spatial
 from ..operators.roads import line_length_in
+from ..sources import shapes
 from ..session import materialize
 from .oracle_fixtures import with_ctes
 from .registry import query
@@ -262,6 +263,16 @@ def q_road_country_pairs(spark, d):
     return out.select("road_id", "country_id", F.round("length_km", 3).alias("road_km"))
 
 
+@query("multiline_road_pairs", with_ctes("countries_fx", "multi_roads_fx", (
+    O_ROADPAIRS[0], O_ROADPAIRS[1].format(polys="countries_fx").replace("roads_fx", "multi_roads_fx")), body="""
+select road_id, country_id, round(sum(road_km), 3) as road_km from roadpairs group by road_id, country_id"""))
+def q_multiline_road_pairs(spark, d):
+    """J7 on roads of several lines, landed as multi-lines: one row per road and country."""
+    roads = shapes.road_segments(fx.multi_roads_fx(spark, d), subtype="road")
+    out = line_length_in(roads, fx.countries_fx(spark, d), line_key="road_id", poly_key="country_id")
+    return out.select("road_id", "country_id", F.round("length_km", 3).alias("road_km"))
+
+
 @query("road_km_by_country", with_ctes(*ENRICH_CHAIN[:8], (O_ROADPAIRS[0], O_ROADPAIRS[1].format(polys="needed")),
                                        O_RK, body="select iso_code, round(road_km, 3) as road_km from rk"))
 def q_road_km_by_country(spark, d):

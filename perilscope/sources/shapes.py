@@ -119,11 +119,14 @@ def division_areas(areas: DataFrame, *, subtype: str = "country") -> DataFrame:
 
 
 def road_segments(segments: DataFrame, *, subtype: str | None = None) -> DataFrame:
-    """Landed segments with a geometry (of ``subtype``, if given) -> ``road_id, geom``, one row per line."""
+    """Landed segments with a geometry (of ``subtype``, if given) -> ``road_id, geom``.
+
+    ``geom`` is the list of a segment's lines; one row per segment.
+    """
     kept = segments.where(F.col("geometry").isNotNull())
     if subtype is not None:
         kept = kept.where(F.col("subtype") == subtype)
-    return kept.select(F.col("id").alias("road_id"), F.explode(line_list(kept)).alias("geom"))
+    return kept.select(F.col("id").alias("road_id"), line_list(kept).alias("geom")).where(F.col("geom").isNotNull())
 
 
 def sensor_items(items: DataFrame) -> DataFrame:
