@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import incident_description
-from ..operators import air, enrich, generate, news, normalize, scoring, vectors
+from ..operators import air, enrich, generate, news, normalize, scoring, vector_index, vectors
 from ..sources import sinks
 
 
@@ -42,6 +42,7 @@ class Options:
     search: str = "exact"           # or "ivf": a share of the lists, which can miss neighbours
     ivf_lists: int = vectors.IVF_LISTS
     ivf_share: float = vectors.IVF_SHARE
+    index_path: str | None = None   # with "ivf": a stored index, opened, extended by new vectors and searched
     text_provider: object = None    # None -> offline provider
     embed_provider: Callable | None = None
     empty_input: str = "error"      # or "skip"
@@ -95,6 +96,9 @@ def steps(src: Sources, opt: Options) -> list[Step]:
     def similar_incidents_top5(wide):
         base = vectors.recent(wide, "event_date", as_of, vectors.BASE_SPAN_MONTHS)
         qry = vectors.recent(wide, "event_date", as_of, vectors.QUERY_SPAN_MONTHS)
+        if opt.search == "ivf" and opt.index_path:
+            index = vector_index.refresh(base, opt.index_path, n_lists=opt.ivf_lists)
+            return index.search(qry, share=opt.ivf_share, base=vector_index.with_hash(base), same=("vec_hash",))
         if opt.search == "ivf":
             return vectors.similar_ivf(base, qry, n_lists=opt.ivf_lists, share=opt.ivf_share)
         return vectors.similar(base, qry)
