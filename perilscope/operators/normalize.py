@@ -83,9 +83,15 @@ def coerce_quakes(quakes: DataFrame) -> DataFrame:
 
 
 def dedupe_quakes(quakes: DataFrame) -> DataFrame:
-    """A7 on load: one row per quake id, as overlapping pages repeat them (the smallest by its other fields)."""
-    order = [F.col(c).asc_nulls_last() for c in quakes.columns if c != "id"]
-    return dedupe_by_key(quakes, "id", order or [F.col("id")])
+    """A7 on load: one row per quake id, as overlapping pages repeat them.
+
+    The smallest by its other fields in turn, missing ones last: a minimum of structs, combined within
+    tasks before the shuffle, without a sort.
+    """
+    others = [c for c in quakes.columns if c != "id"]
+    key = F.struct(*[f for i, c in enumerate(others) for f in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
+    one = quakes.groupBy("id").agg(F.min(key if others else F.struct("id")).alias("_m"))
+    return one.select(*["id" if c == "id" else F.col(f"_m.v{others.index(c)}").alias(c) for c in quakes.columns])
 
 
 def normalize_quakes(quakes: DataFrame, *, coerce: bool = True) -> DataFrame:
@@ -112,7 +118,7 @@ def normalize_quakes(quakes: DataFrame, *, coerce: bool = True) -> DataFrame:
 
 
 def union_incidents(storms: DataFrame, tracks: DataFrame, quakes: DataFrame) -> DataFrame:
-    """incidents_raw: UNION ALL of the three normalised feeds (no shuffle)."""
+    """incidents_raw: UNION ALL of the three normalised feeds (one shuffle, of the quakes by id)."""
     parts = [normalize_storms(storms), normalize_tracks(tracks), normalize_quakes(quakes)]
     out = parts[0].select(*INCIDENT_COLUMNS)
     for p in parts[1:]:

@@ -14,6 +14,8 @@ every operator here does it by hand:
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import spread
@@ -41,16 +43,17 @@ def near_in_time(left: DataFrame, right: DataFrame, *, radius_km: float = 100.0,
     ``mode='bins'``: the reference rule -- +-``bins_reach`` bins of ``bin_deg`` on
     unwrapped ``floor(x / bin_deg)`` -- which misses pairs whose bins are farther.
 
-    Plan: the incident side is exploded over its tiles and over the days of its
-    window, so the equi-key is (tile, day) and a hot tile is cut by day; the
-    point side is never exploded.  Both sides are shuffled on the key (sort-merge,
-    with AQE's skew split for hot keys): the exploded side is many times its
-    input, so it must never be the broadcast side.  Incidents whose window is
-    longer than ``max_window_days`` are exploded over its months instead and joined
-    by (tile, month) in a second branch, which is always part of the plan.
+    Plan: the incident side is exploded over its tiles and over day blocks that
+    cover its window: single days, and for a window of more than ``max_window_days``
+    blocks of 8, 64, ... days in its middle, so its rows grow with the logarithm of its
+    length.  The equi-key is (tile, block); a hot tile is cut by day.  The point side has
+    one row per level (single days alone, unless there are long windows; a scalar subquery, so planning
+    runs no job) and is shuffled once.  Both sides
+    are shuffled on the key (sort-merge, with AQE's skew split for hot keys): the exploded
+    side is many times its input, so it must never be the broadcast side.
     ``right_window=(lo, hi)``: the time span the point side is
     known to cover (e.g. the staged look-back); incidents whose window misses it
-    are skipped before the explode, and the bound reaches the incident scan.
+    are skipped before the explode, windows are cut to it, and the bound reaches the incident scan.
     """
     if mode not in ("exact", "bins"):
         raise ValueError("mode must be 'exact' or 'bins'")
@@ -65,7 +68,15 @@ def near_in_time(left: DataFrame, right: DataFrame, *, radius_km: float = 100.0,
     if right_window is not None:
         lo, hi = (F.lit(x).cast("timestamp_ntz") for x in right_window)
         keep = keep & (t1 >= lo) & (t0 <= hi)
-    L = spread(left.where(keep)).withColumn("_t0", t0).withColumn("_t1", t1)
+    kept = left.where(keep)
+    first, last, single = F.to_date("_t0"), F.to_date("_t1"), False
+    if right_window is not None:
+        # days outside the point side's span have no partner; a short span is cut by single days throughout
+        first, last = F.greatest(first, F.to_date(lo)), F.least(last, F.to_date(hi))
+        single = (dt.date.fromisoformat(right_window[1][:10]) - dt.date.fromisoformat(right_window[0][:10])).days < SPAN_DAYS
+    # blocks are listed once per incident, before the shuffle that spreads them: the explodes behind it stay small
+    L = spread(kept.withColumn("_t0", t0).withColumn("_t1", t1).withColumn(
+        "_blocks", day_blocks(first, last, SPAN_DAYS if single else max_window_days, single)))
     if mode == "bins":
         offs = F.sequence(F.lit(-bins_reach), F.lit(bins_reach)).cast("array<bigint>")
         lat_tiles = F.transform(offs, lambda d: fl(F.col("lat")) + d)
@@ -79,41 +90,62 @@ def near_in_time(left: DataFrame, right: DataFrame, *, radius_km: float = 100.0,
         lon_tiles = F.when(dlon.isNull() | (x1 - x0 + 1 >= n_lon), all_lon).otherwise(
             F.transform(F.sequence(x0, x1), lambda t: F.pmod(t, F.lit(n_lon))))
 
-    d0, d1 = F.to_date("_t0"), F.to_date("_t1")
-    short = F.datediff(d1, d0) < max_window_days
-
-    def explode_tiles(df):
-        return df.withColumn("_tile_lat", F.explode(lat_tiles)).withColumn("_tile_lon", F.explode(lon_tiles))
-
+    days = F.datediff(F.to_date(t1), F.to_date(t0)) + 1
+    longest = kept.agg(F.coalesce(F.max(days), F.lit(0)).alias("days")).scalar()
+    levels = F.explode(F.when(longest > max_window_days, F.sequence(F.lit(0), F.lit(BLOCK_LEVELS - 1))).otherwise(F.array(F.lit(0))))
     R = right.where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("event_time").isNotNull())
     r_lon = fl(F.col("lon"))
     R = (R.withColumn("_tile_lat", fl(F.col("lat")))
           .withColumn("_tile_lon", r_lon if mode == "bins" else F.pmod(r_lon, F.lit(n_lon)))
-          .withColumn("_day", F.to_date("event_time"))
+          .withColumn("_day", _day(F.to_date("event_time"))).withColumn("_lv", F.lit(0) if single else levels)
+          .withColumn("_block", _block(F.col("_day"), F.col("_lv")))
           .withColumnRenamed("lat", "r_lat").withColumnRenamed("lon", "r_lon"))
     rcols = [c for c in R.columns if not c.startswith("_")]
-    Rr = R.hint("merge").alias("r")
-
-    def residual(l, r):
-        return (r["event_time"].between(l["_t0"], l["_t1"])
-                & (haversine_km(l["lat"], l["lon"], r["r_lat"], r["r_lon"]) <= F.lit(float(radius_km))))
-
-    def finish(j, l, r):
-        return j.select(*[l[c] for c in lcols], *[r[c] for c in rcols],
-                        haversine_km(l["lat"], l["lon"], r["r_lat"], r["r_lon"]).alias("dist_km"))
-
-    Ls = explode_tiles(L.where(short)).withColumn("_day", F.explode(F.sequence(d0, d1))).alias("l")
-    by_day = Ls.join(Rr, [Ls["_tile_lat"] == Rr["_tile_lat"], Ls["_tile_lon"] == Rr["_tile_lon"],
-                          Ls["_day"] == Rr["_day"], residual(Ls, Rr)], "inner")
-    out = finish(by_day, Ls, Rr)
-    # windows of more days than that are cut by month instead: one more branch of the same
-    # shape, always planned, so nothing is counted to choose a plan
-    month = lambda c: F.year(c) * 12 + F.month(c)
-    Ll = explode_tiles(L.where(~short)).withColumn("_month", F.explode(F.sequence(month("_t0"), month("_t1")))).alias("l")
-    Rl = R.withColumn("_month", month("event_time")).hint("merge").alias("r")
-    by_month = Ll.join(Rl, [Ll["_tile_lat"] == Rl["_tile_lat"], Ll["_tile_lon"] == Rl["_tile_lon"],
-                            Ll["_month"] == Rl["_month"], residual(Ll, Rl)], "inner")
-    return out.unionByName(finish(by_month, Ll, Rl))
+    r = R.hint("merge").alias("r")
+    l = (L.withColumn("_tile_lat", F.explode(lat_tiles)).withColumn("_tile_lon", F.explode(lon_tiles))
+          .withColumn("_block", F.explode("_blocks")).drop("_blocks").alias("l"))
+    dist = haversine_km(l["lat"], l["lon"], r["r_lat"], r["r_lon"])
+    j = l.join(r, [l["_tile_lat"] == r["_tile_lat"], l["_tile_lon"] == r["_tile_lon"], l["_block"] == r["_block"],
+                   r["event_time"].between(l["_t0"], l["_t1"]) & (dist <= F.lit(float(radius_km)))], "inner")
+    return j.select(*[l[c] for c in lcols], *[r[c] for c in rcols], dist.alias("dist_km"))
+
+
+#: days of a block of the next level, and levels (8 ** 4 days are eleven years)
+BLOCK_BASE, BLOCK_LEVELS = 8, 5
+#: a point side known to span fewer days is always cut by single days
+SPAN_DAYS = 128
+
+
+def _day(d: Column) -> Column:
+    return F.datediff(d, F.lit("1970-01-01").cast("date"))
+
+
+def _block(day: Column, lv: Column) -> Column:
+    """A day's block of a level, as one number: block * 8 + level."""
+    return F.floor(day / F.pow(F.lit(float(BLOCK_BASE)), lv)).cast("bigint") * 8 + lv
+
+
+def day_blocks(first: Column, last: Column, max_days: int, single: bool = False) -> Column:
+    """Blocks (``_block``) that cover the days first..last, each day once.
+
+    Up to ``max_days`` days are single (level 0).  Longer spans take the largest aligned blocks in the
+    middle and smaller ones towards both ends: fewer than 2 * 8 of each level below the top.  ``single``:
+    no span is longer.
+    """
+    def run(lv, a, b):                                   # blocks a .. b - 1 of a level
+        return F.when(b > a, F.sequence(a * 8 + lv, (b - 1) * 8 + lv, F.lit(8).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+    s, e = _day(first).cast("bigint"), (_day(last) + 1).cast("bigint")
+    if single:
+        return run(0, s, e)
+    # of each level, the whole blocks within the span
+    inner = [(F.ceil(s / BLOCK_BASE ** j).cast("bigint"), F.floor(e / BLOCK_BASE ** j).cast("bigint")) for j in range(BLOCK_LEVELS)]
+    parts = [run(BLOCK_LEVELS - 1, *inner[-1])]
+    for j, (a, b) in enumerate(inner[:-1]):
+        a1, b1 = inner[j + 1]
+        some = a1 < b1
+        parts.append(run(j, a, F.when(some, a1 * BLOCK_BASE).otherwise(b)))
+        parts.append(run(j, F.when(some, b1 * BLOCK_BASE).otherwise(b), b))
+    return F.when(e - s <= max_days, run(0, s, e)).otherwise(F.concat(*parts))
 
 
 def count_and_mean(pairs: DataFrame, key: str, value: str, *, count_name: str,

@@ -27,7 +27,7 @@ from ..session import materialize, scratch_path
 from .vectors import BLOCK_ROWS, IVF_LISTS, IVF_SHARE, TOP_K, blocked_topk, build_lists
 
 #: vectors per list that the fit sees, at most; every vector is indexed
-FIT_ROWS_PER_LIST = 64
+FIT_ROWS_PER_LIST = 32
 #: groups of centres that a new vector looks into
 GROUPS_TRIED = 4
 #: lists of an index made for one search, at most (their centres come to the driver)
@@ -107,7 +107,7 @@ class VectorIndex:
         sample = rows.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 20)) < part)
         if part < (1 << 20) and sample.count() < n_lists:
             sample = rows
-        fitted = build_lists(sample, n_lists=n_lists, vec_col="vec", seed=seed)
+        fitted = build_lists(sample, n_lists=n_lists, vec_col="vec", seed=seed, max_iter=10)
         centres = Centres(fitted, _grouped(fitted))
         assigned = materialize(_assigned(rows, centres), "index-assigned")
         size = {r["list_id"]: r for r in assigned.groupBy("list_id").agg(

@@ -300,3 +300,35 @@ def test_tile_classes_and_shortcuts_match_kernel(spark):
             want[rid] = length
     assert set(got) == set(want)
     assert all(abs(got[k] - want[k]) < 1e-9 * max(1.0, want[k]) for k in want)
+
+
+def test_day_blocks_cover_each_day_once(spark):
+    """Days of any span, long ones in few blocks; also before 1970."""
+    import datetime as dt
+    rng = np.random.default_rng(4)
+    spans = [(int(a), int(a + n)) for a in rng.integers(-3000, 20000, 60) for n in (0, 1, 30, 31, int(rng.integers(0, 9000)))]
+    day = lambda n: dt.date(1970, 1, 1) + dt.timedelta(days=n)
+    d = spark.createDataFrame([(i, day(a), day(b)) for i, (a, b) in enumerate(spans)], "i int, a date, b date")
+    for r in d.select("i", spatial.day_blocks(F.col("a"), F.col("b"), 31).alias("x")).collect():
+        a, b = spans[r.i]
+        days = sorted(k for x in r.x for k in range((x >> 3) * 8 ** (x & 7), ((x >> 3) + 1) * 8 ** (x & 7)))
+        assert days == list(range(a, b + 1)) and (len(r.x) <= 31 or len(r.x) < 80)
+
+
+def test_band_join_shuffles_the_points_once(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 10)
+    inc = spark.createDataFrame([(i, 10.0, 10.0 + i, t, t + dt.timedelta(days=200 * i)) for i in range(3)],
+                                "event_id long, lat double, lon double, start_time timestamp_ntz, end_time timestamp_ntz")
+    pts = spark.createDataFrame([(j, 10.1, 10.0 + j % 3, t + dt.timedelta(days=j)) for j in range(500)],
+                                "news_id long, lat double, lon double, event_time timestamp_ntz")
+    for window in (None, ("2024-01-01 00:00:00", "2024-02-20 23:59:59")):
+        near = [(j, la, lo, at) for j, la, lo, at in ((r.news_id, r.lat, r.lon, r.event_time) for r in pts.collect())
+                if window is None or at <= dt.datetime(2024, 2, 20)]
+        here = pts if window is None else pts.where("event_time <= timestamp_ntz'2024-02-20 00:00:00'")
+        out = spatial.near_in_time(inc, here, right_window=window)
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning(_tile_lat") == 2      # one of each side
+        want = brute_pairs([(i, 10.0, 10.0 + i, 0.0, 200.0 * i * 24) for i in range(3)],
+                           [(j, la, lo, (at - t).total_seconds() / 3600) for j, la, lo, at in near], 100.0)
+        assert {(r.event_id, r.news_id) for r in out.collect()} == want

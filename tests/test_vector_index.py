@@ -81,11 +81,11 @@ def test_exact_search_without_structure_and_with_awkward_rows(spark):
     assert index.search(rows.where("event_id < 0"), exact=True).count() == 0
 
 
-def test_similar_uses_lists_beyond_one_block(spark):
+def test_similar_by_lists_equals_all_pairs(spark):
     v = fx.vectors_fx(spark, SF)
     base = vectors.recent(v, "event_date", fx.AS_OF_VECTORS, 36)
     qry = vectors.recent(v, "event_date", fx.AS_OF_VECTORS, 6)
-    whole, cut = (found(vectors.similar(base, qry, block_rows=b)) for b in (20000, 50))
+    whole, cut = (found(vectors.similar(base, qry, block_rows=b, direct_pairs=p)) for b, p in ((20000, 0), (50, 0)))
     assert whole == cut and whole
 
 
