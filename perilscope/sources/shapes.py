@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType
 
+from .geodesic import plain_polygons, plain_roads
+
 PARTS = "array<array<array<struct<lon:double,lat:double>>>>"
 LINES = "array<array<struct<lon:double,lat:double>>>"
 
@@ -104,29 +106,33 @@ def line_list(df: DataFrame, geometry: str = "geometry") -> Column:
     return _geojson(F.col(geometry), "LineString", "MultiLineString", 1)
 
 
-def division_areas(areas: DataFrame, *, subtype: str = "country") -> DataFrame:
+def division_areas(areas: DataFrame, *, subtype: str = "country", geodesic_step: float | None = None) -> DataFrame:
     """Landed division areas -> ``country_id, iso_code, country_name, is_land, version, geom``.
 
     Input: ``id, names.primary, country, subtype, is_land, version, geometry``.  Only areas of the
-    subtype with a geometry; flags and versions that do not cast are NULL.
+    subtype with a geometry; flags and versions that do not cast are NULL.  ``geodesic_step``: edges are
+    great circles, given vertices at least every so many degrees, and areas across +-180 or around a
+    pole are cut there (``geodesic``); without it edges are straight in longitude and latitude.
     """
     kept = areas.where((F.col("subtype") == subtype) & F.col("geometry").isNotNull())
-    return kept.select(
+    out = kept.select(
         F.col("id").alias("country_id"), F.col("country").alias("iso_code"), F.col("names.primary").alias("country_name"),
         F.col("is_land").cast("string").try_cast("boolean").alias("is_land"),
         F.col("version").cast("string").try_cast("bigint").alias("version"),
         polygon_parts(kept).alias("geom")).where(F.col("geom").isNotNull())
+    return out if geodesic_step is None else out.withColumn("geom", plain_polygons("geom", geodesic_step))
 
 
-def road_segments(segments: DataFrame, *, subtype: str | None = None) -> DataFrame:
+def road_segments(segments: DataFrame, *, subtype: str | None = None, geodesic_step: float | None = None) -> DataFrame:
     """Landed segments with a geometry (of ``subtype``, if given) -> ``road_id, geom``.
 
-    ``geom`` is the list of a segment's lines; one row per segment.
+    ``geom`` is the list of a segment's lines; one row per segment.  ``geodesic_step`` as above.
     """
     kept = segments.where(F.col("geometry").isNotNull())
     if subtype is not None:
         kept = kept.where(F.col("subtype") == subtype)
-    return kept.select(F.col("id").alias("road_id"), line_list(kept).alias("geom")).where(F.col("geom").isNotNull())
+    out = kept.select(F.col("id").alias("road_id"), line_list(kept).alias("geom")).where(F.col("geom").isNotNull())
+    return out if geodesic_step is None else out.withColumn("geom", plain_roads("geom", geodesic_step))
 
 
 def sensor_items(items: DataFrame) -> DataFrame:
