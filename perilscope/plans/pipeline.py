@@ -4,7 +4,9 @@ A plain ordered list of steps ``(name, function, inputs)``.  Each step is a pure
 ``DataFrame -> DataFrame`` function; its result is written as a parquet table
 under ``out_dir/<name>`` and the next steps read that table back, so every
 step starts from stored data (lineage is cut, a lost executor only re-runs the
-current step, and a re-run with the same ``as_of`` rewrites the same tables).
+current step, and a re-run with the same ``as_of`` replaces the tables by equal ones).
+A table is replaced by a new version beside the old one, so a step that fails leaves the old
+table readable, and what a step stores for itself is removed when its table is written.
 """
 
 from __future__ import annotations
@@ -45,6 +47,8 @@ class Options:
     index_path: str | None = None   # with "ivf": a stored index, opened, extended by new vectors and searched
     text_provider: object = None    # None -> offline provider
     embed_provider: Callable | None = None
+    embed_name: str = "provider"    # of the provider's vectors in the store
+    embed_store: str | None = None  # folder of vectors that the provider gave before
     empty_input: str = "error"      # or "skip"
 
 
@@ -87,7 +91,8 @@ def steps(src: Sources, opt: Options) -> list[Step]:
         return e.select("event_id", incident_description(set(e.columns)).alias("description"))
 
     def incident_embeddings_arr(corpus):
-        return vectors.embed(corpus, "event_id", "description", provider=opt.embed_provider)
+        return vectors.embed(corpus, "event_id", "description", provider=opt.embed_provider, name=opt.embed_name,
+                             store=opt.embed_store)
 
     def incident_embeddings_wide(enr, emb):
         return enr.select("event_id", "hazard_type", F.to_date("start_time").alias("event_date"),
@@ -144,13 +149,15 @@ LAYOUT = {
 
 
 def run(spark: SparkSession, src: Sources, out_dir: str, opt: Options,
-        only: list[str] | None = None) -> dict[str, str]:
-    """Run the steps in order; returns ``{table: path}``.
+        only: list[str] | None = None, database: str | None = None) -> dict[str, str]:
+    """Run the steps in order; returns ``{table: path}``, the folder of each table's present version.
 
-    ``opt.empty_input``: what to do when no source has an incident (K8): ``error`` stops the run
-    before any table is written, ``skip`` leaves the stored tables as they are.
+    ``only``: the steps to run; the others' tables are taken as they are.  ``database``: created if it is
+    not there, with a view of every table.  ``opt.empty_input``: what to do when no source has an
+    incident (K8): ``error`` stops the run before any table is written, ``skip`` leaves the stored
+    tables as they are.
     """
-    from ..session import ship_package
+    from ..session import scratch_scope, ship_package
     ship_package(spark)
     if not sinks.require_rows(normalize.union_incidents(src.storms, src.tracks, src.quakes), "incidents",
                               policy=opt.empty_input):
@@ -158,16 +165,21 @@ def run(spark: SparkSession, src: Sources, out_dir: str, opt: Options,
     paths: dict[str, str] = {}
     for name, fn, inputs in steps(src, opt):
         path = os.path.join(out_dir, name)
-        paths[name] = path
         if only is not None and name not in only:
+            if any(whole for _, _, whole in sinks.versions(spark, path)):
+                paths[name] = sinks.current(spark, path)
             continue
-        args = [spark.read.parquet(paths[i]) for i in inputs]
-        df = fn(*args)
-        lay = LAYOUT.get(name, {})
-        if "partition_by" in lay:
-            sinks.stage_partitioned(df, path, "event_time", cluster_by=lay["cluster_by"])
-        else:
-            sinks.write_table(df, path, cluster_by=lay.get("cluster_by", ()))
+        with scratch_scope(spark):
+            df = fn(*[spark.read.parquet(paths[i]) for i in inputs])
+            lay = LAYOUT.get(name, {})
+            if "partition_by" in lay:
+                paths[name] = sinks.replace_table(df, path, date_col="event_time", cluster_by=lay["cluster_by"])
+            else:
+                paths[name] = sinks.replace_table(df, path, cluster_by=lay.get("cluster_by", ()))
+    if database:
+        sinks.ensure_database(spark, database)
+        for name, path in paths.items():
+            spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT * FROM parquet.`{path}`")
     return paths
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -48,10 +50,40 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_SCOPE: ContextVar[list[str] | None] = ContextVar("perilscope_scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, for staged tables written by a job."""
     base = shared_dir(spark)
-    return os.path.join(base, "perilscope", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, "perilscope", f"{name}-{uuid.uuid4().hex[:12]}")
+    if _SCOPE.get() is not None:
+        _SCOPE.get().append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Stages stored inside are removed at the end, also after a failure.
+
+    For code that has written its results by then: a frame that still reads a stage cannot be used
+    behind the scope.  Stages of other threads and of enclosing code are left alone.
+    """
+    mine: list[str] = []
+    token = _SCOPE.set(mine)
+    try:
+        yield mine
+    finally:
+        _SCOPE.reset(token)
+        for path in mine:
+            fs, p = file_system(spark, path)
+            fs.delete(p, True)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path in it: any store that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def spread(df):
