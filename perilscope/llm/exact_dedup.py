@@ -60,9 +60,11 @@ def survivors(docs: DataFrame, *, salts: int = SALTS) -> DataFrame:
     orderable (no maps); ties of the id are broken by them, in column order.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    d = docs.withColumn("text", F.col("text").cast("string"))
-    tagged = d.withColumn("_had_text", F.col("text").isNotNull()) if "_had_text" not in d.columns else d
-    w = winners(tagged, carry=[*others, "_had_text"], salts=salts)
-    cols = [F.when(F.col("_best._had_text"), F.col("_text")).alias("text") if c == "text"
-            else F.col("_best").getField(c).alias(c) for c in docs.columns]
-    return w.select(*cols)
+    # the other columns stand in a struct of their own: no name of theirs can meet one of ours
+    tagged = docs.select("doc_id", F.col("text").cast("string").alias("text"),
+                         F.struct(*[F.col(c) for c in others], *([] if others else [F.lit(0)])).alias("_row"),
+                         F.col("text").isNotNull().alias("_had_text"))
+    best = F.col("_best")
+    cols = [F.when(best["_had_text"], F.col("_text")).alias("text") if c == "text"
+            else (best["doc_id"] if c == "doc_id" else best["_row"].getField(c)).alias(c) for c in docs.columns]
+    return winners(tagged, carry=["_row", "_had_text"], salts=salts).select(*cols)

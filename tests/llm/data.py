@@ -37,7 +37,7 @@ def clashing(spark):
     """Other columns with names that operators use themselves."""
     from pyspark.sql import functions as F
     names = ["size", "copies", "target", "score", "n", "token", "found", "label", "keep_id", "kept", "c1", "piece",
-             "length", "start", "component_id", "group_size", "_text", "_row", "_id", "signature", "bits", "weight"]
+             "length", "start", "component_id", "group_size", "_text", "_row", "_id", "signature", "bits", "weight", "_had_text", "_best", "_digest", "_salt"]
     return awkward(spark).select("*", *[F.lit(f"x{i}").alias(c) for i, c in enumerate(names)])
 
 
