@@ -3,15 +3,17 @@
 The files' pre-tokenizers never join what stands on both sides of a word boundary, so a text is cut
 there, each distinct chunk is encoded once per worker, and the ids of a text are the joined ids of
 its chunks (checked against encoding whole texts in the tests).  A chunk of letters with closing
-marks is two pieces to the pre-tokenizer; its letters go to the vocabulary's model directly.
+marks is two pieces to the pre-tokenizer; its letters go to the vocabulary's model directly.  The
+file's added tokens (as ``<|endoftext|>``) are found in the raw text first, as the tokenizer does,
+and what stands between them is cut on its own.
 """
 
 from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
 
 # the white space of the tokenizers' patterns
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -36,6 +38,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _bytes(ids: list[int]) -> bytes:
+    data = array("I", ids)
+    if sys.byteorder == "big":
+        data.byteswap()
+    return data.tobytes()
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
@@ -48,13 +57,24 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True   # their strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            raise ValueError(f"{path}: added tokens that depend on the text around them")
+        self.added = [t.content for t in added]
+        longest = sorted(self.added, key=len, reverse=True)
+        self.parts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.blank = self.letters[0x20]
         self.lower_words, self.entries = lower_words, entries
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> list[str]:
+        if any(t in text for t in self.added):
+            return [c for i, part in enumerate(self.parts.split(text)) for c in ([part] if i % 2 else self._cut(part))]
+        return self._cut(text)
+
+    def _cut(self, text: str) -> list[str]:
         return text.replace("\n", " ").split(" ") if self.lower_words else _BYTE_CHUNKS.findall(text)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -64,12 +84,11 @@ class Encoder:
             old, young = young, {}
             self.young, self.old = young, old
         missing = []
-        for w in {w for words in cut for w in words}:
-            if w not in young:
-                if (ids := old.get(w)) is None:
-                    missing.append(w)
-                else:
-                    young[w] = ids
+        for w in set().union(*cut).difference(young):
+            if (ids := old.get(w)) is None:
+                missing.append(w)
+            else:
+                young[w] = ids
         self._learn(missing)
         get = young.__getitem__
         return [b"".join(map(get, words)) for words in cut]
@@ -88,17 +107,20 @@ class Encoder:
             else:
                 other.append(w)
         for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            young[w] = np.array(e.ids, dtype="<u4").tobytes()
+            young[w] = _bytes(e.ids)
         for tail, words in tails.items():
-            end = np.array(self.tokenizer.encode(tail, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            end = _bytes(self.tokenizer.encode(tail, add_special_tokens=False).ids)
             for w, body in words:
                 young[w] = (young.get(body) or self._letters(body)) + end
 
     def _letters(self, piece: str) -> bytes:
         if self.lower_words:
             piece = piece.lower()
-        mapped = piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(mapped)], dtype="<u4").tobytes()
+        if piece.isascii():                                  # letters, a blank in front at most
+            mapped = self.blank + piece[1:] if piece[0] == " " else piece
+        else:
+            mapped = piece.encode().decode("latin-1").translate(self.letters)
+        return _bytes([t.id for t in self.model.tokenize(mapped)])
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}

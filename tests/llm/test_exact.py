@@ -176,7 +176,8 @@ def test_fingerprint_edges(spark):
 # tokens, packing and files -------------------------------------------------------------------------
 
 ODD = ["", " ", "  a", "a  b", "a\n\nb \n c", "don't STOP.", "x\xa0y\x85z", "İSTANBUL Σίσυφος ΟΔΟΣ", "é é", "1 22 333,", "\x1ca \x1d b",
-       "<|endoftext|> a", "漢字 かな 한국", "🙂🙂 ok", "word.,;:!?", " ,word", "ÀÉ ß ÿ µ ª", "a\r\nb\tc ", "..." * 5]
+       "<|endoftext|> a", "漢字 かな 한국", "🙂🙂 ok", "word.,;:!?", " ,word", "ÀÉ ß ÿ µ ª", "a\r\nb\tc ", "..." * 5,
+       "hello  <|endoftext|>  word", "a<|endoftext|>b<|startoftext|><|endoftext|>\n\n", "<|EndOfText|> <|endoftext", "  <|endoftext|>"]
 
 
 @pytest.mark.parametrize("name,lower", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
@@ -184,7 +185,6 @@ def test_ids_equal_those_of_whole_texts(name, lower):
     from tokenizers import Tokenizer
     path = tokens.vocabulary(name)
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     texts = ODD + [t for _, t, *_ in data.table("documents")]
     enc = tokens.Encoder(path, lower, entries=500)                  # small enough to be turned over
     got = [g for i in range(0, len(texts), 20) for g in enc.encode(texts[i:i + 20])]
@@ -195,7 +195,6 @@ def test_ids_equal_those_of_whole_texts(name, lower):
 def brute_ids(text, name, end):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokens.vocabulary(name))
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids + [end]
 
 
