@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import incident_description
-from ..operators import air, enrich, generate, news, normalize, scoring, vector_index, vectors
+from ..operators import air, enrich, generate, news, news_daily, normalize, scoring, vector_index, vectors
 from ..sources import sinks
 
 
@@ -50,6 +50,8 @@ class Options:
     embed_name: str = "provider"    # of the provider's vectors in the store
     embed_store: str | None = None  # folder of vectors that the provider gave before
     empty_input: str = "error"      # or "skip"
+    daily_path: str | None = None   # a store of daily news counts: only days it does not hold are read
+    changed_days: tuple[str, ...] = ()   # with it: days of late news, read again
 
 
 Step = tuple[str, Callable[..., DataFrame], list[str]]
@@ -69,6 +71,11 @@ def steps(src: Sources, opt: Options) -> list[Step]:
         recent = staged.where(news.lookback_days("event_time", as_of, opt.news_days))
         return news.news_metrics(news.news_pairs(inc, recent, as_of=as_of, days=opt.news_days))
 
+    def news_metrics_daily(inc):
+        store = news_daily.DailyNews(inc.sparkSession, opt.daily_path)
+        store.update(src.news_events, inc, as_of, days=opt.news_days, changed=opt.changed_days)
+        return store.metrics()
+
     def openaq_locations_near_incidents(inc):
         lo = F.date_sub(F.lit(as_of).cast("date"), opt.sensor_days).cast("timestamp_ntz")
         return air.sensors_near_incident(inc.where(F.col("start_time") >= lo), src.sites)
@@ -121,10 +128,13 @@ def steps(src: Sources, opt: Options) -> list[Step]:
     def incident_actions(sim):
         return generate.actions_from_json(generate.action_replies(sim, opt.text_provider))
 
+    # with a daily store the staged news stay in it, by day
+    signals = [("news_metrics_recent", news_metrics_daily, ["incidents_raw"])] if opt.daily_path else [
+        ("gdelt_recent_sig", gdelt_recent_sig, []),
+        ("news_metrics_recent", news_metrics_recent, ["incidents_raw", "gdelt_recent_sig"])]
     return [
         ("incidents_raw", incidents_raw, []),
-        ("gdelt_recent_sig", gdelt_recent_sig, []),
-        ("news_metrics_recent", news_metrics_recent, ["incidents_raw", "gdelt_recent_sig"]),
+        *signals,
         ("openaq_locations_near_incidents", openaq_locations_near_incidents, ["incidents_raw"]),
         ("air_quality_metrics", air_quality_metrics, ["incidents_raw"]),
         ("incidents_roads_10d", incidents_roads_10d, ["incidents_raw"]),

@@ -7,14 +7,16 @@ integers cast to bigint in the final projection, on both engines.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..functions.geo import bbox_from_point, haversine_km
-from ..operators import enrich, news, scoring, spatial
+from ..operators import enrich, news, news_daily, scoring, spatial
 from ..operators.roads import line_length_in
 from ..sources import shapes
-from ..session import materialize
+from ..session import materialize, scratch_path
 from .oracle_fixtures import with_ctes
 from .registry import query
 
@@ -213,6 +215,20 @@ def q_news_metrics(spark, d):
                                     r6("news_tone_48h").alias("news_tone_48h"))
 
 
+@query("news_metrics_daily", with_ctes("incidents_fx", *NEWS_CHAIN, body="""
+select event_id, cast(news_articles_48h as bigint) as news_articles_48h,
+       round(news_tone_48h, 6) as news_tone_48h from nm"""))
+def q_news_metrics_daily(spark, d):
+    """A1 kept up day by day: a run of three days before without the incidents that start near its end, then
+    one of the day itself that reads those days' news only and meets the new incidents with the days near them."""
+    store = news_daily.DailyNews(spark, scratch_path(spark, "news-daily"))
+    inc, feed = fx.incidents_fx(spark, d), fx.news_fx(spark, d)
+    before = str(dt.date.fromisoformat(AS_OF) - dt.timedelta(days=3))
+    store.update(feed, inc.where(F.col("start_time") < F.date_sub(F.lit(before).cast("date"), 2).cast("timestamp_ntz")), before)
+    store.update(feed, inc, AS_OF)
+    return store.metrics().select("event_id", "news_articles_48h", r6("news_tone_48h").alias("news_tone_48h"))
+
+
 @query("country_of_incident", with_ctes("incidents_fx", "countries_fx", O_LOCATED, body="""
 select event_id, country_id, iso_code, country_name from located"""))
 def q_country_of_incident(spark, d):
