@@ -29,6 +29,7 @@ from .tokens import encoder, slices, vocabulary
 MAGIC = b"PSIDSEEK"
 FRAME_IDS = 1 << 18
 END_ID = 0
+HEAD_CHARS = 64
 _FOOT = np.dtype([("entries", "<u8"), ("width", "<u8"), ("magic", "S8")])
 _ENTRY = np.dtype([("packed", "<u8"), ("plain", "<u8"), ("crc", "<u8"), ("docs", "<u8")])
 _DOC = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("n", "<u8")])
@@ -149,8 +150,9 @@ def write_token_files(docs: DataFrame, out: str | None = None, *, vocab: str | N
     """Writes the ids of all documents and returns the stored list of files:
     ``shard, path, first_doc, n_docs, n_tokens``, in ascending order of ``doc_id`` by ``shard``.
 
-    Documents are dealt to files by ranges of their id (null ids first, equal ids by text) and
-    tokenised in the task that writes the file, so that the texts are the only thing moved.  A null
+    Documents are dealt to files by ranges of their id (null ids first; equal ids by the first
+    ``HEAD_CHARS`` characters of the text, then by its hash, so that many rows of one id are many
+    tasks) and tokenised in the task that writes the file, so that the texts are the only thing moved.  A null
     or empty text has the end id alone.  An empty table gives no files.
     """
     path = vocab or vocabulary("byte_bpe_50k.json")
@@ -177,8 +179,10 @@ def write_token_files(docs: DataFrame, out: str | None = None, *, vocab: str | N
             yield pa.RecordBatch.from_pylist([row], pa.schema([("shard", pa.int32()), ("path", pa.string()), (
                 "first_doc", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
+    key = ["doc_id", "_head", "_hash"]
     dealt = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")) \
-                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+                .select("*", F.substring("text", 1, HEAD_CHARS).alias("_head"), F.xxhash64("text").alias("_hash")) \
+                .repartitionByRange(*key).sortWithinPartitions(*key, "text").select("doc_id", "text")
     return materialize(dealt.mapInArrow(run, "shard int, path string, first_doc bigint, n_docs bigint, n_tokens bigint"),
                        "token-file-list")
 

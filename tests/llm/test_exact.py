@@ -254,6 +254,21 @@ def test_token_files_round_trip(spark, docs):
     assert token_files.read_token_files(token_files.write_token_files(data.empty(spark))).count() == 0
 
 
+def test_rows_of_one_id_are_dealt_to_many_files(spark):
+    rows = [(i if i % 3 else None, f"text {i} {'word ' * (i % 7)}") for i in range(1200)]
+    key = "spark.sql.adaptive.coalescePartitions.enabled"              # keep small partitions apart
+    spark.conf.set(key, "false")
+    try:
+        files = token_files.write_token_files(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    finally:
+        spark.conf.unset(key)
+    sizes = sorted(r["n_docs"] for r in files.collect())
+    assert sum(sizes) == 1200 and len(sizes) > 4 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    back = token_files.read_token_files(files)
+    assert back.where("doc_id is null").count() == 400
+    assert back.where("doc_id is null").agg(F.max("start")).first()[0] < back.where("doc_id is not null").agg(F.min("start")).first()[0]
+
+
 def test_token_file_random_access_and_damage(tmp_path):
     path = str(tmp_path / "a.zst")
     w = token_files.ShardWriter(path, 2, frame_ids=100)
