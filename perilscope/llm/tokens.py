@@ -21,7 +21,8 @@ _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u30
 #: leaves its last character to the word behind it
 _BYTE_CHUNKS = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 CACHE_ENTRIES = 300_000
-_MARKS = ".,;:!?"
+#: marks that always part from the letters before them and, as a run, are one piece
+_MARKS = ".,;:!?#$%&*)]}@^~+=_/-"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -94,33 +95,35 @@ class Encoder:
         return [b"".join(map(get, words)) for words in cut]
 
     def _learn(self, missing: list[str]) -> None:
-        young, other, tails = self.young, [], {}
+        young, old, other, tails = self.young, self.old, [], {}
+        lower, blank, letters, tokenize = self.lower_words, self.blank, self.letters, self.model.tokenize
         for w in missing:
             body = w.rstrip(_MARKS)
-            core = body[1:] if body[:1] == " " else body
+            lead = body[:1] == " "
+            core = body[1:] if lead else body
             # letters of one piece; for lower-cased vocabularies only those whose case is plain
-            if core.isalpha() and (not self.lower_words or max(core) <= "\xff"):
-                if len(body) == len(w):
-                    young[w] = self._letters(w)
-                else:
-                    tails.setdefault(w[len(body):], []).append((w, body))
-            else:
+            if not core.isalpha() or (lower and not core.isascii() and max(core) > "\xff"):
                 other.append(w)
+                continue
+            if body is w or len(body) == len(w):
+                ids = None
+            elif (ids := young.get(body)) is None and (ids := old.get(body)) is not None:
+                young[body] = ids
+            if ids is None:
+                if lower:
+                    core = core.lower()
+                if core.isascii():
+                    mapped = blank + core if lead else core
+                else:
+                    mapped = (" " + core if lead else core).encode().decode("latin-1").translate(letters)
+                ids = young[body] = _bytes([t.id for t in tokenize(mapped)])
+            if len(body) != len(w):
+                tail = w[len(body):]
+                if (end := tails.get(tail)) is None:
+                    end = tails[tail] = _bytes(self.tokenizer.encode(tail, add_special_tokens=False).ids)
+                young[w] = ids + end
         for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             young[w] = _bytes(e.ids)
-        for tail, words in tails.items():
-            end = _bytes(self.tokenizer.encode(tail, add_special_tokens=False).ids)
-            for w, body in words:
-                young[w] = (young.get(body) or self._letters(body)) + end
-
-    def _letters(self, piece: str) -> bytes:
-        if self.lower_words:
-            piece = piece.lower()
-        if piece.isascii():                                  # letters, a blank in front at most
-            mapped = self.blank + piece[1:] if piece[0] == " " else piece
-        else:
-            mapped = piece.encode().decode("latin-1").translate(self.letters)
-        return _bytes([t.id for t in self.model.tokenize(mapped)])
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}

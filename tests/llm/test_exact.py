@@ -192,6 +192,21 @@ def test_ids_equal_those_of_whole_texts(name, lower):
     assert got == want
 
 
+@pytest.mark.parametrize("name,lower", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_ids_of_odd_mixtures(name, lower):
+    import random
+    from tokenizers import Tokenizer
+    r, path = random.Random(4), tokens.vocabulary(name)
+    letters = "abzAZ éßÀññ .,;:!?#$%&*)]}@^~+=_/-'\"<|>0129\n\t漢ıİ̸́\xa0ǅ"
+    words = ["word", "Word", "<|endoftext|>", " ", "  ", "\n", "a", "###", ".", "<|startoftext|>", "don't", "é", "1"]
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 40))) for _ in range(4000)]
+    texts += ["".join(r.choice(words) for _ in range(12)) for _ in range(4000)]
+    enc = tokens.Encoder(path, lower, entries=3000)
+    got = [g for i in range(0, len(texts), 50) for g in enc.encode(texts[i:i + 50])]
+    want = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert got == [np.array(e.ids, "<u4").tobytes() for e in want]
+
+
 def brute_ids(text, name, end):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokens.vocabulary(name))
