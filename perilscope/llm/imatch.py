@@ -120,6 +120,8 @@ def edited_fingerprints(docs: DataFrame, *, low: float = LOW, high: float = HIGH
 
     Edited: the last floor(n / 2) code points are replaced by the first as many (or all) of the next
     document.  ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
+    A null text counts as empty.  Null ids come last and rows of one id follow each other by the hash of
+    their text; a lone document is its own next; an empty table gives no rows.
     """
     words = lexicon(docs, low=low, high=high)
     d = docs.select("doc_id", text_col().alias("_text"))

@@ -439,7 +439,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no shingles and are linked with nothing: their component is their own
     id.  Null ids take part and never give a component its id unless all of its ids are null.  Rows
-    that repeat an id are rows of their own; equal texts are always linked.
+    that repeat an id are rows of their own; equal texts are always linked.  An empty table gives no rows.
     """
     return _components(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 

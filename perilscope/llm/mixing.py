@@ -68,8 +68,8 @@ def plan_copies(docs: DataFrame, *, weights: Sequence[int] = WEIGHTS, most: int
 
     size: words of the text (null: 0).  The rate of a source is target / source size; a document is
     taken floor(rate) times and once more if its seeded draw (of seed, id and size) is below the
-    fraction.  Equal ids and sizes draw alike; empty documents take part with size 0.  The table of
-    sources is joined by value: broadcast only if its stored size is below Spark's limit, else
+    fraction.  Equal ids and sizes draw alike; empty documents take part with size 0.  Null is a
+    source of its own, the last in order; an empty table gives no rows.  The table of sources is joined by value: broadcast only if its stored size is below Spark's limit, else
     sorted, where Spark splits a hot source.
     """
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),

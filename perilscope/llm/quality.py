@@ -162,7 +162,8 @@ def classify(docs: DataFrame, labels: DataFrame, *, label: str = "quality", thre
     """``doc_id, held_out, score, predicted`` of every document, empty texts too.
 
     The statistics are stored first, so each text is read once; training joins labels to these
-    narrow rows.  Rows that repeat an id are scored each.
+    narrow rows.  Rows that repeat an id are scored each; a null text counts as empty; an empty table
+    gives no rows.
     """
     s = materialize(with_statistics(docs), "quality-statistics")
     model = fit(materialize(labelled(s, labels, label), "quality-training"), **how)

@@ -95,7 +95,8 @@ def secret_scan(docs: DataFrame, *, owner: str = "source", repository: str = "la
 
     n_wide: its spans whose value at least ``wide_owners`` owners hold (copied examples); n_live: the
     others, held by few owners.  Null owners and repositories count as one owner or repository each.
-    Rows that repeat id and text are scanned alike and counted each.
+    Rows that repeat id and text are scanned alike and counted each; a null text counts as empty; an
+    empty table gives no rows.
     """
     d = docs.select("doc_id", "text", F.col(owner).cast("string").alias("_owner"),
                     F.col(repository).cast("string").alias("_repository"))
