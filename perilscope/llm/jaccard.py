@@ -279,13 +279,14 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The ``pairs`` whose sets are linked, compared whole.
 
     The sets are made from the texts of one document of each class that is needed; the join that
-    fetches the texts is by id, where Spark can drop the others by a Bloom filter before it moves any.
+    fetches the texts is by id and text hash, so that rows of one id, null ids too, do not meet each
+    other, and Spark can drop the others by a Bloom filter before it moves any.
     """
     need = pairs.select(F.explode(F.array("a", "b")).alias("c1")).distinct()
-    need = materialize(need.join(classes.select("c1", "c2", "doc"), "c1").select(
-        "c1", "c2", _id_key("doc").alias("key"), F.lit(1).alias("wanted")), "wanted-sets").where("wanted = 1")
-    texts = docs.select(_id_key("doc_id").alias("key"), _bytes())
-    found = texts.join(need, "key").select("c1", "c2", "text")
+    need = materialize(need.join(classes.select("c1", "c2", "doc", "th"), "c1").select(
+        "c1", "c2", _id_key("doc").alias("key"), "th", F.lit(1).alias("wanted")), "wanted-sets").where("wanted = 1")
+    texts = docs.select(_id_key("doc_id").alias("key"), _text_hash().alias("th"), _bytes())
+    found = texts.join(need, ["key", "th"]).select("c1", "c2", "text")
 
     def sets(batches):
         import pyarrow as pa
@@ -416,8 +417,10 @@ def _components(docs: DataFrame) -> DataFrame:
     n_docs = docs.count()
     hot = hot_tokens(docs, max(HOT_LEAST, round(n_docs * HOT_SHARE)))
     sets = materialize(shingle_sets(docs, hot), "shingle-sets")
-    classes = materialize(sets.where("n > 0").groupBy("c1", "c2", "n").agg(
-        F.min("doc_id").alias("doc"), *[F.min(f"m{k}").alias(f"m{k}") for k in range(HASHES)]), "classes")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))   # null only if all are
+    mins = [f"m{k}" for k in range(HASHES)]
+    classes = materialize(sets.where("n > 0").groupBy("c1", "c2", "n").agg(least.alias("r"), *[F.min(m).alias(m) for m in mins])
+                          .select("c1", "c2", "n", F.col("r.doc_id").alias("doc"), F.col("r.th").alias("th"), *mins), "classes")
     first = materialize(verify(materialize(bucket_pairs(classes), "bucket-pairs"), classes, docs), "links")
     groups = components(first)
     pairs = materialize(group_candidates(_tokens(sets), groups), "candidates")

@@ -365,6 +365,21 @@ def test_jaccard_finds_every_link(spark, monkeypatch):
         assert got == want
 
 
+def test_jaccard_with_a_third_of_the_ids_null(spark):
+    import random
+    r = random.Random(2)
+    vocab, passage = [f"v{i}" for i in range(300)], [f"p{i}" for i in range(20)]
+    rows, bases = [], [[r.choice(vocab) for _ in range(r.randint(20, 60))] for _ in range(12)]
+    for i in range(240):
+        w = list(r.choice(bases))
+        for _ in range(r.choice([0, 1, 2, 4])):
+            w[r.randrange(len(w))] = r.choice(vocab)
+        rows.append((None if i % 3 == 0 else i, " ".join(w + passage * (i % 2))))
+    got = sorted((str(x["doc_id"]), x["n_shingles"], str(x["component_id"])) for x in jaccard.jaccard_components(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect())
+    assert got == brute_components(rows)
+
+
 def test_one_document_per_component(spark):
     d = data.clashing(spark)
     kept = jaccard.one_per_component(d)
