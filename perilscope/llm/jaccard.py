@@ -6,11 +6,12 @@
    (a bounded number of pairs per class, also in a bucket that holds a third of all rows); pairs are
    verified on whole sets, and what is linked becomes a group.
 3. *Matrix.* Each group stores the union of its members' prefix tokens: the first ``n - ceil(t n) + 1``
-   of a set in a common order.  What two sets share lies in both prefixes or behind one of them, so
-   the tokens of a query that a group's union holds bound its overlap with anything in the group.
-   Only groups whose bound reaches the threshold are opened.
-4. *Opened groups.* Their members get the same bound one by one; the pairs left are verified on whole
-   sets.  Pairs inside one group are never looked at again: they are linked already.
+   of a set in a common order, by band of sizes, with the sizes that a linked set may have if the token
+   is the first that both share: all the overlap then lies at or behind it.  Classes of the smaller
+   group query the larger one; only groups whose bound reaches the threshold are opened.
+4. *Opened groups.* Their members get the same bound one by one, then by what both prefixes share;
+   the pairs left are verified on whole sets.  Pairs inside one group are never looked at again: they
+   are linked already.
 
 The order puts tokens that many documents share last (a list of bounded length), then goes by hash;
 any order gives the same links.  Shingle hashes have 64 bits, class keys 128.
@@ -340,7 +341,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _tokens(sets: DataFrame) -> DataFrame:
-    """``token, c1, n`` of the prefixes."""
+    """``token, c1, n, u`` of the prefixes; u: most tokens that a set linked by this token may have.
+
+    If a token is the first that two sets of n and m tokens share, all that they share lies at or
+    behind it: with r tokens left from there, m is at most 7 r / 3 - n.
+    """
     def run(batches):
         import pyarrow as pa
         for b in batches:
@@ -350,66 +355,96 @@ def _tokens(sets: DataFrame) -> DataFrame:
             for lo in range(0, len(parts), step):
                 some = parts[lo:lo + step]
                 size = [len(p) for p in some]
+                each = np.repeat(n[lo:lo + step], size)
+                place = np.arange(len(each)) - np.repeat(np.cumsum(size) - size, size)
+                most = np.minimum((NUM + DEN) * (each - place) // NUM - each, DEN * each // NUM)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate(some)), pa.array(np.repeat(c1[lo:lo + step], size)),
-                    pa.array(np.repeat(n[lo:lo + step], size).astype("i4"))], ["token", "c1", "n"])
+                    pa.array(each.astype("i4")), pa.array(most.astype("i4"))], ["token", "c1", "n", "u"])
 
     return sets.where("prefix is not null").select("c1", "n", "prefix").mapInArrow(
-        run, "token bigint, c1 bigint, n int")
+        run, "token bigint, c1 bigint, n int, u int")
 
 
-def _rest(n: Column) -> Column:
-    """Tokens of a set behind its prefix."""
-    return F.ceil(n * NUM / DEN).cast("int") - 1
+def _least(n: str) -> Column:
+    """Fewest tokens that a set linked with one of ``n`` tokens has."""
+    return F.ceil(F.col(n) * NUM / DEN).cast("int")
 
 
-def _reach(shared: Column, n: Column, m: Column) -> Column:
-    """Whether sets of ``n`` and ``m`` tokens can be linked if at most ``shared`` tokens are in both prefixes.
+def _band(n: Column) -> Column:
+    """Sizes in bands, each a third wider than the one before."""
+    return F.floor(F.log(n) / float(np.log(DEN / NUM))).cast("int")
 
-    Tokens in both sets but not in both prefixes lie behind the end of one of the prefixes, so the
-    overlap is at most ``shared`` and the longer rest; it has to be t / (1 + t) of both sizes.
-    """
-    return (NUM + DEN) * (shared + F.greatest(_rest(n), _rest(m))) >= NUM * (n + m)
 
-
-def group_candidates(tokens: DataFrame, groups: DataFrame) -> DataFrame:
+def group_candidates(sets: DataFrame, groups: DataFrame) -> DataFrame:
     """``a, b`` (a > b): pairs of classes of different groups that may be linked.
 
-    ``tokens``: ``token, c1, n``; ``groups``: ``node, label`` (a class not in it is a group of its
-    own).  Only tokens of two groups at least go on.  The group with most rows of a token never
-    queries by that token: the others query it, so a hot group is not paired with itself.  Each
-    shared token of a pair is thus seen from one side at least, so one of the two sides sees half of
-    them or more: bounds take twice what a side has seen.
+    ``sets``: ``c1, n, prefix``; ``groups``: ``node, label`` (a class not in it is a group of its
+    own).  Only tokens of two groups at least go on.  The matrix holds, by token, group and band of
+    sizes, the range of the members' sizes and the most that one of them can reach (``_tokens``).
+    The smaller group's classes query the larger group, so a hot group is never paired with itself
+    and asks nothing; a query meets only the bands that its token's place lets it reach.  What two
+    linked sets share first meets every bound here, so no link is lost.
+    """
+    tokens = _tokens(sets)
+    # counted within tasks first: a token of many classes is one row per task
+    several = tokens.groupBy("token").agg(F.min("c1").alias("lo"), F.max("c1").alias("hi")).where("lo <> hi")
+    several = materialize(several.select("token", F.lit(1).alias("wanted")), "several").where("wanted = 1")
+    with _bloom_filters(sets.sparkSession):
+        shared = materialize(tokens.join(several, "token").select("token", "c1", "n", "u").distinct(), "shared-tokens")
+    size = groups.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
+    g = materialize(groups.join(size, "label").select(F.col("node").alias("c1"), "label", "members"), "group-members")
+    rows = materialize(shared.join(g, "c1", "left").select(
+        "token", "c1", "n", "u", F.coalesce("label", "c1").alias("label"),
+        F.coalesce("members", F.lit(1)).alias("members")), "labelled-tokens")
+    matrix = materialize(rows.groupBy("token", _band(F.col("n")).alias("band"), F.col("label").alias("g")).agg(
+        F.first("members").alias("g_members"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("u").alias("up")),
+        "token-group-matrix")
+    met = matrix.groupBy("token").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x <> y").select("token")
+    query = rows.join(met, "token", "left_semi").select(
+        "token", F.col("c1").alias("q"), F.col("label").alias("q_label"), F.col("members").alias("q_members"),
+        F.col("n").alias("q_n"), F.col("u").alias("q_u"),
+        F.explode(F.sequence(_band(_least("n")), _band(F.col("u")))).alias("band"))
+    smaller = (F.col("q_members") < F.col("g_members")) | (
+        (F.col("q_members") == F.col("g_members")) & (F.col("q_label") < F.col("g")))
+    opened = query.join(matrix, ["token", "band"]).where(
+        smaller & (F.col("lo") <= F.col("q_u")) & (F.col("hi") >= _least("q_n"))
+        & (F.col("q_n") <= F.col("up")) & (F.col("q_n") >= _least("lo"))).select("token", "band", "q", "q_n", "q_u", "g")
+    opened = materialize(opened, "opened-groups")
+    # members of opened groups within the bounds of the query's token and their own
+    member = rows.select("token", _band(F.col("n")).alias("band"), F.col("label").alias("g"), F.col("c1").alias("s"),
+                         F.col("n").alias("s_n"), F.col("u").alias("s_u"))
+    pairs = opened.join(member, ["token", "band", "g"]).where(
+        F.col("s_n").between(_least("q_n"), F.col("q_u")) & F.col("q_n").between(_least("s_n"), F.col("s_u")))
+    pairs = materialize(pairs.select(F.greatest("q", "s").alias("a"), F.least("q", "s").alias("b")).distinct(), "prefix-pairs")
+    return prefixes_reach(pairs, sets)
+
+
+def prefixes_reach(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``pairs`` whose prefixes share enough tokens for a link.
+
+    Tokens in both sets but not in both prefixes lie behind the end of one of the prefixes, so the
+    overlap is at most what the prefixes share and the longer rest.
     """
-    w = Window.partitionBy("token")
-    shared = tokens.withColumn("lo", F.min("c1").over(w)).withColumn("hi", F.max("c1").over(w)) \
-                   .where("lo <> hi").drop("lo", "hi").distinct()
-    g = groups.select(F.col("node").alias("c1"), "label")
-    rows = materialize(shared.join(g, "c1", "left").withColumn("label", F.coalesce("label", "c1")), "shared-tokens")
-    matrix = rows.groupBy("token", "label").agg(
-        F.min("n").alias("g_least"), F.max("n").alias("g_most"), F.count(F.lit(1)).alias("members"))
-    major = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("n_groups"), F.max(
-        F.struct("members", "label")).alias("m")).where("n_groups > 1").select("token", F.col("m.label").alias("major"))
-    matrix = materialize(matrix.join(major, "token"), "token-group-matrix")
-    query = rows.join(major, "token").where("label <> major").select(
-        "token", F.col("c1").alias("q"), F.col("label").alias("q_label"), F.col("n").alias("q_n"))
-    # the overlap of a query with a group's union, at the two sizes of a member that ask for least
-    matched = query.join(matrix.select("token", F.col("label").alias("g"), "g_least", "g_most"), "token").where(
-        F.col("q_label") != F.col("g"))
-    met = matched.groupBy("q", "g").agg(
-        F.first("q_n").alias("q_n"), F.count(F.lit(1)).alias("seen"), F.min("g_least").alias("lo"), F.max("g_most").alias("hi"))
-    lo = F.greatest("lo", F.ceil(F.col("q_n") * NUM / DEN).cast("int"))
-    hi = F.least("hi", F.floor(F.col("q_n") * DEN / NUM).cast("int"))
-    many = 2 * F.col("seen") + 1        # one more: sizes in between may round in its favour
-    opened = met.where((lo <= hi) & (_reach(many, F.col("q_n"), lo) | _reach(many, F.col("q_n"), hi)))
-    opened = materialize(opened.select("q", "g"), "opened-groups")
-    # members of opened groups, by the query's tokens
-    asked = matched.join(opened, ["q", "g"], "left_semi").select("token", "q", "q_n", F.col("g").alias("label"))
-    member = rows.select("token", "label", F.col("c1").alias("s"), F.col("n").alias("s_n"))
-    pairs = asked.join(member, ["token", "label"]).where(_sizes_fit("q_n", "s_n")).groupBy("q", "s").agg(
-        F.first("q_n").alias("q_n"), F.first("s_n").alias("s_n"), F.count(F.lit(1)).alias("seen"))
-    pairs = pairs.where(_reach(2 * F.col("seen"), F.col("q_n"), F.col("s_n")))
-    return pairs.select(F.greatest("q", "s").alias("a"), F.least("q", "s").alias("b")).distinct()
+    need = materialize(pairs.select(F.explode(F.array("a", "b")).alias("c1")).distinct().select(
+        "c1", F.lit(1).alias("wanted")), "wanted-prefixes").where("wanted = 1")
+    with _bloom_filters(sets.sparkSession):
+        held = materialize(sets.where("prefix is not null").join(need, "c1").groupBy("c1").agg(
+            F.first("n").alias("n"), F.first("prefix").alias("p")), "prefixes")
+    both = pairs.join(held.select(F.col("c1").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa")), "a") \
+                .join(held.select(F.col("c1").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb")), "b")
+
+    def check(batches):
+        import pyarrow as pa
+        for x in batches:
+            a, b, na, nb = (x.column(i).to_numpy() for i in range(4))
+            shared = np.array([len(np.intersect1d(np.frombuffer(p.as_buffer(), "u8"), np.frombuffer(q.as_buffer(), "u8"),
+                                                  assume_unique=True)) for p, q in zip(x.column(4), x.column(5))], "i8")
+            rest = np.maximum(-(-NUM * na // DEN), -(-NUM * nb // DEN)) - 1
+            ok = (NUM + DEN) * (shared + rest) >= NUM * (na + nb)
+            yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], ["a", "b"])
+
+    return both.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(check, "a bigint, b bigint")
 
 
 def _components(docs: DataFrame) -> DataFrame:
@@ -423,7 +458,7 @@ def _components(docs: DataFrame) -> DataFrame:
                           .select("c1", "c2", "n", F.col("r.doc_id").alias("doc"), F.col("r.th").alias("th"), *mins), "classes")
     first = materialize(verify(materialize(bucket_pairs(classes), "bucket-pairs"), classes, docs), "links")
     groups = components(first)
-    pairs = materialize(group_candidates(_tokens(sets), groups), "candidates")
+    pairs = materialize(group_candidates(sets, groups), "candidates")
     more = materialize(verify(pairs, classes, docs), "links")
     labels = components(first.union(more))
     of_class = classes.join(labels, classes["c1"] == labels["node"], "left").select(
