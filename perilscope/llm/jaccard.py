@@ -9,9 +9,9 @@
    of a set in a common order, by band of sizes, with the sizes that a linked set may have if the token
    is the first that both share: all the overlap then lies at or behind it.  Classes of the smaller
    group query the larger one; only groups whose bound reaches the threshold are opened.
-4. *Opened groups.* Their members get the same bound one by one, then by what both prefixes share;
-   the pairs left are verified on whole sets.  Pairs inside one group are never looked at again: they
-   are linked already.
+4. *Opened groups.* A class is compared with one member by token first; what that does not join to the
+   group meets its members by the same bound, one by one.  Pairs are bounded by what both prefixes share
+   and verified on whole sets.  Pairs inside one group are never looked at again: they are linked already.
 
 The order puts tokens that many documents share last (a list of bounded length), then goes by hash;
 any order gives the same links.  Shingle hashes have 64 bits, class keys 128.
@@ -376,9 +376,10 @@ def _band(n: Column) -> Column:
     return F.floor(F.log(n) / float(np.log(DEN / NUM))).cast("int")
 
 
-def group_candidates(sets: DataFrame, groups: DataFrame) -> DataFrame:
-    """``a, b`` (a > b): pairs of classes of different groups that may be linked.
+def open_groups(sets: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The groups that classes of other groups open, and the labelled tokens of all classes.
 
+    The first: ``token, band, q, q_label, q_n, q_u, g, g_members, rep``; ``rep`` is a member of ``g``, one by token.
     ``sets``: ``c1, n, prefix``; ``groups``: ``node, label`` (a class not in it is a group of its
     own).  Only tokens of two groups at least go on.  The matrix holds, by token, group and band of
     sizes, the range of the members' sizes and the most that one of them can reach (``_tokens``).
@@ -398,8 +399,8 @@ def group_candidates(sets: DataFrame, groups: DataFrame) -> DataFrame:
         "token", "c1", "n", "u", F.coalesce("label", "c1").alias("label"),
         F.coalesce("members", F.lit(1)).alias("members")), "labelled-tokens")
     matrix = materialize(rows.groupBy("token", _band(F.col("n")).alias("band"), F.col("label").alias("g")).agg(
-        F.first("members").alias("g_members"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("u").alias("up")),
-        "token-group-matrix")
+        F.first("members").alias("g_members"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("u").alias("up"),
+        F.min(F.struct(F.xxhash64("token", "c1").alias("h"), F.col("c1").alias("rep"))).alias("r")), "token-group-matrix")
     met = matrix.groupBy("token").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x <> y").select("token")
     query = rows.join(met, "token", "left_semi").select(
         "token", F.col("c1").alias("q"), F.col("label").alias("q_label"), F.col("members").alias("q_members"),
@@ -409,15 +410,34 @@ def group_candidates(sets: DataFrame, groups: DataFrame) -> DataFrame:
         (F.col("q_members") == F.col("g_members")) & (F.col("q_label") < F.col("g")))
     opened = query.join(matrix, ["token", "band"]).where(
         smaller & (F.col("lo") <= F.col("q_u")) & (F.col("hi") >= _least("q_n"))
-        & (F.col("q_n") <= F.col("up")) & (F.col("q_n") >= _least("lo"))).select("token", "band", "q", "q_n", "q_u", "g")
-    opened = materialize(opened, "opened-groups")
-    # members of opened groups within the bounds of the query's token and their own
+        & (F.col("q_n") <= F.col("up")) & (F.col("q_n") >= _least("lo"))).select(
+            "token", "band", "q", "q_label", "q_n", "q_u", "g", "g_members", F.col("r.rep").alias("rep"))
+    return materialize(opened, "opened-groups"), rows
+
+
+def representatives(opened: DataFrame) -> DataFrame:
+    """``a, b`` (a > b): classes with a representative of each group they open, one by token.
+
+    A group of one class is done with it.
+    """
+    return opened.select(F.greatest("q", "rep").alias("a"), F.least("q", "rep").alias("b")).distinct()
+
+
+def group_members(opened: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``a, b`` (a > b): classes with the members of the groups they open, within the bounds of the
+    query's token and the member's own.
+
+    ``groups``: what is linked by now; a class is not compared with a group that it has joined.
+    """
+    x = groups.select(F.col("node").alias("q_label"), F.col("label").alias("x"))
+    y = groups.select(F.col("node").alias("g"), F.col("label").alias("y"))
+    opened = opened.where("g_members > 1").join(x, "q_label", "left").join(y, "g", "left").where(
+        F.coalesce("x", "q_label") != F.coalesce("y", "g"))
     member = rows.select("token", _band(F.col("n")).alias("band"), F.col("label").alias("g"), F.col("c1").alias("s"),
                          F.col("n").alias("s_n"), F.col("u").alias("s_u"))
     pairs = opened.join(member, ["token", "band", "g"]).where(
         F.col("s_n").between(_least("q_n"), F.col("q_u")) & F.col("q_n").between(_least("s_n"), F.col("s_u")))
-    pairs = materialize(pairs.select(F.greatest("q", "s").alias("a"), F.least("q", "s").alias("b")).distinct(), "prefix-pairs")
-    return prefixes_reach(pairs, sets)
+    return pairs.select(F.greatest("q", "s").alias("a"), F.least("q", "s").alias("b")).distinct()
 
 
 def prefixes_reach(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -458,9 +478,19 @@ def _components(docs: DataFrame) -> DataFrame:
                           .select("c1", "c2", "n", F.col("r.doc_id").alias("doc"), F.col("r.th").alias("th"), *mins), "classes")
     first = materialize(verify(materialize(bucket_pairs(classes), "bucket-pairs"), classes, docs), "links")
     groups = components(first)
-    pairs = materialize(group_candidates(sets, groups), "candidates")
-    more = materialize(verify(pairs, classes, docs), "links")
-    labels = components(first.union(more))
+
+    def links(pairs: DataFrame) -> DataFrame:
+        near = materialize(prefixes_reach(pairs, sets), "candidates")
+        return materialize(verify(near, classes, docs), "links")
+
+    # one member by token first: most of what belongs to a group joins it by one of them
+    opened, rows = open_groups(sets, groups)
+    asked = materialize(representatives(opened), "representatives")
+    joined = links(asked)
+    groups = components(groups.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b").union(joined))
+    rest = group_members(opened, rows, groups).join(asked, ["a", "b"], "left_anti")
+    more = links(materialize(rest, "member-pairs"))
+    labels = components(groups.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b").union(more))
     of_class = classes.join(labels, classes["c1"] == labels["node"], "left").select(
         "c1", "c2", "doc", F.coalesce("label", "c1").alias("label"))
     smallest = of_class.groupBy("label").agg(F.min("doc").alias("component_id"))
