@@ -9,7 +9,7 @@
    of a set in a common order, by band of sizes, with the sizes that a linked set may have if the token
    is the first that both share: all the overlap then lies at or behind it.  Classes of the smaller
    group query the larger one; only groups whose bound reaches the threshold are opened.
-4. *Opened groups.* A class is compared with one member by token first; what that does not join to the
+4. *Opened groups.* A class is compared with members drawn by token first; what they do not join to the
    group meets its members by the same bound, one by one.  Pairs are bounded by what both prefixes share
    and verified on whole sets.  Pairs inside one group are never looked at again: they are linked already.
 
@@ -33,6 +33,8 @@ NUM, DEN = 3, 4
 HASHES, AGREE, SALTS = 8, 5, 64
 #: min-hashes whose buckets also give neighbours
 NEIGHBOURS = 4
+#: rounds in which a class meets one member by token of a group it opens, before it meets all (speed only)
+ROUNDS = 2
 #: a token is ordered late if at least this share of the documents holds it
 HOT_SHARE, HOT_LEAST = 1 / 20000, 16
 
@@ -379,7 +381,7 @@ def _band(n: Column) -> Column:
 def open_groups(sets: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The groups that classes of other groups open, and the labelled tokens of all classes.
 
-    The first: ``token, band, q, q_label, q_n, q_u, g, g_members, rep``; ``rep`` is a member of ``g``, one by token.
+    The first: ``token, band, q, q_label, q_n, q_u, g, g_members, reps``; ``reps`` are members of ``g`` drawn by token.
     ``sets``: ``c1, n, prefix``; ``groups``: ``node, label`` (a class not in it is a group of its
     own).  Only tokens of two groups at least go on.  The matrix holds, by token, group and band of
     sizes, the range of the members' sizes and the most that one of them can reach (``_tokens``).
@@ -400,7 +402,8 @@ def open_groups(sets: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFram
         F.coalesce("members", F.lit(1)).alias("members")), "labelled-tokens")
     matrix = materialize(rows.groupBy("token", _band(F.col("n")).alias("band"), F.col("label").alias("g")).agg(
         F.first("members").alias("g_members"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("u").alias("up"),
-        F.min(F.struct(F.xxhash64("token", "c1").alias("h"), F.col("c1").alias("rep"))).alias("r")), "token-group-matrix")
+        F.array(*[F.min(F.struct(F.xxhash64("token", "c1", F.lit(k)).alias("h"), "c1"))["c1"] for k in range(ROUNDS)]).alias("reps")),
+        "token-group-matrix")
     met = matrix.groupBy("token").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x <> y").select("token")
     query = rows.join(met, "token", "left_semi").select(
         "token", F.col("c1").alias("q"), F.col("label").alias("q_label"), F.col("members").alias("q_members"),
@@ -411,28 +414,31 @@ def open_groups(sets: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFram
     opened = query.join(matrix, ["token", "band"]).where(
         smaller & (F.col("lo") <= F.col("q_u")) & (F.col("hi") >= _least("q_n"))
         & (F.col("q_n") <= F.col("up")) & (F.col("q_n") >= _least("lo"))).select(
-            "token", "band", "q", "q_label", "q_n", "q_u", "g", "g_members", F.col("r.rep").alias("rep"))
+            "token", "band", "q", "q_label", "q_n", "q_u", "g", "g_members", "reps")
     return materialize(opened, "opened-groups"), rows
 
 
-def representatives(opened: DataFrame) -> DataFrame:
-    """``a, b`` (a > b): classes with a representative of each group they open, one by token.
+def representatives(opened: DataFrame, k: int) -> DataFrame:
+    """``a, b`` (a > b): classes with the k-th representative of each group they open, one by token.
 
     A group of one class is done with it.
     """
-    return opened.select(F.greatest("q", "rep").alias("a"), F.least("q", "rep").alias("b")).distinct()
+    rep = F.col("reps")[k]
+    return opened.select(F.greatest("q", rep).alias("a"), F.least("q", rep).alias("b")).distinct()
 
 
-def group_members(opened: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """``a, b`` (a > b): classes with the members of the groups they open, within the bounds of the
-    query's token and the member's own.
-
-    ``groups``: what is linked by now; a class is not compared with a group that it has joined.
-    """
+def still_open(opened: DataFrame, groups: DataFrame) -> DataFrame:
+    """What is left of ``opened`` once ``groups`` are linked: groups of several classes that the query has not joined."""
     x = groups.select(F.col("node").alias("q_label"), F.col("label").alias("x"))
     y = groups.select(F.col("node").alias("g"), F.col("label").alias("y"))
-    opened = opened.where("g_members > 1").join(x, "q_label", "left").join(y, "g", "left").where(
+    left = opened.where("g_members > 1").join(x, "q_label", "left").join(y, "g", "left").where(
         F.coalesce("x", "q_label") != F.coalesce("y", "g"))
+    return left.select(*opened.columns)
+
+
+def group_members(opened: DataFrame, rows: DataFrame) -> DataFrame:
+    """``a, b`` (a > b): classes with the members of the groups they open, within the bounds of the
+    query's token and the member's own."""
     member = rows.select("token", _band(F.col("n")).alias("band"), F.col("label").alias("g"), F.col("c1").alias("s"),
                          F.col("n").alias("s_n"), F.col("u").alias("s_u"))
     pairs = opened.join(member, ["token", "band", "g"]).where(
@@ -483,14 +489,20 @@ def _components(docs: DataFrame) -> DataFrame:
         near = materialize(prefixes_reach(pairs, sets), "candidates")
         return materialize(verify(near, classes, docs), "links")
 
-    # one member by token first: most of what belongs to a group joins it by one of them
+    def merged(groups: DataFrame, more: DataFrame) -> DataFrame:
+        return components(groups.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b").union(more))
+
+    # members drawn by token first: most of what belongs to a group joins it by one of them
     opened, rows = open_groups(sets, groups)
-    asked = materialize(representatives(opened), "representatives")
-    joined = links(asked)
-    groups = components(groups.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b").union(joined))
-    rest = group_members(opened, rows, groups).join(asked, ["a", "b"], "left_anti")
-    more = links(materialize(rest, "member-pairs"))
-    labels = components(groups.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b").union(more))
+    asked = None
+    for k in range(ROUNDS):
+        pairs = representatives(opened, k)
+        pairs = materialize(pairs if asked is None else pairs.join(asked, ["a", "b"], "left_anti"), "representatives")
+        groups = merged(groups, links(pairs))
+        opened = materialize(still_open(opened, groups), "opened-groups")
+        asked = pairs if asked is None else asked.union(pairs)
+    rest = group_members(opened, rows).join(asked, ["a", "b"], "left_anti")
+    labels = merged(groups, links(materialize(rest, "member-pairs")))
     of_class = classes.join(labels, classes["c1"] == labels["node"], "left").select(
         "c1", "c2", "doc", F.coalesce("label", "c1").alias("label"))
     smallest = of_class.groupBy("label").agg(F.min("doc").alias("component_id"))
