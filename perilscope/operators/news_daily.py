@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import file_system, materialize
 from ..sources import sinks
 from . import news
-from .spatial import near_in_time
 
 PLACE = ["event_id", "lat", "lon", "start_time", "end_time"]
 #: batches of counts that are read side by side before a run merges them into one
@@ -103,10 +102,10 @@ class DailyNews:
     # ---------------------------------------------------------------- a run
     def _count(self, inc: DataFrame, staged: DataFrame, days: list[dt.date]) -> DataFrame:
         span = (f"{min(days)} 00:00:00", f"{max(days)} 23:59:59.999999")
-        pairs = near_in_time(inc.select("place", "lat", "lon", "start_time", "end_time"),
-                             staged.select("event_date", "event_time", "lat", "lon", "tone"), radius_km=self.radius_km,
-                             before_hours=self.hours, after_hours=self.hours, right_window=span)
-        return pairs.groupBy("place", "event_date").agg(F.count(F.lit(1)).alias("n"), F.sum("tone").alias("tone_sum"))
+        near = news.near_sums(inc.select("place", "lat", "lon", "start_time", "end_time"), staged, radius_km=self.radius_km,
+                              hours=self.hours, window=span)
+        return near.groupBy("place", F.to_date("event_time").alias("event_date")).agg(
+            F.sum("n").alias("n"), F.sum("tone_sum").alias("tone_sum"))
 
     def update(self, events: DataFrame, incidents: DataFrame, as_of: str, *, days: int = news.NEWS_LOOKBACK_DAYS,
                changed: Iterable[str] = ()) -> list[dt.date]:

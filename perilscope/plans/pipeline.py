@@ -69,7 +69,7 @@ def steps(src: Sources, opt: Options) -> list[Step]:
     def news_metrics_recent(inc, staged):
         # the look-back holds on read too, whatever the stored table carries
         recent = staged.where(news.lookback_days("event_time", as_of, opt.news_days))
-        return news.news_metrics(news.news_pairs(inc, recent, as_of=as_of, days=opt.news_days))
+        return news.metrics_near(inc, recent, as_of=as_of, days=opt.news_days)
 
     def news_metrics_daily(inc):
         store = news_daily.DailyNews(inc.sparkSession, opt.daily_path)

@@ -91,3 +91,48 @@ def test_locations_of_one_place_are_one_station(spark, sites):
     names = {r["location_id"]: r["station"] for r in of.collect()}
     assert len(names) == 24 and names[17] != names[5] == 5 and names[12] == names[0] == 0
     assert stations.count() == 12 + 2      # twelve places, the moved location has two of its own
+
+
+@pytest.fixture(scope="module")
+def feed(spark):
+    rows = [(k, 20240100 + 1 + k % 12, 10.0 + k % 5 * 0.4, 5.0 + k % 3 * 0.3, None if k % 17 == 0 else k % 23 - 9.5, 1) for k in range(400)]
+    rows += [(None, 20240104, 10.4, 5.0, 3.0, 1), (7, 20240105, None, 5.0, 3.0, 1), (8, 20240105, 10.0, 5.0, None, 1), (8, 20240105, 10.0, 5.0, 2.0, 1)]
+    return spark.createDataFrame(rows, "news_id bigint, sqldate int, lat double, lon double, tone double, num_articles int")
+
+
+def plain(df):
+    return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("mode", ["exact", "bins"])
+def test_news_pairs_by_places_equal_the_plain_join(spark, incidents, feed, mode):
+    from perilscope.operators import news, spatial
+    staged = news.stage_news(feed, "2024-01-11", days=8)
+    inc = incidents.select("event_id", "lat", "lon", "start_time", "end_time")
+    one_by_one = spatial.near_in_time(inc, staged.select("news_id", "event_time", "lat", "lon", "tone"), mode=mode)
+    got = news.news_pairs(incidents, staged, mode=mode, as_of="2024-01-11", days=8)
+    assert plain(got.select(one_by_one.columns)) == plain(one_by_one) != []
+    assert plain(news.news_pairs(incidents, staged, mode=mode, hours=6).select("event_id", "news_id")) == plain(
+        spatial.near_in_time(inc, staged.select("news_id", "event_time", "lat", "lon"), mode=mode, before_hours=6, after_hours=6).select("event_id", "news_id"))
+
+
+def test_news_metrics_make_no_pairs(spark, incidents, feed):
+    """Ten times the news of the same places and days meet as many rows as before."""
+    from pyspark.sql import functions as F
+    from perilscope.operators import news
+    many = feed.crossJoin(spark.range(10)).drop("id")
+    staged = news.stage_news(many, "2024-01-11", days=8)
+    got = news.metrics_near(incidents, staged, as_of="2024-01-11", days=8)
+    assert plain(got) == plain(news.news_metrics(news.news_pairs(incidents, staged, as_of="2024-01-11", days=8)))
+    met = [news.near_sums(incidents, news.stage_news(f, "2024-01-11", days=8)) for f in (feed, many)]
+    assert met[0].count() == met[1].count()
+    assert met[1].agg(F.sum("n")).first()[0] == 10 * met[0].agg(F.sum("n")).first()[0]
+
+
+def test_features_are_worked_out_once_for_pairs(spark, monkeypatch):
+    from perilscope.plans import q_text
+    calls = []
+    real = q_text.features
+    monkeypatch.setattr(q_text, "features", lambda *a: calls.append(a) or real(*a))
+    q_text.pair_feats(spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1
