@@ -136,3 +136,23 @@ def test_features_are_worked_out_once_for_pairs(spark, monkeypatch):
     monkeypatch.setattr(q_text, "features", lambda *a: calls.append(a) or real(*a))
     q_text.pair_feats(spark, "/root/testdata/sf0.001")
     assert len(calls) == 1
+
+
+def test_topk_of_a_block_holds_few_distances_at_once():
+    import tracemalloc
+    import numpy as np
+    import pandas as pd
+    from perilscope.operators.vectors import _topk_block
+    rng = np.random.default_rng(1)
+    n = 2000
+    base = pd.DataFrame({"id": range(n), "vec": list(rng.normal(size=(n, 16)))})
+    query = pd.DataFrame({"qid": range(n), "qvec": list(base["vec"])})
+    tracemalloc.start()
+    got = _topk_block(3, True)((), base, query)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 3 * n and peak < 20e6             # 2000 x 2000 distances are 32 MB, and were held several times
+    B = np.stack(base["vec"])
+    d = 1 - (B @ B.T) / np.outer(*[np.linalg.norm(B, axis=1)] * 2)
+    np.fill_diagonal(d, np.inf)
+    assert got["neighbor_event"].tolist() == np.argsort(d, axis=1, kind="stable")[:, :3].ravel().tolist()
