@@ -156,3 +156,26 @@ def test_topk_of_a_block_holds_few_distances_at_once():
     d = 1 - (B @ B.T) / np.outer(*[np.linalg.norm(B, axis=1)] * 2)
     np.fill_diagonal(d, np.inf)
     assert got["neighbor_event"].tolist() == np.argsort(d, axis=1, kind="stable")[:, :3].ravel().tolist()
+
+
+def test_windows_of_single_incidents_are_not_merged(spark, incidents, sites):
+    """Incidents of one row and locations of one place: their windows are not shuffled by incident and station."""
+    meas = spark.createDataFrame([(k % 24, "pm25", at(1 + k % 25, k * 7 % 24), float(k % 11)) for k in range(300)],
+                                 "location_id bigint, pollutant string, ts timestamp_ntz, value double")
+    single = incidents.where("event_id > 'e31' and event_id < 'e5'").localCheckpoint()
+    one_place = sites.where("location_id > 5 and location_id < 24").localCheckpoint()
+
+    def merges(inc, places):
+        df = air.air_quality_before_after(inc, places, meas)
+        assert df.collect()
+        return "windowspecdefinition(event_id" in df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    assert not merges(single, one_place)
+    assert merges(single.union(single), one_place) and merges(single, one_place.union(one_place.selectExpr("location_id", "lat + 0.1", "lon", "location_name", "country_raw")))
+
+
+def test_days_of_news_are_added_up_before_incidents_meet_them(spark, incidents, feed):
+    from perilscope.operators import news
+    staged = news.stage_news(feed, "2024-01-11", days=8)
+    inc = incidents.select("event_id", "lat", "lon", "start_time", "end_time").where("event_id < 'e3'")
+    once = news._sums_by([], inc, staged, 100.0, 24, None)
+    assert 0 < once.count() <= inc.count() < news.near_sums(inc, staged).count()
