@@ -111,30 +111,40 @@ def _clip(batches, tile_deg: float):
             yield out.filter(pa.array(keep))
 
 
-def _length_km(parts):
-    """Great-circle length of intervals, those that meet end to end taken as one (in the JVM)."""
-    def point(x, t):
-        return x["x0"] + t * (x["x1"] - x["x0"]), x["y0"] + t * (x["y1"] - x["y0"])
-
+def _runs(s):
+    """Intervals (sorted) of a line, those that meet end to end taken as one (in the JVM)."""
+    # a run starts where no other interval of its segment ends, and ends where none starts
+    n = F.size(s)
+    nxt = F.concat(F.slice(s, 2, F.greatest(n - 1, F.lit(0))), F.array(F.lit(None).cast(PIECE)))
+    prv = F.concat(F.array(F.lit(None).cast(PIECE)), F.slice(s, 1, F.greatest(n - 1, F.lit(0))))
+
+    def joined(a, b):
+        return F.coalesce((a["seg"] == b["seg"]) & (a["t1"] == b["t0"]), F.lit(False))
+    starts = F.filter(F.zip_with(s, prv, lambda x, q: F.when(~joined(q, x), x)), lambda x: x.isNotNull())
+    ends = F.filter(F.zip_with(s, nxt, lambda x, q: F.when(~joined(x, q), x)), lambda x: x.isNotNull())
+    return F.zip_with(starts, ends, lambda a, b: F.struct(
+        a["t0"].alias("t0"), b["t1"].alias("t1"), *[a[k].alias(k) for k in ("x0", "y0", "x1", "y1")]))
+
+
+def _run_km(runs):
+    """Great-circle length of runs."""
     def leg(x):
-        (lon1, lat1), (lon2, lat2) = point(x, x["t0"]), point(x, x["t1"])
+        (lon1, lat1), (lon2, lat2) = x["a"], x["b"]
         p1, p2 = F.radians(lat1), F.radians(lat2)
         h = F.pow(F.sin((p2 - p1) / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin((F.radians(lon2) - F.radians(lon1)) / 2), 2)
         return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
 
-    def runs(s):
-        # a run starts where no other interval of its segment ends, and ends where none starts
-        n = F.size(s)
-        nxt = F.concat(F.slice(s, 2, F.greatest(n - 1, F.lit(0))), F.array(F.lit(None).cast(PIECE)))
-        prv = F.concat(F.array(F.lit(None).cast(PIECE)), F.slice(s, 1, F.greatest(n - 1, F.lit(0))))
+    def point(x, t):
+        return x["x0"] + t * (x["x1"] - x["x0"]), x["y0"] + t * (x["y1"] - x["y0"])
+    return F.aggregate(runs, F.lit(0.0), lambda acc, x: acc + leg({"a": point(x, x["t0"]), "b": point(x, x["t1"])}))
+
 
-        def joined(a, b):
-            return F.coalesce((a["seg"] == b["seg"]) & (a["t1"] == b["t0"]), F.lit(False))
-        starts = F.filter(F.zip_with(s, prv, lambda x, q: F.when(~joined(q, x), x)), lambda x: x.isNotNull())
-        ends = F.filter(F.zip_with(s, nxt, lambda x, q: F.when(~joined(x, q), x)), lambda x: x.isNotNull())
-        return F.zip_with(starts, ends, lambda a, b: F.struct(
-            a["t0"].alias("t0"), b["t1"].alias("t1"), *[a[k].alias(k) for k in ("x0", "y0", "x1", "y1")]))
-    return F.aggregate(runs(F.array_sort(parts)), F.lit(0.0), lambda acc, x: acc + leg(x))
+def _lengths(parts: DataFrame) -> DataFrame:
+    """``line_id, line, poly_id, parts`` -> ``km``.  Step by step: a column that the next one uses several
+    times is worked out once per row."""
+    ids = ["line_id", "line", "poly_id"]
+    return parts.select(*ids, F.array_sort("parts").alias("s")).select(*ids, _runs(F.col("s")).alias("runs")).select(
+        *ids, _run_km(F.col("runs")).alias("km"))
 
 
 def line_length_in(lines: DataFrame, polygons: DataFrame, *, line_key: str = "road_id",
@@ -166,7 +176,7 @@ def line_length_in(lines: DataFrame, polygons: DataFrame, *, line_key: str = "ro
     # at most the pieces of one line
     many = both.where("not alone").groupBy("line_id", "line", "poly_id").agg(
         F.array_distinct(F.flatten(F.collect_list("parts"))).alias("parts"))
-    km = one.unionByName(many).select("line_id", "line", "poly_id", _length_km(F.col("parts")).alias("km"))
+    km = _lengths(one.unionByName(many))
     lone = F.when(F.col("line_id").isNull(), F.col("line"))
     # at most one number per line of a road; summed in one order, so that runs agree
     road = km.groupBy("line_id", "poly_id", lone.alias("lone")).agg(F.array_sort(F.collect_set(F.struct("line", "km"))).alias("m"))

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType
 
+from ..session import spread
 from .geodesic import plain_polygons, plain_roads
 
 PARTS = "array<array<array<struct<lon:double,lat:double>>>>"
@@ -131,6 +132,7 @@ def road_segments(segments: DataFrame, *, subtype: str | None = None, geodesic_s
     kept = segments.where(F.col("geometry").isNotNull())
     if subtype is not None:
         kept = kept.where(F.col("subtype") == subtype)
+    kept = spread(kept.select("id", "geometry"))       # a file that is read as one split is not parsed by one task
     out = kept.select(F.col("id").alias("road_id"), line_list(kept).alias("geom")).where(F.col("geom").isNotNull())
     return out if geodesic_step is None else out.withColumn("geom", plain_roads("geom", geodesic_step))
 

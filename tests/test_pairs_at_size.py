@@ -179,3 +179,14 @@ def test_days_of_news_are_added_up_before_incidents_meet_them(spark, incidents,
     inc = incidents.select("event_id", "lat", "lon", "start_time", "end_time").where("event_id < 'e3'")
     once = news._sums_by([], inc, staged, 100.0, 24, None)
     assert 0 < once.count() <= inc.count() < news.near_sums(inc, staged).count()
+
+
+def test_landed_roads_are_dealt_out_before_they_are_parsed(spark):
+    """Roads that come as one split: every task parses some of them."""
+    from pyspark.sql import functions as F
+    from perilscope.sources import shapes
+    landed = spark.range(0, 400, 1, 1).select("id", F.lit("road").alias("subtype"), F.lit(
+        '{"type":"MultiLineString","coordinates":[[[1.0,2.0],[1.0,3.0]],[[2.0,2.0],[2.0,4.0]]]}').alias("geometry"))
+    parsed = shapes.road_segments(landed, subtype="road").withColumn("part", F.spark_partition_id())
+    assert parsed.count() == 400 and parsed.select("part").distinct().count() > 1
+    assert all(len(r["geom"]) == 2 for r in parsed.collect())
