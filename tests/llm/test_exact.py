@@ -394,3 +394,30 @@ def test_one_document_per_component(spark):
     rows = [(1, base), (7, near), (7, other), (8, other + " end")]
     e = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert sorted(tuple(r) for r in jaccard.one_per_component(e).collect()) == [(1, base), (7, other)]
+
+
+def test_jaccard_late_tokens_do_not_depend_on_dealing(spark):
+    # 40 documents share one passage, each in a partition of its own: no batch holds a token twice
+    passage = " ".join(f"common{k}" for k in range(60))
+    d = spark.createDataFrame([(i, f"{passage} own{i}") for i in range(40)], "doc_id long, text string")
+    shared = jaccard._SHINGLER.sets([passage.encode()])[0]
+    low = set(shared[shared < np.uint64(int(jaccard.COUNTED * 2 ** 64))].tolist())
+    assert low
+    for parts in (1, 40):
+        assert low <= set(jaccard.hot_tokens(d.repartition(parts, "doc_id"), 16).tolist())
+
+
+def test_jaccard_classes_meet_once_not_at_every_late_token(spark):
+    # 30 classes that share the first 40 words of 140: far from linked, and late tokens are all that they share
+    passage = " ".join(f"common{k}" for k in range(40))
+    d = spark.createDataFrame([(i, passage + " " + " ".join(f"w{i}x{j % 4}" for j in range(100))) for i in range(30)],
+                              "doc_id long, text string").coalesce(1)
+    hot = jaccard.hot_tokens(d, 16)
+    # late ones first: the prefixes hold many of them
+    sets = spark.createDataFrame([(int(r["c1"]), int(r["n"]), bytearray(np.sort(hot).tobytes())) for r in
+                                  jaccard.shingle_sets(d, hot).collect()], "c1 long, n long, prefix binary")
+    lone = spark.createDataFrame([], "node long, label long")
+    opened, rows = jaccard.open_groups(sets, lone, hot)
+    assert opened.select("q", "g").distinct().count() == 30 * 29 // 2
+    assert opened.count() <= 3 * 30 * 29 // 2                # at one token in BEFORE, of 36
+    assert jaccard.group_members(opened, rows).count() == 30 * 29 // 2
