@@ -421,3 +421,37 @@ def test_jaccard_classes_meet_once_not_at_every_late_token(spark):
     assert opened.select("q", "g").distinct().count() == 30 * 29 // 2
     assert opened.count() <= 3 * 30 * 29 // 2                # at one token in BEFORE, of 36
     assert jaccard.group_members(opened, rows).count() == 30 * 29 // 2
+
+
+def test_jaccard_copies_too_far_apart_are_not_paired(spark):
+    # 90 copies of one text, each with some words of its own: most pairs share much and are not linked
+    import random
+    r = random.Random(5)
+    texts = []
+    for i in range(90):
+        w = [f"w{k}" for k in range(150)]
+        for k in r.sample(range(150), r.choice([1, 3, 4, 4, 4, 5])):
+            w[k] = f"own{i}x{k}"
+        texts.append(" ".join(w))
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    own = jaccard._SHINGLER.sets([t.encode() for t in texts])
+    key = [jaccard._key(s)[0] for s in own]
+    pairs = [(i, j) for i in range(90) for j in range(i)]
+    links = [(i, j) for i, j in pairs if jaccard.linked(own[i], own[j])]
+    for i, j in pairs:
+        a, b = (np.unpackbits(np.frombuffer(jaccard.sketch(own[x]), "u1")) for x in (i, j))
+        assert (a != b).sum() <= len(np.setxor1d(own[i], own[j]))
+    hot = jaccard.hot_tokens(d, 16)
+    sets = jaccard.shingle_sets(d, hot)
+    for size in (1, 3):                                     # lone classes, and groups of three as they come
+        label = {key[i]: min(key[i // size * size:i // size * size + size]) for i in range(90)}
+        groups = spark.createDataFrame(list(label.items()) if size > 1 else [], "node long, label long")
+        opened, rows = jaccard.open_groups(sets, groups, hot)
+        met = {(x["q"], x["g"]) for x in opened.collect()}
+        apart = [(i, j) for i, j in links if label[key[i]] != label[key[j]]]
+        assert len(apart) > 100 and all((key[i], label[key[j]]) in met or (key[j], label[key[i]]) in met for i, j in apart)
+        plain, _ = jaccard.open_groups(sets.drop("sketch"), groups, hot)
+        all_met = {(x["q"], x["g"]) for x in plain.collect()}
+        assert met <= all_met and (size > 1 or len(met) <= len(links) + (len(pairs) - len(links)) // 10 < len(all_met) // 2)
+        members = {(x["a"], x["b"]) for x in jaccard.group_members(opened, rows).collect()}
+        assert all((max(key[i], key[j]), min(key[i], key[j])) in members for i, j in apart)
