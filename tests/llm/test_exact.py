@@ -407,6 +407,25 @@ def test_jaccard_late_tokens_do_not_depend_on_dealing(spark):
         assert low <= set(jaccard.hot_tokens(d.repartition(parts, "doc_id"), 16).tolist())
 
 
+def test_jaccard_late_tokens_are_counted_over_whole_documents(spark):
+    # passages held by 15 to 18 texts, some of them copies or without a word, each text far from the others
+    rows = []
+    for k in range(15, 19):
+        passage = " ".join(f"p{k}x{j}" for j in range(60))
+        rows += [(f"{passage} own{k}x{i}" if i > 2 else passage) for i in range(k)]
+    rows += ["many " * 300 + "times"] * 300 + [None, "", "  ", "one two", "one two"]
+    count = collections.Counter(t for x in rows if x for t in jaccard._SHINGLER.sets([x.encode()])[0].tolist())
+    d = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for least in (1, 16, 18, 300, 301):
+        exact = sorted(t for t, n in count.items() if n >= least)
+        for parts in (1, 37):
+            assert jaccard.hot_tokens(d.repartition(parts, "doc_id"), least).tolist() == exact
+    n = np.array([1, 2, 300, 2 ** 40])
+    at = np.array([0, 1, 300, 2 ** 15 - 1])
+    for m in (2, 4):
+        assert [x.tolist() for x in jaccard._unpacked(jaccard._packed(at[:m], n[:m]))] == [at[:m].tolist(), n[:m].tolist()]
+
+
 def test_jaccard_classes_meet_once_not_at_every_late_token(spark):
     # 30 classes that share the first 40 words of 140: far from linked, and late tokens are all that they share
     passage = " ".join(f"common{k}" for k in range(40))
