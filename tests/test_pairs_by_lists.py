@@ -2,10 +2,20 @@
 
 import random
 
-from perilscope.operators import spatial
+from perilscope.functions.clean import rounded
+from perilscope.functions.geo import haversine_km
+from perilscope.operators import air, spatial
 from pyspark.sql import functions as F
 
 
+SITE = "location_id long, lat double, lon double, location_name string, country_raw string"
+
+
+def first_plan(df):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+
+
 def test_sites_of_a_cell_meet_boxes_as_packs(spark):
     r = random.Random(3)
     pts = [(i, r.uniform(-89.9, 89.9), r.choice([r.uniform(-180, 180), 179.8, -179.9])) for i in range(60)] + [(90, 89.995, 3.0), (91, 10.0, 10.0), (None, 10.1, 10.2)]
@@ -21,3 +31,23 @@ def test_sites_of_a_cell_meet_boxes_as_packs(spark):
     packs = spatial._packs(by_bin, ["location_id", "site_lat", "site_lon"], 1.0)
     here = packs.where("_ty = 10 and _tx = 10 and _lat0 < 10.001 and _lon0 < 10.001").select(F.sum(F.size("_pack")), F.count(F.lit(1))).first()
     assert here[0] >= 3002 and here[1] <= 4 * spatial.PACK_PARTS
+
+
+def test_sensor_pairs_are_written_from_packs(spark):
+    sites = spark.createDataFrame([(j, 10.0 + j % 50 / 40, 10.0 + j % 30 / 20, f"n{j}", "x") for j in range(600)] + [(5, 10.5, 10.5, "z", None)], SITE)
+    inc = spark.createDataFrame([(i, "storm", 10.0 + i % 9 / 8, 10.0 + i % 7 / 6) for i in range(40)] + [(3, "storm", 10.2, 10.9)],
+                                "event_id long, hazard_type string, lat double, lon double")
+    one = air.sensors_near_incident(inc, sites, distances=True)
+    assert "inline(_pack" in first_plan(one)
+    rows = one.withColumn("want", haversine_km("incident_lat", "incident_lon", "latitude", "longitude")).collect()
+    assert len(rows) == one.select("event_id", "location_id").distinct().count() > 1000 and all(r["dist_km"] == r["want"] for r in rows)
+
+
+def test_rounded_equals_round(spark):
+    r = random.Random(1)
+    x = [r.uniform(-1, 1) * 10 ** r.randrange(-9, 14) for _ in range(4000)] + [k / 1e6 + 5e-7 for k in range(-1000, 1000)] + [
+        round(r.uniform(0, 3e4), r.randrange(9)) for _ in range(3000)] + [0.0, -0.0, -1e-9, 4.9999995e-1, 2.5e-6, 1e300, float("nan"), float("inf"), -float("inf"), None]
+    d = spark.createDataFrame([(v,) for v in x], "v double")
+    for digits in (6, 2):
+        for a, b in d.select(rounded("v", digits), F.round("v", digits)).collect():
+            assert str(a) == str(b)
