@@ -1,13 +1,13 @@
 """Pairs are made from lists that meet, not joined one by one; numbers are rounded without decimals."""
 
 import random
+import re
 
 from perilscope.functions.clean import rounded
 from perilscope.functions.geo import haversine_km
-from perilscope.operators import air, spatial
+from perilscope.operators import air, news, spatial
 from pyspark.sql import functions as F
 
-
 SITE = "location_id long, lat double, lon double, location_name string, country_raw string"
 
 
@@ -51,3 +51,19 @@ def test_rounded_equals_round(spark):
     for digits in (6, 2):
         for a, b in d.select(rounded("v", digits), F.round("v", digits)).collect():
             assert str(a) == str(b)
+
+
+def test_news_pairs_are_not_shuffled(spark):
+    """All incidents and news near each other, each at its own place: what is shuffled are rows of both sides."""
+    import datetime as dt
+    inc = spark.createDataFrame([(i % 50 or None, 10.0 + i / 1000, 10.0, dt.datetime(2024, 1, 5), None) for i in range(60)],
+                                "event_id long, lat double, lon double, start_time timestamp_ntz, end_time timestamp_ntz")
+    staged = spark.createDataFrame([(k if k % 9 else None, dt.datetime(2024, 1, 5), 10.0, 10.0 + k / 1000, k / 7) for k in range(80)],
+                                   "news_id long, event_time timestamp_ntz, lat double, lon double, tone double")
+    got = news.news_pairs(inc, staged, digits=6)
+    # pairs come from the lists behind the only join, with no exchange above it
+    assert first_plan(got).count("SortMergeJoin") == 1 and not re.search(r"Exchange[^\n]*\n(?:.*\n)*?.*Join", first_plan(got).split("Subqueries")[0])
+    rows = got.collect()
+    assert len(rows) == 60 * 80 and {len({r[c] for r in rows}) for c in ("lat", "r_lon")} == {60, 80}
+    want = got.withColumn("far", F.round(haversine_km("lat", "lon", "r_lat", "r_lon"), 6)).where("far <=> dist_km")
+    assert want.count() == 60 * 80 and sorted({r["tone"] for r in rows}) == sorted({round(k / 7, 6) for k in range(80)})
